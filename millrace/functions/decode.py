@@ -22,8 +22,13 @@ def flatten_json(df: DataFrame, schema: StructType, column: str = "value",
 
     A missing field is null and an unreadable text is a row of nulls; no row is lost.
     """
-    parsed = F.from_json(F.col(column).cast("string"), schema).alias("_record")
-    return df.select(parsed, *keep).select("_record.*", *keep)
+    return _parse_once(df, F.from_json(F.col(column).cast("string"), schema), keep)
+
+
+def _parse_once(df: DataFrame, parsed: Column, keep: Sequence[str]) -> DataFrame:
+    # As a generator with one row per row the text is parsed once. A plain projection lets
+    # the optimizer move later filters and join-key checks below it, with a parse in each.
+    return df.select(F.inline_outer(F.array(parsed)), *keep)
 
 
 def required_split(df: DataFrame, schema: StructType, required: Sequence[str], column: str = "value",
@@ -33,11 +38,8 @@ def required_split(df: DataFrame, schema: StructType, required: Sequence[str], c
     An explicit null counts as present. ``rejected`` keeps the text and a ``reason``:
     the first missing key, or ``malformed`` where the text is no JSON object.
     """
-    judged = _with_reason(df, column, keep, lambda present: [
-        F.when(~F.map_contains_key(present, key), F.lit(key)) for key in required])
-    valid = judged.where(F.col("reason").isNull())
-    return (flatten_json(valid, schema, "_text", keep),
-            judged.where(F.col("reason").isNotNull()).select(F.col("_text").alias(column), "reason", *keep))
+    return _split(df, schema, column, keep, [
+        F.when(~F.map_contains_key("_present", key), F.lit(key)) for key in required])
 
 
 def typed_split(df: DataFrame, schema: StructType, column: str = "value", keep: Sequence[str] = (),
@@ -47,33 +49,32 @@ def typed_split(df: DataFrame, schema: StructType, column: str = "value", keep:
     A field fails when it is absent (unless in ``optional``) or when a given value does
     not read as its declared type.
     """
-    typed = F.from_json(F.col(column).cast("string"), schema)
-
-    def faults(present: Column) -> list[Column]:
-        checks = [F.when(~F.map_contains_key(present, f.name), F.lit(f"missing {f.name}"))
-                  for f in schema if f.name not in optional]
-        return checks + [
-            F.when(F.element_at(present, f.name).isNotNull() & typed.getField(f.name).isNull(),
-                   F.lit(f"type of {f.name}")) for f in schema]
-
-    judged = _with_reason(df, column, keep, faults)
-    valid = judged.where(F.col("reason").isNull())
-    return (flatten_json(valid, schema, "_text", keep),
+    absent = [F.when(~F.map_contains_key("_present", f.name), F.lit(f"missing {f.name}"))
+              for f in schema if f.name not in optional]
+    mistyped = [F.when(F.element_at("_present", f.name).isNotNull() & F.col("_record").getField(f.name).isNull(),
+                       F.lit(f"type of {f.name}")) for f in schema]
+    return _split(df, schema, column, keep, absent + mistyped)
+
+
+def _split(df, schema, column, keep, faults):
+    """Valid rows as columns, and the texts of the others with the first fault found.
+
+    ``faults`` look at ``_present`` (the object's keys with their text) and ``_record``.
+    """
+    text = F.col(column).cast("string")
+    read = F.struct(text.alias("_text"), F.from_json(text, "map<string,string>").alias("_present"),
+                    F.from_json(text, schema).alias("_record"))
+    rows = df.select(*keep, F.inline_outer(F.array(read)))
+    reason = F.when(F.col("_present").isNull(), F.lit("malformed")).otherwise(F.coalesce(*faults))
+    judged = rows.withColumn("reason", reason)
+    return (judged.where(F.col("reason").isNull()).select("_record.*", *keep),
             judged.where(F.col("reason").isNotNull()).select(F.col("_text").alias(column), "reason", *keep))
 
 
 def strict_json(df: DataFrame, schema: StructType, column: str = "value",
                 keep: Sequence[str] = ()) -> DataFrame:
     """As ``flatten_json``, but the first unreadable text ends the query."""
-    parsed = F.from_json(F.col(column).cast("string"), schema, {"mode": "FAILFAST"}).alias("_record")
-    return df.select(parsed, *keep).select("_record.*", *keep)
-
-
-def _with_reason(df: DataFrame, column: str, keep: Sequence[str], faults) -> DataFrame:
-    text = F.col(column).cast("string")
-    present = F.from_json(text, "map<string,string>")
-    reason = F.when(present.isNull(), F.lit("malformed")).otherwise(F.coalesce(*faults(present)))
-    return df.select(text.alias("_text"), reason.alias("reason"), *keep)
+    return _parse_once(df, F.from_json(F.col(column).cast("string"), schema, {"mode": "FAILFAST"}), keep)
 
 
 def base64_text(column: Column) -> Column:
@@ -93,7 +94,8 @@ def part_of(column: Column, separator: str, index: int) -> Column:
 
 def change_feed_text(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Feed key and the decoded text of the first set entry, one row per message."""
-    feed = flatten_json(df, CHANGE_FEED, keep=keep)
+    # Of the feed's fields only these two are used, so only they are built.
+    feed = flatten_json(df, StructType([CHANGE_FEED["key"], CHANGE_FEED["zSetEntries"]]), keep=keep)
     return feed.select("key", base64_text(first_entry(F.col("zSetEntries"))).alias("entity"), *keep)
 
 
@@ -160,8 +162,7 @@ def decode_avro(df: DataFrame, schema_json: str, column: str = "value", keep: Se
     """Registry-framed Avro to columns. Needs the spark-avro package."""
     from pyspark.sql.avro.functions import from_avro
 
-    parsed = from_avro(framed_payload(F.col(column)), schema_json, {"mode": "PERMISSIVE"})
-    return df.select(parsed.alias("_record"), *keep).select("_record.*", *keep)
+    return _parse_once(df, from_avro(framed_payload(F.col(column)), schema_json, {"mode": "PERMISSIVE"}), keep)
 
 
 def encode_avro(df: DataFrame, key: Column, key_schema: str, key_id: int, columns: Sequence[str],

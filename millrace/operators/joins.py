@@ -16,14 +16,30 @@ from pyspark.sql import functions as F
 from .latest import first_by_key
 
 
+# Groups per key when a stream is on the left of a join.
+STREAM_SPLIT = 4
+# Columns that tell the records of a topic apart.
+PLACE = ("partition", "offset")
+
+
+def split_for(records: DataFrame, split: int | None) -> tuple[int, tuple[str, ...]]:
+    """How many groups to split each key into, and the record columns to carry for it.
+
+    Unless the caller says otherwise streams are split and tables are not: on tables the
+    engine splits the keys that prove to be hot.
+    """
+    groups = split if split is not None else STREAM_SPLIT if records.isStreaming else 1
+    return groups, PLACE if groups > 1 else ()
+
+
 def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *,
                split: int = 1, split_by: Sequence[str] = ()) -> DataFrame:
     """All pairs of rows with equal keys; both sides may repeat a key, nulls never match.
 
     With ``split`` above 1 the left rows of one key are spread over that many groups by a
-    hash of ``split_by`` (columns that differ between its rows, such as the offset), and
-    each right row is copied to every group. The result is the same; use it where a
-    stream has a key with a large share of the rows. Put the smaller side on the right.
+    hash of ``split_by`` (columns that differ between its rows, dropped from the result),
+    and each right row is copied to every group. The result is the same. Put the side
+    with the hot keys on the left.
     """
     condition = F.col(left_key) == F.col(right_key)
     if split <= 1:
@@ -34,7 +50,7 @@ def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     groups = F.sequence(F.lit(0).cast("long"), F.lit(split - 1).cast("long"))
     copied = right.withColumn("_right_group", F.explode(groups))
     return (spread.join(copied, condition & (F.col("_left_group") == F.col("_right_group")), "inner")
-            .drop("_left_group", "_right_group"))
+            .drop("_left_group", "_right_group", *split_by))
 
 
 def bounded_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_time: str,

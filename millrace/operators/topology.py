@@ -12,6 +12,9 @@ from ..functions.scalars import LINE_PRECEDENCE
 
 # A group up to this many rows is sorted by one task; larger ones are cut into chunks.
 CHUNK_ROWS = 1_000_000
+# The bounds between chunks are part of the plan, so their number is limited; with more
+# rows than this allows, chunks grow.
+MAX_CHUNKS = 500
 
 
 def neighbours(df: DataFrame, group: str, order: Sequence[str], column: str,
@@ -25,7 +28,7 @@ def neighbours(df: DataFrame, group: str, order: Sequence[str], column: str,
     sizes = df.groupBy(group).count().agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
     if (sizes["largest"] or 0) <= chunk_rows:
         return _with_neighbours(df, [group], order, column)
-    chunk = _chunk_number(df, order, math.ceil(sizes["total"] / chunk_rows))
+    chunk = _chunk_number(df, order, min(math.ceil(sizes["total"] / chunk_rows), MAX_CHUNKS))
     cut = df.withColumn("_chunk", chunk)
     rank = F.struct(*order)
     ends = cut.groupBy(group, "_chunk").agg(

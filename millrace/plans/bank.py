@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import as_text, flatten_json, json_value
 from ..operators.filters import above
-from ..operators.joins import inner_join
+from ..operators.joins import inner_join, split_for
 from ..schemas import ATM_WITHDRAWAL, BANK_CUSTOMER, BANK_DEPOSIT, BANK_DEPOSIT_TEXT, BANK_WITHDRAWAL
 
 # Fixed value: deposits must be above this amount.
 LARGE_DEPOSIT = 200.00
-_PLACE = ("partition", "offset")
 
 
 def balance_updates(records: DataFrame) -> DataFrame:
@@ -28,23 +27,23 @@ def bank_deposits(records: DataFrame) -> DataFrame:
 
 
 def large_deposits(deposit_records: DataFrame, customer_records: DataFrame,
-                   minimum: float = LARGE_DEPOSIT, split: int = 1) -> DataFrame:
+                   minimum: float = LARGE_DEPOSIT, split: int | None = None) -> DataFrame:
     """Deposits above ``minimum`` with the name of each customer of the account."""
-    keep = _PLACE if split > 1 else ()
+    split, keep = split_for(deposit_records, split)
     deposits = above(flatten_json(deposit_records, BANK_DEPOSIT, keep=keep), "amount", minimum)
     customers = flatten_json(customer_records, BANK_CUSTOMER).select(
         "customerName", F.col("accountNumber").alias("customerNumber"))
     return inner_join(deposits, customers, "accountNumber", "customerNumber",
-                      split=split, split_by=keep).drop(*keep)
+                      split=split, split_by=keep)
 
 
-def withdrawal_locations(bank_records: DataFrame, atm_records: DataFrame, split: int = 1) -> DataFrame:
+def withdrawal_locations(bank_records: DataFrame, atm_records: DataFrame, split: int | None = None) -> DataFrame:
     """Bank withdrawals with the machine that served the same transaction."""
-    keep = _PLACE if split > 1 else ()
+    split, keep = split_for(bank_records, split)
     bank = flatten_json(bank_records, BANK_WITHDRAWAL, keep=keep)
     atm = flatten_json(atm_records, ATM_WITHDRAWAL).select(
         F.col("transactionId").alias("atmTransactionId"), "atmLocation", "transactionDate")
-    return inner_join(bank, atm, "transactionId", "atmTransactionId", split=split, split_by=keep).drop(*keep)
+    return inner_join(bank, atm, "transactionId", "atmTransactionId", split=split, split_by=keep)
 
 
 def withdrawal_location_topic(bank_records: DataFrame, atm_records: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def line_letter_counts(spark, folder):
 # --- passing text through ---------------------------------------------------------------
 
 def _event_props(events):
-    return topics.as_topic(events, "events", F.col("user_id"), F.col("props"), F.col("ts"), F.col("event_id"))
+    return tables.as_topic(events, "events", F.col("user_id"), F.col("props"), F.col("ts"), F.col("event_id"))
 
 
 @query
@@ -82,13 +82,13 @@ def fuel_level(spark, folder):
 @query
 def balance_updates(spark, folder):
     customer = _t(spark, folder, "customer")
-    return bank.balance_updates(topics.as_topic(customer, "balance-updates", F.col("c_custkey"), F.col("c_name")))
+    return bank.balance_updates(tables.as_topic(customer, "balance-updates", F.col("c_custkey"), F.col("c_name")))
 
 
 @query
 def gear_position(spark, folder):
     lineitem = _t(spark, folder, "lineitem")
-    vehicles.gear_position(topics.as_topic(lineitem, "gear-position", F.col("l_suppkey"), F.col("l_returnflag"))) \
+    vehicles.gear_position(tables.as_topic(lineitem, "gear-position", F.col("l_suppkey"), F.col("l_returnflag"))) \
         .createOrReplaceTempView("GearPosition")
     return spark.sql("SELECT * FROM GearPosition")
 
@@ -96,7 +96,7 @@ def gear_position(spark, folder):
 @query
 def atm_visits(spark, folder):
     orders = _t(spark, folder, "orders")
-    bank.atm_visits(topics.as_topic(orders, "atm-visits", F.col("o_custkey"), F.col("o_orderpriority"))) \
+    bank.atm_visits(tables.as_topic(orders, "atm-visits", F.col("o_custkey"), F.col("o_orderpriority"))) \
         .createOrReplaceTempView("ATMVisits")
     return spark.sql("SELECT * FROM ATMVisits")
 
@@ -402,7 +402,7 @@ def distinct_in_order(spark, folder):
 
 @query
 def progress_count(spark, folder):
-    """The latest rows of ``known_only`` with the number of rows that passed as a column check."""
+    """Events per type, with all rows counted on the way as a progress figure."""
     seen = Observation("progress")
     return aggregates.keyed_count(aggregates.with_progress(_t(spark, folder, "events"), seen), "event_type")
 
@@ -654,7 +654,7 @@ def stream_hopping_uri_sums(spark, folder):
 @query
 def stream_large_deposit_join(spark, folder):
     joined = bank.large_deposits(tables.deposit_records(_s(spark, folder, "orders")),
-                                 tables.customer_records(_s(spark, folder, "customer")), HALF_OF_ORDERS, split=2)
+                                 tables.customer_records(_s(spark, folder, "customer")), HALF_OF_ORDERS)
     return _as_double(run.keep_rows(joined, "large-deposits"), "amount")
 
 

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import change_feed_text, decode_change_feed, flatten_json, json_value, part_of
 from ..operators.filters import contains, lacks, present
-from ..operators.joins import inner_join
+from ..operators.joins import inner_join, split_for
 from ..schemas import BANK_CUSTOMER, CUSTOMER_LOCATION, FITNESS_CUSTOMER, PAYMENT, RESERVATION
 
-_PLACE = ("partition", "offset")
-
 
 def truck_reservations(records: DataFrame) -> DataFrame:
     return present(decode_change_feed(records, RESERVATION), "reservationDate")
@@ -30,13 +28,13 @@ def payment_topic(records: DataFrame) -> DataFrame:
     return json_value(payments(records), "reservationId")
 
 
-def country_now_and_home(records: DataFrame, split_entities: bool = False, split: int = 1) -> DataFrame:
+def country_now_and_home(records: DataFrame, split_entities: bool = False, split: int | None = None) -> DataFrame:
     """Locations of each account beside its home country and holder's birth year.
 
     Both sides come from one feed. By default customer messages also count as locations,
     so each customer meets its own home; ``split_entities`` keeps them out.
     """
-    keep = _PLACE if split > 1 else ()
+    split, keep = split_for(records, split)
     text = change_feed_text(records, keep)
     customer_text, location_text = text, text
     if split_entities:
@@ -48,7 +46,7 @@ def country_now_and_home(records: DataFrame, split_entities: bool = False, split
     locations = flatten_json(location_text, CUSTOMER_LOCATION, "entity", keep).withColumnRenamed(
         "accountNumber", "locationAccountNumber").select("locationAccountNumber", "location", *keep)
     return inner_join(locations, customers, "locationAccountNumber", "customerAccountNumber",
-                      split=split, split_by=keep).drop(*keep)
+                      split=split, split_by=keep)
 
 
 def email_and_birth_year(records: DataFrame) -> DataFrame:

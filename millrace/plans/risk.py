@@ -5,23 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.decode import flatten_json, json_value
-from ..operators.joins import inner_join
+from ..operators.joins import inner_join, split_for
 from ..schemas import RISK_EVENT
 from .change_feed import email_and_birth_year
 
-_PLACE = ("partition", "offset")
-
 
 def customer_risk(records: DataFrame) -> DataFrame:
     return flatten_json(records, RISK_EVENT).select("customer", "score")
 
 
-def risk_by_birth_year(risk_records: DataFrame, feed_records: DataFrame, split: int = 1) -> DataFrame:
+def risk_by_birth_year(risk_records: DataFrame, feed_records: DataFrame, split: int | None = None) -> DataFrame:
     """Every score of a customer with every feed record of the same e-mail."""
-    keep = _PLACE if split > 1 else ()
+    split, keep = split_for(risk_records, split)
     scores = flatten_json(risk_records, RISK_EVENT, keep=keep).select("customer", "score", *keep)
     return inner_join(scores, email_and_birth_year(feed_records), "customer", "email",
-                      split=split, split_by=keep).drop(*keep)
+                      split=split, split_by=keep)
 
 
 def risk_topic(risk_records: DataFrame, feed_records: DataFrame) -> DataFrame:

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.decode import as_text, flatten_json, json_value
-from ..operators.joins import inner_join
+from ..operators.joins import inner_join, split_for
 from ..schemas import CHECK_IN, VEHICLE_STATUS, VEHICLE_STATUS_TEXT
 
-_PLACE = ("partition", "offset")
-
 
 def fuel_level(records: DataFrame) -> DataFrame:
     return as_text(records)
@@ -27,14 +25,14 @@ def vehicle_status(records: DataFrame, schema: StructType = VEHICLE_STATUS) -> D
 
 
 def vehicle_check_in(status_records: DataFrame, check_in_records: DataFrame,
-                     schema: StructType = VEHICLE_STATUS, split: int = 1) -> DataFrame:
+                     schema: StructType = VEHICLE_STATUS, split: int | None = None) -> DataFrame:
     """Every status of a truck with every check-in of the same truck."""
-    keep = _PLACE if split > 1 else ()
+    split, keep = split_for(status_records, split)
     status = flatten_json(status_records, schema, keep=keep).withColumnRenamed("truckNumber", "statusTruckNumber")
     check_in = flatten_json(check_in_records, CHECK_IN).select(
         "reservationId", "locationName", F.col("truckNumber").alias("checkinTruckNumber"), "status")
     return inner_join(status, check_in, "statusTruckNumber", "checkinTruckNumber",
-                      split=split, split_by=keep).drop(*keep)
+                      split=split, split_by=keep)
 
 
 def vehicle_check_in_topic(status_records: DataFrame, check_in_records: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .topics import as_topic
+from . import topics
+from .topics import spread
 
 TEXT_TIME = "MMM d, yyyy, h:mm:ss a"
 
@@ -29,6 +30,10 @@ def table_stream(spark: SparkSession, folder: str, name: str, max_files: int = 1
             .parquet(f"{folder}/{name}[.]parquet"))
 
 
+def as_topic(df: DataFrame, *args, **kwargs) -> DataFrame:
+    return topics.as_topic(spread(df), *args, **kwargs)
+
+
 def _text(column: str | Column) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("string")
 
@@ -199,7 +204,7 @@ def board_line(number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in ("blue", "green", "red", "brown")]), (number % 4 + 1).cast("int"))
 
 
-def board_records(events: DataFrame, topics) -> DataFrame:
+def board_records(events: DataFrame, names) -> DataFrame:
     """All topics of the status board in one frame, one record per event.
 
     Sign-ups register the user as a station, views and clicks are arrivals, purchases are
@@ -216,9 +221,9 @@ def board_records(events: DataFrame, topics) -> DataFrame:
         prev_direction=F.when(k % 15 != 1, F.when(number % 3 == 0, F.lit("b")).otherwise(F.lit("a"))))
     count = _json(STATION_ID=F.col("user_id"), COUNT=k)
     weather = _json(temperature=F.col("value"), status=F.when(k % 2 == 0, F.lit("partly_cloudy")).otherwise(F.lit("windy")))
-    topic = (F.when(is_type("signup"), F.lit(topics.station_table))
-             .when(is_type("view", "click"), topics.arrival_topic(F.concat(F.lit("Station "), _text("user_id"))))
-             .when(is_type("purchase"), F.lit(topics.summary)).otherwise(F.lit(topics.weather)))
+    topic = (F.when(is_type("signup"), F.lit(names.station_table))
+             .when(is_type("view", "click"), names.arrival_topic(F.concat(F.lit("Station "), _text("user_id"))))
+             .when(is_type("purchase"), F.lit(names.summary)).otherwise(F.lit(names.weather)))
     value = (F.when(is_type("signup"), station).when(is_type("view", "click"), arrival)
              .when(is_type("purchase"), count).otherwise(weather))
     return as_topic(events, topic, F.col("user_id"), value, F.col("ts"), F.col("event_id"))

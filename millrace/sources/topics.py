@@ -93,6 +93,22 @@ def as_topic(df: DataFrame, topic: str | Column, key: Column, value: Column,
         F.lit(0).alias("timestampType"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table with fewer partitions than cores one partition per core.
+
+    Decoding is work per row, and a small file is one partition however many rows it has.
+    Larger inputs already have more partitions than cores and are left as they are. For
+    frames read straight from files: rows are dealt out by their position, which a task
+    that is run again finds unchanged in a file.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, F.monotonically_increasing_id())
+
+
 def merge_topics(*streams: DataFrame) -> DataFrame:
     """Several topics as one frame; the ``topic`` column tells them apart."""
     first, *rest = streams
