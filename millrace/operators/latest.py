@@ -10,30 +10,43 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` of each key. ``order`` must be a total order."""
-    return _pick(df, keys, F.max_by, order)
+    return _pick(df, keys, order, F.max, F.max_by)
 
 
-def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order`` of each key."""
-    return _pick(df, keys, F.min_by, order)
+    return _pick(df, keys, order, F.min, F.min_by)
 
 
-def _pick(df, keys, chooser, order):
-    rank = F.struct(*order)
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(chooser(F.struct(*rest), rank).alias("_row"))
+def _pick(df, keys, order, extreme, extreme_by):
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if any(_has_map(df.schema[c].dataType) for c in rest):
+        row = extreme_by(F.struct(*order, *rest), F.struct(*order))
+    else:
+        # One struct with the order in front: each value is carried and sent once.
+        row = extreme(F.struct(*order, *rest))
+    picked = df.groupBy(*keys).agg(row.alias("_row"))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def latest_overall(df: DataFrame, order: Sequence[str | Column], **defaults: object) -> DataFrame:
+def _has_map(kind: DataType) -> bool:
+    # Maps have no order, so they cannot be part of a compared struct.
+    if isinstance(kind, StructType):
+        return any(_has_map(field.dataType) for field in kind)
+    if isinstance(kind, ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, MapType)
+
+
+def latest_overall(df: DataFrame, order: Sequence[str], **defaults: object) -> DataFrame:
     """One row: the latest value of each named column, or its default before any row."""
-    rank = F.struct(*order)
-    picked = df.agg(F.max_by(F.struct(*defaults), rank).alias("_row"))
+    picked = df.agg(F.max(F.struct(*order, *defaults)).alias("_row"))
     return picked.select(*[F.coalesce(F.col(f"_row.{name}"), F.lit(value)).alias(name)
                            for name, value in defaults.items()])

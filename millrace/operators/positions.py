@@ -72,8 +72,8 @@ def position_state(registrations: DataFrame, arrivals: DataFrame, counts: DataFr
             F.col("count").cast("long").alias("entries")), allowMissingColumns=True))
 
     def newest(kind: str, *fields: str) -> Column:
-        mine = F.col("kind") == kind
-        return F.max_by(F.when(mine, F.struct("at", *fields)), F.when(mine, F.struct("at", "step")))
+        # The order leads the struct, so the greatest struct is the newest message's.
+        return F.max(F.when(F.col("kind") == kind, F.struct("at", "step", *fields)))
 
     state = messages.groupBy("line", "station_id").agg(
         newest("station", "station_name", "order").alias("_station"),
@@ -106,7 +106,7 @@ def status_board(state: DataFrame) -> DataFrame:
         or_default(F.col("train_b"), NO_TRAIN).alias("direction_b"), "entries")
 
 
-def current_weather(weather: DataFrame, order: list[str | Column]) -> DataFrame:
+def current_weather(weather: DataFrame, order: list[str]) -> DataFrame:
     """One row: the latest weather, or the defaults before any report."""
     return latest_overall(weather, order, temperature=DEFAULT_TEMPERATURE, status=DEFAULT_WEATHER)
 

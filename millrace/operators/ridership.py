@@ -51,5 +51,5 @@ def entries_at(moments: DataFrame, seed: DataFrame, curve: DataFrame, time: str
         F.when(number == 1, F.lit("sunday")).when(number == 7, F.lit("saturday")).otherwise(F.lit("weekday")))
     timed = moments.withColumn("hour", F.hour(time)).join(F.broadcast(hour_curve(curve)), "hour")
     found = lookup_first(timed, seed.select("station_id", *[F.col(f"`{c}`") for c in DAY_COLUMNS.values()]),
-                         ["station_id"], [F.col("`avg_weekday_rides`")])
+                         ["station_id"], ["avg_weekday_rides"])
     return found.select(*moments.columns, entries(daily_riders(kind), F.col("ridership_ratio"), steps).alias("entries"))

@@ -480,9 +480,11 @@ def status_texts(spark, folder):
 
 @query
 def epoch_keys(spark, folder):
-    ts = F.col("ts").cast("timestamp")
+    # The event times have no zone; they are taken as UTC whatever the session's zone is.
+    ts = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
     keyed = _t(spark, folder, "events").select("event_id", scalars.epoch_millis(ts).alias("millis"))
-    return _plain_time(keyed.withColumn("at", scalars.from_epoch_millis(F.col("millis"))), "at")
+    at = scalars.from_epoch_millis(F.col("millis")).cast("timestamp_ntz")
+    return keyed.withColumn("at", F.convert_timezone(F.current_timezone(), F.lit("UTC"), at))
 
 
 @query

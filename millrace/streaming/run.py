@@ -16,6 +16,11 @@ def checkpoint_for(spark: SparkSession, query_name: str) -> str:
     return f"{shared_folder(spark)}/checkpoints/{query_name}"
 
 
+def replay_checkpoint(spark: SparkSession, query_name: str) -> str:
+    """A checkpoint folder not used before: the query starts again from its start position."""
+    return fresh_folder(spark, f"checkpoints/{query_name}")
+
+
 def run_forever(writer: DataStreamWriter, name: str, every: str | None = None) -> None:
     """Start and block until the query is stopped or fails."""
     writer = writer.queryName(name)
@@ -33,6 +38,11 @@ def run_available(writer: DataStreamWriter, name: str | None = None) -> Streamin
     return query
 
 
+def batch_sizes(query: StreamingQuery) -> list[int]:
+    """Rows read by each recent micro-batch."""
+    return [progress["numInputRows"] for progress in query.recentProgress]
+
+
 def keep_table(changes: DataFrame, keys: Sequence[str], label: str, mode: str = "update") -> DataFrame:
     """Run a keyed stream over what is available and return the table it leaves behind."""
     spark = changes.sparkSession

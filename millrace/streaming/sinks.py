@@ -39,6 +39,16 @@ def topic_writer(records: DataFrame, broker: Broker, topic: str, checkpoint: str
     return records.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def write_topic(records: DataFrame, broker: Broker, topic: str) -> None:
+    """Append the ``(key, value)`` records of a table to a topic at once."""
+    if broker.is_files:
+        as_topic(records, topic, F.col("key"), F.col("value"), F.current_timestamp(), F.monotonically_increasing_id()) \
+            .write.mode("append").format(broker.file_format).save(f"{broker.folder}/{topic}")
+    else:
+        records.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")) \
+            .write.format("kafka").options(**kafka_sink_options(broker, topic)).save()
+
+
 def publish_json(df: DataFrame, key: str, broker: Broker, topic: str, checkpoint: str,
                  mode: str = "append") -> DataStreamWriter:
     """Rows as JSON under a text key."""

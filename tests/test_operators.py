@@ -36,6 +36,18 @@ def test_topic_names(spark):
     assert rows(df.where(filters.topic_between(F.col("topic"), "a.arrival.", ".v3"))) == [("a.arrival..v3",), ("a.arrival.x.v3",)]
 
 
+def test_flags_and_presence(spark):
+    df = spark.createDataFrame([(True, "a", 1), (False, "b", 2), (None, "c", None)], "blue boolean, line string, n int")
+    assert rows(filters.flagged(df, "blue")) == [(True, "a", 1)]
+    assert rows(filters.equals(df, "line", "b")) == [(False, "b", 2)]
+    assert rows(filters.present(df, "blue", "n")) == [(False, "b", 2), (True, "a", 1)]
+
+
+def test_latest_with_a_map_column(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, {"y": 2})], "k string, t int, m map<string,int>")
+    assert [tuple(r) for r in latest.latest_by_key(df, ["k"], ["t"]).collect()] == [("a", 2, {"y": 2})]
+
+
 def test_routing_is_a_partition(spark):
     df = spark.createDataFrame([("blue",), ("red",), ("pink",), (None,), ("blue",)], "line string")
     branches = filters.route(df, "line", S.LINES)
@@ -121,7 +133,7 @@ def test_latest_and_first(spark):
 def test_latest_reduces_before_the_shuffle(spark):
     plan = latest.latest_by_key(spark.createDataFrame([(1, 2, 3)], "k int, t int, v int"), ["k"], ["t"]) \
         ._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("Exchange hashpartitioning") < plan.index("partial_max_by")
+    assert plan.index("Exchange hashpartitioning") < plan.index("partial_max")
 
 
 def test_progress(spark):

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from helpers import bag, folder_of, records
@@ -7,7 +9,7 @@ from millrace.plans.ingest import ingest_increment
 from millrace.plans.lines_of_text import letter_counts
 from millrace.session import shared_folder
 from millrace.sources import avro_files, files, increments, tables, topics
-from millrace.streaming import run, sinks
+from millrace.streaming import polling, run, sinks
 from pyspark.sql import functions as F
 
 
@@ -154,3 +156,43 @@ def test_program_topics_can_be_replaced(spark, tmp_path):
     assert programs.build_program(spark, "fuel-level", broker, ["my-fuel"], streaming=False).count() == 1
     with pytest.raises(ValueError):
         programs.build_program(spark, "large-deposits", broker, ["one"])
+
+
+def test_polling_publishes_each_row_once(spark, tmp_path):
+    broker, marks = topics.Broker(folder=str(tmp_path)), polling.Marks(f"{tmp_path}/marks")
+    rows = spark.createDataFrame([(i, f"r{i}") for i in range(6)], "id long, v string")
+
+    def poll(upto):
+        visible = rows.where(F.col("id") < upto)
+        return polling.poll_once(spark, "purchases", lambda last: increments.next_increment(visible, "id", last), "id",
+                                 broker, increments.topic_for("purchases", "connect-"), marks)
+
+    assert [poll(3), poll(3), poll(6), poll(6)] == [2, 2, 5, 5]
+    stored = topics.read_topic(spark, broker, "connect-purchases", streaming=False)
+    assert sorted(bytes(r["key"]).decode() for r in stored.collect()) == list("012345")
+    assert marks.last(spark, "other") is None
+
+
+def test_polling_runs_on_a_clock(spark, tmp_path):
+    calls = []
+    query = polling.polling_writer(spark, lambda: calls.append(1), f"{tmp_path}/ckpt", seconds=1).start()
+    for _ in range(100):
+        if len(calls) >= 2:
+            break
+        time.sleep(0.2)
+    query.stop()
+    assert len(calls) >= 2
+
+
+def test_batch_sizes_and_replay(spark, tmp_path):
+    broker = folder_of(records(spark, list("abcdef"), "in"), tmp_path, "in", 3)
+
+    def sizes(checkpoint):
+        stream = topics.read_topic(spark, broker, "in", max_files=1)
+        query = run.run_available(sinks.for_each_batch(stream, lambda rows, _: rows.count() and None, checkpoint), "sizes")
+        return [n for n in run.batch_sizes(query) if n]
+
+    first = run.checkpoint_for(spark, "sizes")
+    assert sizes(first) == [2, 2, 2]
+    assert sizes(first) == []
+    assert sizes(run.replay_checkpoint(spark, "sizes")) == [2, 2, 2]
