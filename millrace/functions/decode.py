@@ -78,8 +78,10 @@ def strict_json(df: DataFrame, schema: StructType, column: str = "value",
 
 
 def base64_text(column: Column) -> Column:
-    """Text behind base64; null where the input is not base64."""
-    return F.try_to_binary(column, F.lit("base64")).cast("string")
+    """Text behind base64, which may hold stray characters; null where it cannot be read."""
+    strict = F.try_to_binary(column, F.lit("base64"))
+    bare = F.try_to_binary(F.regexp_replace(column, "[^A-Za-z0-9+/=]", ""), F.lit("base64"))
+    return F.coalesce(strict, bare).cast("string")
 
 
 def first_entry(column: Column, field: str = "element") -> Column:

@@ -15,6 +15,7 @@ CHUNK_ROWS = 1_000_000
 # The bounds between chunks are part of the plan, so their number is limited; with more
 # rows than this allows, chunks grow.
 MAX_CHUNKS = 500
+SAMPLE_PER_CHUNK = 1000
 
 
 def neighbours(df: DataFrame, group: str, order: Sequence[str], column: str,
@@ -22,48 +23,62 @@ def neighbours(df: DataFrame, group: str, order: Sequence[str], column: str,
     """``prev_<column>`` and ``next_<column>`` of each row within its group.
 
     ``order`` must be unique within a group. The group sizes are measured first. If one
-    is above ``chunk_rows`` the order is cut at fixed bounds into chunks, neighbours are
-    found inside chunks, and only the rows at chunk ends look at the chunk next to theirs.
+    is above ``chunk_rows`` the order is cut at fixed bounds into chunks and neighbours
+    are found inside chunks. The rows at chunk ends, two per chunk, then find their
+    outer neighbours among themselves: in order, a chunk's head follows the tail before it.
     """
     sizes = df.groupBy(group).count().agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
+    before, after = F.lag(column), F.lead(column)
     if (sizes["largest"] or 0) <= chunk_rows:
-        return _with_neighbours(df, [group], order, column)
-    chunk = _chunk_number(df, order, min(math.ceil(sizes["total"] / chunk_rows), MAX_CHUNKS))
-    cut = df.withColumn("_chunk", chunk)
-    rank = F.struct(*order)
-    ends = cut.groupBy(group, "_chunk").agg(
-        F.min_by(F.struct(column), rank).alias("_head"), F.max_by(F.struct(column), rank).alias("_tail"))
-    chunks = Window.partitionBy(group).orderBy("_chunk")
-    ends = ends.select(group, "_chunk", F.lag("_tail").over(chunks).alias("_before"),
-                       F.lead("_head").over(chunks).alias("_after"))
-    inner = Window.partitionBy(group, "_chunk").orderBy(*order)
-    # Wrapped in structs so that "no neighbour" differs from "neighbour with a null value".
-    local = cut.withColumn("_prev", F.lag(F.struct(column)).over(inner)) \
-        .withColumn("_next", F.lead(F.struct(column)).over(inner))
-    return local.join(ends, [group, "_chunk"]).select(
-        *df.columns,
-        F.coalesce("_prev", "_before").getField(column).alias(f"prev_{column}"),
-        F.coalesce("_next", "_after").getField(column).alias(f"next_{column}"))
-
-
-def _with_neighbours(df, groups, order, column):
-    window = Window.partitionBy(*groups).orderBy(*order)
-    return df.withColumn(f"prev_{column}", F.lag(column).over(window)) \
-        .withColumn(f"next_{column}", F.lead(column).over(window))
-
-
-def _chunk_number(df: DataFrame, order: Sequence[str], chunks: int) -> Column:
-    """Number of bounds below a row. The bounds are the tops of a range partitioning,
-    collected once (one row per chunk), so every later use gives a row the same chunk."""
-    tops = (df.select(*order).repartitionByRange(chunks, *order)
+        window = Window.partitionBy(group).orderBy(*order)
+        return df.select("*", before.over(window).alias(f"prev_{column}"), after.over(window).alias(f"next_{column}"))
+
+    chunks = min(math.ceil(sizes["total"] / chunk_rows), MAX_CHUNKS)
+    cut = df.withColumn("_chunk", _chunk_number(df, order, chunks, sizes["total"]))
+    inside = Window.partitionBy(group, "_chunk").orderBy(*order)
+    local = cut.select(
+        "*", before.over(inside).alias("_prev"), after.over(inside).alias("_next"),
+        F.lag(F.lit(False), 1, True).over(inside).alias("_head"), F.lead(F.lit(False), 1, True).over(inside).alias("_tail"))
+    at_end = F.col("_head") | F.col("_tail")
+    across = Window.partitionBy(group).orderBy(*order)
+    ends = local.where(at_end).select(
+        *df.columns, F.when(F.col("_head"), before.over(across)).otherwise(F.col("_prev")).alias(f"prev_{column}"),
+        F.when(F.col("_tail"), after.over(across)).otherwise(F.col("_next")).alias(f"next_{column}"))
+    middle = local.where(~at_end).select(
+        *df.columns, F.col("_prev").alias(f"prev_{column}"), F.col("_next").alias(f"next_{column}"))
+    return middle.unionByName(ends)
+
+
+def _chunk_number(df: DataFrame, order: Sequence[str], chunks: int, total: int) -> Column:
+    """Number of bounds below a row.
+
+    The bounds are the tops of a range partitioning, collected once (one row per chunk),
+    so every later use gives a row the same chunk. They are taken from a sample: where
+    they fall decides only how even the chunks are.
+    """
+    some = df.select(*order).sample(min(1.0, chunks * SAMPLE_PER_CHUNK / total), seed=1)
+    tops = (some.repartitionByRange(chunks, *order)
             .groupBy(F.spark_partition_id().alias("_p")).agg(F.max(F.struct(*order)).alias("top"))
             .select("top.*").collect())
     kinds = {f.name: f.dataType for f in df.schema if f.name in order}
-    bounds = [F.struct(*[F.lit(row[c]).cast(kinds[c]).alias(c) for c in order]) for row in sorted(tops)[:-1]]
-    if not bounds:
-        return F.lit(0)
-    row = F.struct(*order)
-    return F.size(F.filter(F.array(*bounds), lambda bound: bound < row))
+    bounds = sorted(tops, key=lambda row: [(row[c] is not None, row[c]) for c in order])[:-1]
+
+    def after(bound) -> Column:
+        """Whether a row comes after ``bound``; nulls come first."""
+        beyond, level = F.lit(False), F.lit(True)
+        for c in order:
+            value = F.lit(bound[c]).cast(kinds[c])
+            larger = F.col(c).isNotNull() if bound[c] is None else F.coalesce(F.col(c) > value, F.lit(False))
+            beyond, level = beyond | (level & larger), level & F.col(c).eqNullSafe(value)
+        return beyond
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(after(bounds[middle]), search(middle + 1, high)).otherwise(search(low, middle))
+
+    return search(0, len(bounds))
 
 
 def line_topology(stations: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:

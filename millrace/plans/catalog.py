@@ -13,12 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions import decode, scalars
 from ..operators import aggregates, filters, joins, latest, positions, ridership, topology
-from ..schemas import (ATTRIBUTED_CLICK_AVRO, BANK_CUSTOMER, DOUBLE, INT, PURCHASE, STATION_ROW, STRING, TURNSTILE,
+from ..schemas import (ATTRIBUTED_CLICK_AVRO, BANK_CUSTOMER, DOUBLE, ENTRY_SUMMARY, INT, PURCHASE, STATION_ROW, STRING, TURNSTILE,
                        record)
 from ..session import fresh_folder
-from ..sources import avro_files, files, tables, topics
-from ..streaming import run
-from ..streaming.sinks import upper_names
+from ..sources import avro_files, files, increments, tables, topics
+from ..streaming import polling, run, sinks
 from . import bank, change_feed, clicks, ingest, lines_of_text, risk, transit, vehicles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -536,7 +535,7 @@ def _turnstiles(spark, folder):
 
 @query
 def turnstile_summary(spark, folder):
-    return upper_names(transit.turnstile_summary(_turnstiles(spark, folder)))
+    return sinks.upper_names(transit.turnstile_summary(_turnstiles(spark, folder)))
 
 
 @query
@@ -684,5 +683,98 @@ def stream_status_board(spark, folder):
     return positions.status_board(run.keep_table(transit.board_state(records, TOPICS), ["line", "station_id"], "board"))
 
 
+@query
+def stream_tumbling_bounded(spark, folder):
+    """Tumbling sums whose state is dropped behind a watermark; no event here is that late."""
+    sums = clicks.tumbling_uri_sums(tables.click_records(_s(spark, folder, "events")), watermark="1 hour")
+    kept = run.keep_table(sums, ["uri", "window_start", "window_end"], "tumbling-bounded")
+    return _plain_time(kept, "window_start", "window_end")
+
+
+@query
+def stream_newest_orders(spark, folder):
+    """The newest row of every customer's orders, kept by a stream."""
+    newest = latest.latest_by_key(_s(spark, folder, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return run.keep_table(newest, ["o_custkey"], "newest-orders")
+
+
+@query
+def stream_text_lines(spark, folder):
+    """Text files taken in as they appear, counted line by line."""
+    path = fresh_folder(spark, "stream-lines")
+    _t(spark, folder, "documents").select("text").write.text(path)
+    return lines_of_text.letter_counts(run.keep_rows(files.appended_lines(spark, path), "lines"))
+
+
+def _published(spark: SparkSession, start: Callable[[topics.Broker, str], object], topic: str) -> DataFrame:
+    """What a stream has published to a topic kept as files, as text."""
+    broker = topics.Broker(folder=fresh_folder(spark, "topics"))
+    run.run_available(start(broker, fresh_folder(spark, f"checkpoints/{topic}")))
+    return decode.as_text(topics.read_topic(spark, broker, topic, streaming=False))
+
+
+@query
+def published_withdrawals(spark, folder):
+    """The joined withdrawals published as JSON by a stream and read back."""
+    bank_side = tables.bank_withdrawal_records(_s(spark, folder, "lineitem"))
+    atm_side = tables.atm_withdrawal_records(_s(spark, folder, "orders"))
+    joined = bank.withdrawal_locations(bank_side, atm_side)
+    return _published(spark, lambda broker, checkpoint: sinks.publish_json(
+        joined, "transactionId", broker, "withdrawals-location", checkpoint), "withdrawals-location")
+
+
+@query
+def published_gears(spark, folder):
+    """Key and value passed through a stream unchanged and read back."""
+    lineitem = _s(spark, folder, "lineitem")
+    gears = vehicles.gear_position(tables.as_topic(lineitem, "gear-position", F.col("l_suppkey"), F.col("l_returnflag")))
+    return _published(spark, lambda broker, checkpoint: sinks.publish_text(
+        gears, "truckId", "gearPosition", broker, "gear-position-updates", checkpoint), "gear-position-updates")
+
+
+@query
+def published_summary(spark, folder):
+    """Entry counts published with capital names by an update stream and read back."""
+    records = tables.turnstile_records(_s(spark, folder, "events"), TOPICS.turnstile)
+    summary = transit.turnstile_summary(transit.turnstile_rows(records))
+    stored = _published(spark, lambda broker, checkpoint: sinks.publish_summary(
+        summary, "station_id", broker, TOPICS.summary, checkpoint), TOPICS.summary)
+    # A count only grows, so the newest record of a station is the one with the largest count.
+    counted = decode.flatten_json(stored, ENTRY_SUMMARY, keep=["key"])
+    return latest.latest_by_key(counted, ["key"], ["COUNT"])
+
+
+@query
+def handled_by_topic(spark, folder):
+    """Two topics in one stream, each handed to its own handler and stored."""
+    both = topics.merge_topics(tables.deposit_records(_s(spark, folder, "orders")),
+                               tables.customer_records(_s(spark, folder, "customer")))
+    path = fresh_folder(spark, "handled")
+
+    def store(name: str):
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            batch.select("key", "topic").withColumn("handler", F.lit(name)) \
+                .write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        return handle
+
+    handlers = {"bank-deposits": store("deposits"), "bank-customers": store("customers")}
+    run.run_available(sinks.for_each_batch(both, sinks.by_topic(handlers), fresh_folder(spark, "checkpoints/handled")))
+    stored = [spark.read.parquet(f"{path}/{name}") for name in ("deposits", "customers")]
+    return topics.merge_topics(*stored).select(F.col("key").cast("string").alias("key"), "topic", "handler")
+
+
+@query
+def polled_ingest(spark, folder):
+    """Orders published by two polls with a stored mark, read back from the topic."""
+    orders = _t(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    broker = topics.Broker(folder=fresh_folder(spark, "topics"))
+    marks = polling.Marks(fresh_folder(spark, "marks"))
+    middle = orders.agg(F.floor(F.avg("o_orderkey")).alias("m")).first()["m"]
+    for visible in (orders.where(F.col("o_orderkey") <= middle), orders):
+        polling.poll_once(spark, "orders", lambda last, rows=visible: increments.next_increment(rows, "o_orderkey", last),
+                          "o_orderkey", broker, increments.topic_for("orders", "connect-"), marks)
+    return decode.as_text(topics.read_topic(spark, broker, "connect-orders", streaming=False))
+
+
 def catalog() -> dict[str, Query]:
     return dict(_CATALOG)

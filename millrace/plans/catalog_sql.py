@@ -374,4 +374,21 @@ ORACLES |= {
     "stream_turnstile_summary": """
         SELECT CAST(user_id AS INTEGER) AS station_id, count(*) AS count FROM events GROUP BY user_id""",
     "stream_status_board": ORACLES["status_board"],
+    "stream_tumbling_bounded": ORACLES["tumbling_uri_sums"],
+    "stream_newest_orders": _latest(
+        "SELECT * FROM orders", "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority",
+        "o_custkey", "o_orderdate DESC, o_orderkey DESC"),
+    "stream_text_lines": ORACLES["line_letter_counts"],
+    "published_withdrawals": ORACLES["withdrawal_location_topic"],
+    "published_gears": "SELECT CAST(l_suppkey AS VARCHAR) AS key, l_returnflag AS value FROM lineitem",
+    "published_summary": """
+        SELECT CAST(user_id AS VARCHAR) AS key, CAST(user_id AS INTEGER) AS "STATION_ID", count(*) AS "COUNT"
+        FROM events GROUP BY user_id""",
+    "handled_by_topic": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS key, 'bank-deposits' AS topic, 'deposits' AS handler FROM orders
+        UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'bank-customers', 'customers' FROM customer""",
+    "polled_ingest": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS key,
+               '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}' AS value
+        FROM orders""",
 }

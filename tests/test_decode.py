@@ -79,6 +79,12 @@ def test_change_feed(spark):
     assert all(r["email"] is None for r in got[1:9])
 
 
+def test_base64_with_stray_characters(spark):
+    texts = ["aGVsbG8=", "aGVsbG8", "aGVs\nbG8=\n", "aGVs-bG8=", "!!!", "a", "aGVsbG8=xx", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(decode.base64_text(F.col("t")))
+    assert [r[0] for r in got.collect()] == ["hello"] * 4 + ["", None, None, None]
+
+
 def test_feed_fields_are_case_sensitive(spark):
     got = decode.flatten_json(records(spark, [feed("aaaa")]), S.CHANGE_FEED).first()
     assert got["existType"] == "NONE" and got["ch"] is None and got["incr"] is None

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from helpers import bag, records
+from helpers import records
 from millrace import schemas as S
 from millrace.functions.decode import flatten_json
 from millrace.operators import aggregates, filters, joins, latest, ridership, topology
@@ -152,13 +152,14 @@ def test_distinct_in_order(spark):
 @pytest.mark.parametrize("chunk_rows", [1000, 7])
 def test_neighbours_match_a_sorted_list(spark, chunk_rows):
     rng = random.Random(1)
-    data = [("hot" if i % 3 else rng.choice(["x", "y"]), rng.randrange(20), i, None if i % 11 == 0 else i * 2) for i in range(90)]
+    data = [("hot" if i % 3 else rng.choice(["x", "y"]), rng.choice([None, *range(20)]), i, None if i % 11 == 0 else i * 2)
+            for i in range(90)]
     df = spark.createDataFrame(data, "line string, order int, id long, value long").repartition(3, "id")
     got = {r["id"]: (r["prev_value"], r["next_value"])
            for r in topology.neighbours(df, "line", ["order", "id"], "value", chunk_rows).collect()}
     want = {}
     for line in {d[0] for d in data}:
-        members = sorted((d for d in data if d[0] == line), key=lambda d: (d[1], d[2]))
+        members = sorted((d for d in data if d[0] == line), key=lambda d: (d[1] is not None, d[1], d[2]))
         for i, d in enumerate(members):
             want[d[2]] = (members[i - 1][3] if i else None, members[i + 1][3] if i + 1 < len(members) else None)
     assert got == want
