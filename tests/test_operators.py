@@ -74,6 +74,26 @@ def test_inner_join_pairs_with_a_hot_key(spark, split):
     assert sorted(((r["k"], r["l"]), (r["j"], r["r"])) for r in got.collect()) == pairs(left, right)
 
 
+def test_a_hot_key_in_tables_is_split_at_run_time(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        left = spark.range(0, 60000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("string").alias("k"), F.col("id").alias("l"))
+        right = spark.range(0, 60000, 1, 8).select(F.col("id").cast("string").alias("j"), F.col("id").alias("r"))
+        joined = joins.inner_join(left, right, "k", "j")
+        assert joined.count() == 60000
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
 def test_split_needs_distinguishing_columns(spark):
     df = spark.createDataFrame([("a",)], "k string")
     with pytest.raises(ValueError):
