@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import argparse
 
-from .plans.programs import PROGRAMS, build_program, program_writer
+from .plans.programs import BOARD_KEYS, PROGRAMS, board_stream, board_writer, build_program, program_writer
+from .plans.transit import TransitTopics
 from .session import build_session
 from .sources.topics import Broker
 from .streaming.run import checkpoint_for, run_available, run_forever
+from .streaming.tables import ChangeTable
+
+BOARD = "status-board"
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="millrace", description=__doc__)
-    parser.add_argument("program", choices=sorted(PROGRAMS))
+    parser.add_argument("program", choices=sorted([*PROGRAMS, BOARD]))
     parser.add_argument("--servers", default="", help="broker addresses")
     parser.add_argument("--folder", default="", help="read and write topics as files in this folder instead")
     parser.add_argument("--topics", nargs="*", default=[], help="topic names to read in place of the usual ones")
@@ -22,6 +26,8 @@ def main() -> None:
     parser.add_argument("--every", help="time between micro-batches, such as '60 seconds'")
     parser.add_argument("--once", action="store_true", help="process what is there and stop")
     parser.add_argument("--checkpoint", help="checkpoint folder; a new one replays from --start")
+    parser.add_argument("--space", default="", help="name space of the transit topics, such as org.example.")
+    parser.add_argument("--json", action="store_true", help="transit topics hold JSON instead of Avro")
     args = parser.parse_args()
     if bool(args.servers) == bool(args.folder):
         parser.error("give either --servers or --folder")
@@ -29,8 +35,16 @@ def main() -> None:
     spark = build_session(args.program)
     spark.sparkContext.setLogLevel("WARN")
     broker = Broker(args.servers, args.folder)
-    result = build_program(spark, args.program, broker, args.topics, start=args.start, max_records=args.max_records)
-    writer = program_writer(result, args.program, broker, args.checkpoint or checkpoint_for(spark, args.program), args.out)
+    checkpoint = args.checkpoint or checkpoint_for(spark, args.program)
+    reading = {"start": args.start, "max_records": args.max_records}
+    if args.program == BOARD:
+        changes = board_stream(spark, broker, TransitTopics(args.space), not args.json, **reading)
+        # The table belongs to the checkpoint: a replay from a new one starts an empty table.
+        table = ChangeTable.of(changes, f"{checkpoint}-table", BOARD_KEYS)
+        writer = board_writer(changes, table, checkpoint, lambda board: board.show(200, truncate=False))
+    else:
+        result = build_program(spark, args.program, broker, args.topics, **reading)
+        writer = program_writer(result, args.program, broker, checkpoint, args.out)
     if args.once:
         run_available(writer, args.program)
     else:

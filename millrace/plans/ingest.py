@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.decode import json_value
-from ..sources.increments import next_increment
+from ..sources.increments import jdbc_increment, next_increment
+from ..streaming.polling import Reader
 
 
 def ingest_increment(table: DataFrame, column: str, last: int | None = None,
@@ -13,3 +16,10 @@ def ingest_increment(table: DataFrame, column: str, last: int | None = None,
     """New rows as JSON keyed by ``key`` (the increasing column by default), and the next mark."""
     rows, mark = next_increment(table, column, last)
     return json_value(rows, key or column), mark
+
+
+def jdbc_reader(spark: SparkSession, url: str, table: str, column: str, allowed: Sequence[str] = (),
+                options: dict[str, str] | None = None, partitions: int = 1) -> Reader:
+    """Reader of a database table for ``polling.poll_once``."""
+    return lambda last: jdbc_increment(spark, url, table, column, last, allowed=allowed, options=options,
+                                       partitions=partitions)

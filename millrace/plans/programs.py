@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.decode import json_value
+from ..operators.positions import status_board
 from ..sources.topics import Broker, read_topic
 from ..streaming import sinks
+from ..streaming.tables import ChangeTable
 from . import bank, change_feed, clicks, risk, transit, vehicles
 
 
@@ -100,3 +102,26 @@ def program_writer(result: DataFrame, name: str, broker: Broker, checkpoint: str
     if not program.out:
         result = json_value(result, result.columns[0])
     return sinks.topic_writer(result, broker, topic, checkpoint, program.mode)
+
+
+# Key of the board's state table.
+BOARD_KEYS = ("line", "station_id")
+
+
+def board_stream(spark: SparkSession, broker: Broker, topics: transit.TransitTopics, avro: bool = True,
+                 **reading: object) -> DataFrame:
+    """Changes of the board's state from its live topics."""
+    return transit.board_state_of(
+        read_topic(spark, broker, topics.station_table, **reading),
+        read_topic(spark, broker, pattern=topics.arrival_pattern, **reading),
+        read_topic(spark, broker, topics.summary, **reading), topics, avro)
+
+
+def board_writer(changes: DataFrame, table: ChangeTable, checkpoint: str,
+                 show: Callable[[DataFrame], object]) -> DataStreamWriter:
+    """Store each micro-batch of changes, then hand the whole current board to ``show``."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        table.append(batch, batch_id)
+        show(status_board(table.current(batch.sparkSession)))
+
+    return sinks.for_each_batch(changes, handle, checkpoint, "update")

@@ -129,10 +129,15 @@ def summary_counts(records: DataFrame, topics: TransitTopics) -> DataFrame:
 
 
 def board_state(records: DataFrame, topics: TransitTopics, avro: bool = False) -> DataFrame:
-    """State behind the status board from the merged topics.
+    """State behind the status board from one frame of all its topics.
 
-    Each kind of message is picked from ``records`` by topic name, so one frame of all
-    topics and a union of single-topic frames both do. Show it with ``status_board``.
+    Each kind of message is picked by topic name. Show the state with ``status_board``.
     """
-    return position_state(registrations(records, topics), arrivals(records, topics, avro),
-                          summary_counts(records, topics))
+    return board_state_of(records, records, records, topics, avro)
+
+
+def board_state_of(station_records: DataFrame, arrival_records: DataFrame, summary_records: DataFrame,
+                   topics: TransitTopics, avro: bool = False) -> DataFrame:
+    """The same from one frame per kind of topic, so that each topic is read once."""
+    return position_state(registrations(station_records, topics), arrivals(arrival_records, topics, avro),
+                          summary_counts(summary_records, topics))

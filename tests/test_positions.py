@@ -4,10 +4,13 @@ import random
 
 import pytest
 
-from helpers import bag, records, stream_of
+from helpers import bag, folder_of, records, stream_of
 from millrace.operators.positions import status_board, weather_line
-from millrace.plans import transit
-from millrace.streaming.run import keep_table
+from millrace.plans import programs, transit
+from millrace.sources.topics import Broker
+from millrace.streaming.run import keep_table, run_available
+from millrace.streaming.tables import ChangeTable
+from pyspark.sql import functions as F
 
 TOPICS = transit.TransitTopics("org.example.")
 
@@ -123,3 +126,16 @@ def test_station_on_two_lines(spark):
     rows = transit.station_rows(records(spark, both))
     assert [r["line"] for r in transit.station_table(rows).collect()] == ["blue"]
     assert {r["line"] for r in transit.station_table(rows, by_line=True).collect()} == {"green", "blue"}
+
+
+def test_board_follows_its_topics(spark, tmp_path):
+    log = message_log(4, 200)
+    everything = frame(spark, log)
+    for topic in {t for t, _ in log}:
+        folder_of(everything.where(F.col("topic") == topic), tmp_path, topic, 1)
+    changes = programs.board_stream(spark, Broker(folder=str(tmp_path)), TOPICS, avro=False)
+    table = ChangeTable.of(changes, f"{tmp_path}-table", programs.BOARD_KEYS)
+    boards = []
+    run_available(programs.board_writer(changes, table, f"{tmp_path}-ckpt", lambda board: boards.append(bag(board))))
+    assert state_rows(table.current(spark)) == simulate(log)
+    assert boards[-1] == bag(status_board(transit.board_state(everything, TOPICS)))
