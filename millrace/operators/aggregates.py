@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from .latest import latest_by_key
 
@@ -21,6 +22,12 @@ def running_sum(df: DataFrame, key: str, value: str | Column, name: str = "total
     return df.groupBy(key).agg(F.coalesce(F.sum(column), F.lit(0)).alias(name))
 
 
+# Seconds per unit in window lengths; other units go the general way.
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+# Window starts per block of time, at least, when hopping sums are built from panes.
+BLOCK_STARTS = 100
+
+
 def windowed_sum(df: DataFrame, time: str, key: str, value: str, size: str, slide: str | None = None,
                  watermark: str | None = None, name: str = "total") -> DataFrame:
     """Sum per key and epoch-aligned window ``[window_start, window_end)``.
@@ -33,8 +40,48 @@ def windowed_sum(df: DataFrame, time: str, key: str, value: str, size: str, slid
         df = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
     window = F.window(time, size, slide) if slide else F.window(time, size)
     summed = df.groupBy(window.alias("_window"), key).agg(F.sum(value).alias(name))
-    return summed.select(key, F.col("_window.start").alias("window_start"),
-                         F.col("_window.end").alias("window_end"), name)
+    whole = summed.select(key, F.col("_window.start").alias("window_start"),
+                          F.col("_window.end").alias("window_end"), name)
+    length, step = _seconds(size), _seconds(slide)
+    if (df.isStreaming or not length or not step or length % step or length == step
+            or not isinstance(df.schema[time].dataType, TimestampType)):
+        return whole
+    panes = windowed_sum(df, time, key, value, slide, name="_sum")
+    return _hops_from_panes(panes, key, length, step, name).select(
+        key, "window_start", "window_end", F.col(name).cast(whole.schema[name].dataType))
+
+
+def _hops_from_panes(panes: DataFrame, key: str, length: int, step: int, name: str) -> DataFrame:
+    """Hopping sums from sums over panes of one step.
+
+    A row is then summed once instead of once per window, and panes cross the network, not
+    rows times windows. Panes go to the key and block of time their windows start in
+    (two blocks at a border), where all windows of the block are summed in place; a block
+    holds a limited number of panes, however hot the key.
+    """
+    hops = length // step
+    starts_per_block = max(BLOCK_STARTS, hops)
+    pane = (F.unix_seconds("window_start") / step).cast("long")
+
+    def block(start: Column) -> Column:
+        return F.floor(start / starts_per_block)
+
+    numbered = panes.select(key, "_sum", pane.alias("_last")).withColumn("_first", F.col("_last") - (hops - 1))
+    placed = numbered.withColumn("_block", F.explode(F.array_distinct(F.array(
+        block(F.col("_first")), block(F.col("_last")))))).repartition(key, "_block")
+    starts = F.sequence(F.greatest("_first", F.col("_block") * starts_per_block),
+                        F.least("_last", (F.col("_block") + 1) * starts_per_block - 1))
+    hopping = placed.select(key, "_block", "_sum", F.explode(starts).alias("_start")) \
+        .groupBy(key, "_block", "_start").agg(F.sum("_sum").alias(name))
+    begin = F.col("_start") * step
+    return hopping.select(key, F.timestamp_seconds(begin).alias("window_start"),
+                          F.timestamp_seconds(begin + length).alias("window_end"), name)
+
+
+def _seconds(text: str | None) -> int | None:
+    number, _, unit = (text or "").partition(" ")
+    known = UNIT_SECONDS.get(unit.rstrip("s"))
+    return int(number) * known if known and number.isdigit() else None
 
 
 def current_window(windowed: DataFrame, key: str) -> DataFrame:

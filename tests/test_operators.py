@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import pytest
 
-from helpers import records
+from helpers import bag, records
 from millrace import schemas as S
 from millrace.functions.decode import flatten_json
 from millrace.operators import aggregates, filters, joins, latest, ridership, topology
@@ -141,6 +141,21 @@ def test_windows_at_their_bounds(spark):
     assert seconds(aggregates.current_window(hopping, "uri")) == [(60, 1)]
 
 
+@pytest.mark.parametrize("size, slide", [(60, 10), (45, 15), (7, 1), (3000, 10)])
+def test_hopping_sums_over_blocks_and_before_the_epoch(spark, size, slide):
+    rng = random.Random(size)
+    data = [(rng.uniform(-4000, 4000), rng.choice(["hot", "hot", "a", None]), rng.choice([None, 1, 2, 3])) for _ in range(300)]
+    df = spark.createDataFrame(data, "s double, uri string, n long").select(
+        F.timestamp_micros((F.col("s") * 1000000).cast("long")).alias("ts"), "uri", "n")
+    got = aggregates.windowed_sum(df, "ts", "uri", "n", f"{size} seconds", f"{slide} seconds")
+    window = df.groupBy("uri", F.window("ts", f"{size} seconds", f"{slide} seconds").alias("w")).agg(F.sum("n").alias("total"))
+    assert bag(got) == bag(window.select("uri", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "total"))
+    # Amounts in decimals keep their type, and other windows go the general way.
+    exact = df.withColumn("n", F.col("n").cast("decimal(10,2)"))
+    assert dict(aggregates.windowed_sum(exact, "ts", "uri", "n", "60 seconds", "10 seconds").dtypes)["total"] == "decimal(20,2)"
+    assert aggregates.windowed_sum(df, "ts", "uri", "n", "25 seconds", "10 seconds").count() > 0
+
+
 def test_latest_and_first(spark):
     df = spark.createDataFrame([("a", 1, 1, "x"), ("a", 1, 2, None), ("b", 0, 9, "z"), (None, 5, 5, "n")],
                                "k string, t int, o int, v string")
