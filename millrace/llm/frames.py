@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -31,7 +32,7 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch cut so that each part holds about ``most`` bytes of the column."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if i > start and held + size > most:
