@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.llm import subwords
+from millrace.llm import decontamination, subwords
 
 QUERIES = {
+    "op1_decontamination": decontamination.op1_decontamination,
     "op7_subwords": subwords.op7_subwords,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_decontamination": decontamination.OP1_SQL,
 }
