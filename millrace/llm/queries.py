@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontamination, subwords
+from millrace.llm import decontamination, linededup, subwords
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
+    "op10_line_dedup": linededup.op10_line_dedup,
     "op7_subwords": subwords.op7_subwords,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontamination.OP1_SQL,
+    "op10_line_dedup": linededup.OP10_SQL,
 }
