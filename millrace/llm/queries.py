@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontamination, linededup, subwords
+from millrace.llm import decontamination, linededup, neardup, subwords
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
+    "op3_near_duplicates": neardup.op3_near_duplicates,
     "op10_line_dedup": linededup.op10_line_dedup,
     "op7_subwords": subwords.op7_subwords,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontamination.OP1_SQL,
+    "op3_near_duplicates": neardup.OP3_SQL,
     "op10_line_dedup": linededup.OP10_SQL,
 }
