@@ -226,8 +226,8 @@ shingles AS (
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
 links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * m >= 75 * (x.n + y.n - m)),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT r.a, l.b FROM reach r JOIN both l ON r.b = l.a)
+two_way AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT r.a, l.b FROM reach r JOIN two_way l ON r.b = l.a)
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, low AS component_id, w.doc_id = low AS kept
 FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) c ON c.a = w.doc_id
 """
