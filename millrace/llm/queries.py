@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontamination, linededup, neardup, subwords
+from millrace.llm import decontamination, linededup, neardup, qualityrules, subwords
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op3_near_duplicates": neardup.op3_near_duplicates,
+    "op9_quality_rules": qualityrules.op9_quality_rules,
     "op10_line_dedup": linededup.op10_line_dedup,
     "op7_subwords": subwords.op7_subwords,
 }
