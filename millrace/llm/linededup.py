@@ -29,7 +29,7 @@ from millrace.llm.words import mix
 #: Code points of the shortest key that counts.
 SHORTEST = 10
 #: Distinct line hashes of a shard, about.
-SHARD_LINES = 50_000
+SHARD_LINES = 8_000
 #: Lines whose answers are broadcast, at most: those with more than 1 / HOT_LINES of all probes.
 HOT_LINES = 4096
 #: Document counts are kept in 16 bits; larger ones read as this one.
