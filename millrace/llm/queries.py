@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontamination, linededup, neardup, qualityrules, subwords
+from millrace.llm import decontamination, langid, linededup, neardup, qualityrules, subwords
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
+    "op2_language": langid.op2_language,
     "op3_near_duplicates": neardup.op3_near_duplicates,
     "op9_quality_rules": qualityrules.op9_quality_rules,
     "op10_line_dedup": linededup.op10_line_dedup,
