@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontamination, langid, linededup, neardup, qualityrules, subwords
+from millrace.llm import decontamination, langid, linededup, neardup, qualitynet, qualityrules, subwords
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_language": langid.op2_language,
     "op3_near_duplicates": neardup.op3_near_duplicates,
+    "op4_quality": qualitynet.op4_quality,
     "op9_quality_rules": qualityrules.op9_quality_rules,
     "op10_line_dedup": linededup.op10_line_dedup,
     "op7_subwords": subwords.op7_subwords,
