@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontamination, langid, linededup, neardup, qualitynet, qualityrules, subwords
+from millrace.llm import decontamination, langid, linededup, neardup, qualitynet, qualityrules, subwords, wrappers
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_quality": qualitynet.op4_quality,
     "op9_quality_rules": qualityrules.op9_quality_rules,
     "op10_line_dedup": linededup.op10_line_dedup,
+    "op5_main_text": wrappers.op5_main_text,
     "op7_subwords": subwords.op7_subwords,
 }
 
