@@ -18,16 +18,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """The frame written below ``spark.checkpoint.dir`` and read back: later uses neither
-    recompute it nor depend on the executors that made it."""
-    spark = df.sparkSession
+def fresh_folder(spark: SparkSession, label: str) -> str:
+    """A path below ``spark.checkpoint.dir``, which all executors share, that nothing has used."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    path = f"{folder.rstrip('/')}/{label}-{os.urandom(8).hex()}"
+    return f"{folder.rstrip('/')}/{label}-{os.urandom(8).hex()}"
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """The frame written below ``spark.checkpoint.dir`` and read back: later uses neither
+    recompute it nor depend on the executors that made it."""
+    path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontamination, langid, linededup, neardup, qualitynet, qualityrules, subwords, wrappers
+from millrace.llm import decontamination, langid, linededup, neardup, qualitynet, qualityrules, subwords, tokencounts, wrappers
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -12,6 +12,7 @@ QUERIES = {
     "op9_quality_rules": qualityrules.op9_quality_rules,
     "op10_line_dedup": linededup.op10_line_dedup,
     "op5_main_text": wrappers.op5_main_text,
+    "op8_token_counts": tokencounts.op8_token_counts,
     "op7_subwords": subwords.op7_subwords,
 }
 
