@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from millrace.llm import decontamination, langid, linededup, neardup, qualitynet, qualityrules, subwords, tokencounts, wrappers
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_decontamination": decontamination.op1_decontamination,
     "op2_language": langid.op2_language,
     "op3_near_duplicates": neardup.op3_near_duplicates,
