@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import decontamination, langid, linededup, neardup, qualitynet, qualityrules, subwords, tokencounts, wrappers
+from millrace.llm import decontamination, langid, languagemodel, linededup, neardup, qualitynet, qualityrules, subwords, tokencounts, wrappers
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_line_dedup": linededup.op10_line_dedup,
     "op5_main_text": wrappers.op5_main_text,
     "op8_token_counts": tokencounts.op8_token_counts,
+    "op6_language_model": languagemodel.op6_language_model,
     "op7_subwords": subwords.op7_subwords,
 }
 
