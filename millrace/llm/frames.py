@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from millrace.session import fresh_folder
+
 #: Text handled at once inside a task, in bytes; one longer text forms a slice of its own.
 SLICE_BYTES = 2 << 20
 
@@ -18,17 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A path below ``spark.checkpoint.dir``, which all executors share, that nothing has used."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return f"{folder.rstrip('/')}/{label}-{os.urandom(8).hex()}"
-
-
 def saved(df: DataFrame, label: str) -> DataFrame:
-    """The frame written below ``spark.checkpoint.dir`` and read back: later uses neither
-    recompute it nor depend on the executors that made it."""
+    """The frame written below ``spark.checkpoint.dir``, which all executors share, and read
+    back: later uses neither recompute it nor depend on the executors that made it."""
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

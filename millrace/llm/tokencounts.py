@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.frames import fresh_folder, saved, table, texts_of, with_columns
+from millrace.llm.frames import saved, table, texts_of, with_columns
+from millrace.session import fresh_folder
 
 KEYS = ("source", "lang", "tokenizer")
 _SUMS = "source string, lang string, tokenizer string, documents long, tokens long"
