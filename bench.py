@@ -35,7 +35,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINES
     spark = build_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus,
-                          spark__ui__enabled="false", spark__driver__memory="12g")
+                          spark__ui__enabled="false", spark__driver__memory="12g",
+                          spark__millrace__table__partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
     queries = catalog()
     times = {name: round(min(seconds(queries[name], spark, folder) for _ in range(2)), 3) for name in names}

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import argparse
 
-from .plans.programs import BOARD_KEYS, PROGRAMS, board_stream, board_writer, build_program, program_writer
+from .plans.ingest import ingest_writer
+from .plans.programs import BOARD_KEYS, PROGRAMS, board_stream, board_writer, build_program, program_writer, weather_stream
 from .plans.transit import TransitTopics
 from .session import build_session
+from .sources.increments import POLL_SECONDS
 from .sources.topics import Broker
-from .streaming.run import checkpoint_for, run_available, run_forever
+from .streaming.run import checkpoint_for, replay_checkpoint, run_available, run_forever
+from .streaming.sinks import console, print_rows
 from .streaming.tables import ChangeTable
 
 BOARD = "status-board"
+INGEST = "table-ingest"
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="millrace", description=__doc__)
-    parser.add_argument("program", choices=sorted([*PROGRAMS, BOARD]))
+    parser.add_argument("program", choices=sorted([*PROGRAMS, BOARD, INGEST]))
     parser.add_argument("--servers", default="", help="broker addresses")
     parser.add_argument("--folder", default="", help="read and write topics as files in this folder instead")
     parser.add_argument("--topics", nargs="*", default=[], help="topic names to read in place of the usual ones")
@@ -28,6 +32,18 @@ def main() -> None:
     parser.add_argument("--checkpoint", help="checkpoint folder; a new one replays from --start")
     parser.add_argument("--space", default="", help="name space of the transit topics, such as org.example.")
     parser.add_argument("--json", action="store_true", help="transit topics hold JSON instead of Avro")
+    parser.add_argument("--split", type=int, help="groups that each key of a join is spread over")
+    parser.add_argument("--watermark", help="drop window state so long behind the newest event, such as '1 hour'")
+    parser.add_argument("--delay", help="how late a record of a bounded join may come, such as '10 minutes'")
+    parser.add_argument("--within", help="how far apart the records of a bounded join may be, such as '30 days'")
+    parser.add_argument("--replay", action="store_true", help="start again from --start with a new checkpoint")
+    parser.add_argument("--table", default="", help="table to ingest")
+    parser.add_argument("--column", default="", help="its growing key column")
+    parser.add_argument("--source", default="", help="folder with the table as parquet")
+    parser.add_argument("--jdbc", default="", help="database with the table, as a JDBC address")
+    parser.add_argument("--allow", nargs="*", default=[], help="tables that may be read from the database")
+    parser.add_argument("--prefix", default="connect-", help="topic name before the table's name")
+    parser.add_argument("--seconds", type=int, default=POLL_SECONDS, help="time between two reads of the table")
     args = parser.parse_args()
     if bool(args.servers) == bool(args.folder):
         parser.error("give either --servers or --folder")
@@ -35,16 +51,29 @@ def main() -> None:
     spark = build_session(args.program)
     spark.sparkContext.setLogLevel("WARN")
     broker = Broker(args.servers, args.folder)
-    checkpoint = args.checkpoint or checkpoint_for(spark, args.program)
+    checkpoint = args.checkpoint or (replay_checkpoint if args.replay else checkpoint_for)(spark, args.program)
     reading = {"start": args.start, "max_records": args.max_records}
-    if args.program == BOARD:
-        changes = board_stream(spark, broker, TransitTopics(args.space), not args.json, **reading)
+    if args.program == INGEST:
+        writer = ingest_writer(spark, args.table, args.column, broker, args.prefix, checkpoint, path=args.source, url=args.jdbc,
+                               allowed=args.allow, seconds=args.seconds)
+    elif args.program == BOARD:
+        names = TransitTopics(args.space)
+        changes = board_stream(spark, broker, names, not args.json, **reading)
         # The table belongs to the checkpoint: a replay from a new one starts an empty table.
         table = ChangeTable.of(changes, f"{checkpoint}-table", BOARD_KEYS)
-        writer = board_writer(changes, table, checkpoint, lambda board: board.show(200, truncate=False))
+        writer = board_writer(changes, table, checkpoint, print_rows)
+        weather = console(weather_stream(spark, broker, names, not args.json, **reading), "update") \
+            .option("checkpointLocation", f"{checkpoint}-weather")
+        if args.once:
+            run_available(weather, f"{BOARD}-weather")
+        else:
+            weather.queryName(f"{BOARD}-weather").start()
     else:
-        result = build_program(spark, args.program, broker, args.topics, **reading)
-        writer = program_writer(result, args.program, broker, checkpoint, args.out)
+        options = {"split": args.split, "watermark": args.watermark, "delay": args.delay, "within": args.within,
+                   "avro": False if args.json else None}
+        options = {name: value for name, value in options.items() if value is not None}
+        result = build_program(spark, args.program, broker, args.topics, space=args.space, options=options, **reading)
+        writer = program_writer(result, args.program, broker, checkpoint, args.out, args.space)
     if args.once:
         run_available(writer, args.program)
     else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +38,12 @@ def required_split(df: DataFrame, schema: StructType, required: Sequence[str], c
     An explicit null counts as present. ``rejected`` keeps the text and a ``reason``:
     the first missing key, or ``malformed`` where the text is no JSON object.
     """
-    return _split(df, schema, column, keep, [
-        F.when(~F.map_contains_key("_present", key), F.lit(key)) for key in required])
+    return _split(df, schema, column, keep, required_faults(required))
+
+
+def required_faults(required: Sequence[str]) -> list[Column]:
+    """Which required keys a record read as ``_present`` lacks."""
+    return [F.when(~F.map_contains_key("_present", key), F.lit(key)) for key in required]
 
 
 def typed_split(df: DataFrame, schema: StructType, column: str = "value", keep: Sequence[str] = (),
@@ -49,11 +53,16 @@ def typed_split(df: DataFrame, schema: StructType, column: str = "value", keep:
     A field fails when it is absent (unless in ``optional``) or when a given value does
     not read as its declared type.
     """
+    return _split(df, schema, column, keep, typed_faults(schema, optional))
+
+
+def typed_faults(schema: StructType, optional: Sequence[str] = ()) -> list[Column]:
+    """What is wrong with a record read as ``_present`` (a map of its texts) and ``_record``."""
     absent = [F.when(~F.map_contains_key("_present", f.name), F.lit(f"missing {f.name}"))
               for f in schema if f.name not in optional]
     mistyped = [F.when(F.element_at("_present", f.name).isNotNull() & F.col("_record").getField(f.name).isNull(),
                        F.lit(f"type of {f.name}")) for f in schema]
-    return _split(df, schema, column, keep, absent + mistyped)
+    return absent + mistyped
 
 
 def _split(df, schema, column, keep, faults):
@@ -61,14 +70,28 @@ def _split(df, schema, column, keep, faults):
 
     ``faults`` look at ``_present`` (the object's keys with their text) and ``_record``.
     """
+    judged = judged_records(df, schema, column, keep, faults)
+    return (judged.where(F.col("reason").isNull()).select("_record.*", *keep),
+            judged.where(F.col("reason").isNotNull()).select(F.col("_text").alias(column), "reason", *keep))
+
+
+def judged_records(df: DataFrame, schema: StructType, column: str = "value", keep: Sequence[str] = (),
+                   faults: Sequence[Column] | None = None) -> DataFrame:
+    """Each row once, as ``_text``, ``_record`` and ``reason`` (null for a valid record), so
+    that one pass can write the valid and the rejected rows."""
     text = F.col(column).cast("string")
     read = F.struct(text.alias("_text"), F.from_json(text, "map<string,string>").alias("_present"),
                     F.from_json(text, schema).alias("_record"))
     rows = df.select(*keep, F.inline_outer(F.array(read)))
+    faults = typed_faults(schema) if faults is None else faults
     reason = F.when(F.col("_present").isNull(), F.lit("malformed")).otherwise(F.coalesce(*faults))
-    judged = rows.withColumn("reason", reason)
-    return (judged.where(F.col("reason").isNull()).select("_record.*", *keep),
-            judged.where(F.col("reason").isNotNull()).select(F.col("_text").alias(column), "reason", *keep))
+    return rows.withColumn("reason", reason)
+
+
+def counted_rejects(judged: DataFrame, name: str) -> DataFrame:
+    """The valid rows of ``judged_records``; the number of the others is counted on the way
+    and shows as the observed metric ``name`` of each run or micro-batch."""
+    return judged.observe(name, F.count_if(F.col("reason").isNotNull()).alias("rows")).where(F.col("reason").isNull())
 
 
 def strict_json(df: DataFrame, schema: StructType, column: str = "value",
@@ -160,11 +183,37 @@ def avro_available(spark) -> bool:
         return False
 
 
-def decode_avro(df: DataFrame, schema_json: str, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """Registry-framed Avro to columns. Needs the spark-avro package."""
+def avro_record(value: Column, schema: str) -> Column:
+    """The record in registry-framed Avro bytes. Needs the spark-avro package."""
+    from pyspark.sql.avro.functions import from_avro
+
+    return from_avro(framed_payload(value), schema, {"mode": "PERMISSIVE"})
+
+
+def decode_avro(df: DataFrame, schemas: str | Mapping[int, str], column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Registry-framed Avro to columns. Needs the spark-avro package.
+
+    ``schemas`` maps schema ids to the schemas the bytes were written with, the last of which
+    is the layout of the result; its messages with other ids become rows of nulls, and
+    ``unknown_schema`` gives them whole. One schema alone stands for every id.
+    """
     from pyspark.sql.avro.functions import from_avro
 
-    return _parse_once(df, from_avro(framed_payload(F.col(column)), schema_json, {"mode": "PERMISSIVE"}), keep)
+    payload = framed_payload(F.col(column))
+    if isinstance(schemas, str):
+        return _parse_once(df, from_avro(payload, schemas, {"mode": "PERMISSIVE"}), keep)
+    reader = list(schemas.values())[-1]
+    number = framed_schema_id(F.col(column))
+    read = F.coalesce(*[F.when(number == known, from_avro(payload, writer, {"mode": "PERMISSIVE", "avroSchema": reader}))
+                        for known, writer in schemas.items()])
+    return _parse_once(df, read, keep)
+
+
+def unknown_schema(df: DataFrame, known: Sequence[int], column: str = "value") -> DataFrame:
+    """Messages without a valid frame or with a schema id that is not known, with the reason."""
+    number = framed_schema_id(F.col(column))
+    reason = F.when(number.isNull(), F.lit("no frame")).when(~number.isin(*known), F.concat(F.lit("schema "), number))
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
 def encode_avro(df: DataFrame, key: Column, key_schema: str, key_id: int, columns: Sequence[str],

@@ -76,7 +76,8 @@ def random_score(*identity: Column, seed: int = 0) -> Column:
     after a lost executor gives each record the same score; without it, ``rand``.
     """
     if identity:
-        return (F.pmod(F.xxhash64(F.lit(seed), *identity), F.lit(100)) + 1).cast("int")
+        digest = F.md5(F.concat_ws("/", F.lit(str(seed)), *[c.cast("string") for c in identity]).cast("binary"))
+        return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100 + 1).cast("int")
     return (F.floor(F.rand(seed) * 100) + 1).cast("int")
 
 

@@ -3,7 +3,7 @@
 No side is marked for broadcast: on tables the engine measures each side at run time and
 broadcasts only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and it splits
 skewed partitions of a sort-merge join. Streams have no run-time re-planning, so there
-``split`` spreads a hot key over several tasks.
+``split`` spreads each key over several tasks.
 """
 
 from __future__ import annotations
@@ -16,20 +16,23 @@ from pyspark.sql import functions as F
 from .latest import first_by_key
 
 
-# Groups per key when a stream is on the left of a join.
+# Groups per key when a stream is on the left of a join, unless the caller gives a number.
 STREAM_SPLIT = 4
-# Columns that tell the records of a topic apart.
-PLACE = ("partition", "offset")
+# Tells the records of one key apart, whichever of their fields are set.
+RECORD = "_record_hash"
 
 
-def split_for(records: DataFrame, split: int | None) -> tuple[int, tuple[str, ...]]:
-    """How many groups to split each key into, and the record columns to carry for it.
+def split_for(records: DataFrame, split: int | None) -> tuple[DataFrame, int, tuple[str, ...]]:
+    """The records, how many groups to split each key into, and the column to carry for it.
 
     Unless the caller says otherwise streams are split and tables are not: on tables the
-    engine splits the keys that prove to be hot.
+    engine splits the keys that prove to be hot. Records are told apart by place and value,
+    so those without an offset are spread too.
     """
     groups = split if split is not None else STREAM_SPLIT if records.isStreaming else 1
-    return groups, PLACE if groups > 1 else ()
+    if groups <= 1:
+        return records, groups, ()
+    return records.withColumn(RECORD, F.xxhash64("topic", "partition", "offset", "value")), groups, (RECORD,)
 
 
 def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, *,

@@ -34,26 +34,34 @@ def message_order(rank: int) -> Column:
 def slot_changes(arrivals: DataFrame) -> DataFrame:
     """Each arrival as changes of train slots: empty the slot it left, fill the one it reached.
 
-    Nothing is emptied when either previous field is null. The emptying does not look at
+    Nothing is emptied when either previous field is null, and nothing is filled when the
+    arrival names no station. The emptying does not look at
     which train stands there. Any direction other than ``a`` is the second one.
     """
-    def change(station: str, direction: str, step: int, train: Column, status: Column) -> Column:
-        return F.struct(
-            F.col(station).alias("station_id"),
-            F.when(F.col(direction) == "a", F.lit("a")).otherwise(F.lit("b")).alias("kind"),
-            F.lit(step).alias("step"), train.alias("train_id"), status.alias("status"))
-
-    nothing = F.lit(None).cast("string")
-    leave = F.when(F.col("prev_station_id").isNotNull() & F.col("prev_direction").isNotNull(),
-                   change("prev_station_id", "prev_direction", 0, nothing, nothing))
-    reach = change("station_id", "direction", 1, F.col("train_id"), status_text(F.col("train_status")))
-    return (arrivals.select("line", "at", F.explode(F.array(leave, reach)).alias("_change"))
+    arrival = F.struct(*[c for c in arrivals.columns if c not in ("line", "at")])
+    return (arrivals.select("line", "at", F.explode(F.array(*arrival_changes(arrival))).alias("_change"))
             .where(F.col("_change").isNotNull())
             .select("line", "at", "_change.*"))
 
 
+def slot_change(station: Column, direction: Column, step: int, train: Column, status: Column) -> Column:
+    """One change of a train slot. Any direction other than ``a`` is the second one."""
+    return F.struct(station.alias("station_id"), F.when(direction == "a", F.lit("a")).otherwise(F.lit("b")).alias("kind"),
+                    F.lit(step).alias("step"), train.alias("train_id"), status.alias("status"))
+
+
+def arrival_changes(arrival: Column) -> list[Column]:
+    """The changes of an arrival (a struct): empty the slot it left, fill the one it reached."""
+    nothing = F.lit(None).cast("string")
+    leave = F.when(arrival["prev_station_id"].isNotNull() & arrival["prev_direction"].isNotNull(), slot_change(
+        arrival["prev_station_id"], arrival["prev_direction"], 0, nothing, nothing))
+    reach = F.when(arrival["station_id"].isNotNull(), slot_change(
+        arrival["station_id"], arrival["direction"], 1, arrival["train_id"], status_text(arrival["train_status"])))
+    return [leave, reach]
+
+
 def position_state(registrations: DataFrame, arrivals: DataFrame, counts: DataFrame) -> DataFrame:
-    """Current state of every registered station on every line.
+    """Current state of every registered station on every line, from one frame a kind.
 
     ``registrations``: line, station_id, station_name, order, at.
     ``arrivals``: line, station_id, train_id, direction, train_status, prev_station_id,
@@ -70,7 +78,11 @@ def position_state(registrations: DataFrame, arrivals: DataFrame, counts: DataFr
         .unionByName(fan_out(counts, "line", LINES).select(
             "line", "station_id", F.lit("count").alias("kind"), F.lit(0).alias("step"), "at",
             F.col("count").cast("long").alias("entries")), allowMissingColumns=True))
+    return state_of(messages)
+
 
+def state_of(messages: DataFrame) -> DataFrame:
+    """The same from messages: line, station_id, kind, step, at, station_name, order, train_id, status, entries."""
     def newest(kind: str, *fields: str) -> Column:
         # The order leads the struct, so the greatest struct is the newest message's.
         return F.max(F.when(F.col("kind") == kind, F.struct("at", "step", *fields)))

@@ -41,15 +41,13 @@ def expected_entries(seed: DataFrame, curve: DataFrame, steps: int = FIVE_MINUTE
 
 
 def entries_at(moments: DataFrame, seed: DataFrame, curve: DataFrame, time: str = "ts",
-               steps: int = FIVE_MINUTE_STEPS, legacy_weekday: bool = False) -> DataFrame:
-    """Entries expected in the step at each ``(station_id, time)``.
-
-    ``legacy_weekday`` uses the weekday riders on every day.
-    """
+               steps: int = FIVE_MINUTE_STEPS) -> DataFrame:
+    """Entries expected in the step at each ``(station_id, time)``; null for an unknown station or hour."""
     number = F.dayofweek(time)
-    kind = F.lit("weekday") if legacy_weekday else (
-        F.when(number == 1, F.lit("sunday")).when(number == 7, F.lit("saturday")).otherwise(F.lit("weekday")))
-    timed = moments.withColumn("hour", F.hour(time)).join(F.broadcast(hour_curve(curve)), "hour")
+    kind = F.when(number == 1, F.lit("sunday")).when(number == 7, F.lit("saturday")).otherwise(F.lit("weekday"))
+    timed = moments.withColumn("hour", F.hour(time)).join(F.broadcast(hour_curve(curve)), "hour", "left")
     found = lookup_first(timed, seed.select("station_id", *[F.col(f"`{c}`") for c in DAY_COLUMNS.values()]),
-                         ["station_id"], ["avg_weekday_rides"])
-    return found.select(*moments.columns, entries(daily_riders(kind), F.col("ridership_ratio"), steps).alias("entries"))
+                         ["station_id"], ["avg_weekday_rides"], "left")
+    expected = entries(daily_riders(kind), F.col("ridership_ratio"), steps)
+    known = F.col("ridership_ratio").isNotNull() & daily_riders(kind).isNotNull()
+    return found.select(*moments.columns, F.when(known, expected).alias("entries"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,31 +9,22 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import LINE_PRECEDENCE
 
-# A group up to this many rows is sorted by one task; larger ones are cut into chunks.
-CHUNK_ROWS = 1_000_000
-# The bounds between chunks are part of the plan, so their number is limited; with more
-# rows than this allows, chunks grow.
-MAX_CHUNKS = 500
+# Rows a chunk that the bounds between chunks are taken from, about.
 SAMPLE_PER_CHUNK = 1000
 
 
-def neighbours(df: DataFrame, group: str, order: Sequence[str], column: str,
-               chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def neighbours(df: DataFrame, group: str, order: Sequence[str], column: str, chunks: int | None = None) -> DataFrame:
     """``prev_<column>`` and ``next_<column>`` of each row within its group.
 
-    ``order`` must be unique within a group. The group sizes are measured first. If one
-    is above ``chunk_rows`` the order is cut at fixed bounds into chunks and neighbours
-    are found inside chunks. The rows at chunk ends, two per chunk, then find their
-    outer neighbours among themselves: in order, a chunk's head follows the tail before it.
+    ``order`` must be unique within a group. All rows are cut by group and order at fixed
+    bounds into as many chunks as the session has shuffle partitions (or ``chunks``), so no
+    task sorts more than its share however large a group is. Neighbours are found inside
+    chunks; the rows at chunk ends, two per chunk and group, then find their outer
+    neighbours among themselves: in order, a chunk's head follows the tail before it.
     """
-    sizes = df.groupBy(group).count().agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
+    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     before, after = F.lag(column), F.lead(column)
-    if (sizes["largest"] or 0) <= chunk_rows:
-        window = Window.partitionBy(group).orderBy(*order)
-        return df.select("*", before.over(window).alias(f"prev_{column}"), after.over(window).alias(f"next_{column}"))
-
-    chunks = min(math.ceil(sizes["total"] / chunk_rows), MAX_CHUNKS)
-    cut = df.withColumn("_chunk", _chunk_number(df, order, chunks, sizes["total"]))
+    cut = df.withColumn("_chunk", _chunk_number(df, [group, *order], chunks))
     inside = Window.partitionBy(group, "_chunk").orderBy(*order)
     local = cut.select(
         "*", before.over(inside).alias("_prev"), after.over(inside).alias("_next"),
@@ -49,13 +39,14 @@ def neighbours(df: DataFrame, group: str, order: Sequence[str], column: str,
     return middle.unionByName(ends)
 
 
-def _chunk_number(df: DataFrame, order: Sequence[str], chunks: int, total: int) -> Column:
+def _chunk_number(df: DataFrame, order: Sequence[str], chunks: int) -> Column:
     """Number of bounds below a row.
 
     The bounds are the tops of a range partitioning, collected once (one row per chunk),
     so every later use gives a row the same chunk. They are taken from a sample: where
     they fall decides only how even the chunks are.
     """
+    total = max(1, df.count())
     some = df.select(*order).sample(min(1.0, chunks * SAMPLE_PER_CHUNK / total), seed=1)
     tops = (some.repartitionByRange(chunks, *order)
             .groupBy(F.spark_partition_id().alias("_p")).agg(F.max(F.struct(*order)).alias("top"))
@@ -81,7 +72,7 @@ def _chunk_number(df: DataFrame, order: Sequence[str], chunks: int, total: int)
     return search(0, len(bounds))
 
 
-def line_topology(stations: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def line_topology(stations: DataFrame, chunks: int | None = None) -> DataFrame:
     """Stations of each line in order, with previous and next station id.
 
     A station is on every line whose flag it has. Stations are told apart by name: of
@@ -93,7 +84,7 @@ def line_topology(stations: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFram
         F.min_by(F.struct("station_id", "order"), F.struct("order", "stop_id")).alias("_first"),
         (F.min("station_id") != F.max("station_id")).alias("shared_name"))
     rows = named.select("line", "station_name", "_first.station_id", "_first.order", "shared_name")
-    return neighbours(rows, "line", ["order", "station_id", "station_name"], "station_id", chunk_rows)
+    return neighbours(rows, "line", ["order", "station_id", "station_name"], "station_id", chunks)
 
 
 def line_hops(topology: DataFrame) -> DataFrame:

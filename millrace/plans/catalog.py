@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import decode, scalars
@@ -18,6 +18,7 @@ from ..schemas import (ATTRIBUTED_CLICK_AVRO, BANK_CUSTOMER, DOUBLE, ENTRY_SUMMA
 from ..session import fresh_folder
 from ..sources import avro_files, files, increments, tables, topics
 from ..streaming import polling, run, sinks
+from ..streaming.tables import ChangeTable
 from . import bank, change_feed, clicks, ingest, lines_of_text, risk, transit, vehicles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,16 +89,16 @@ def balance_updates(spark, folder):
 def gear_position(spark, folder):
     lineitem = _t(spark, folder, "lineitem")
     vehicles.gear_position(tables.as_topic(lineitem, "gear-position", F.col("l_suppkey"), F.col("l_returnflag"))) \
-        .createOrReplaceTempView("GearPosition")
-    return spark.sql("SELECT * FROM GearPosition")
+        .createOrReplaceTempView("gears_now")
+    return spark.sql("SELECT truckId, gearPosition FROM gears_now")
 
 
 @query
 def atm_visits(spark, folder):
     orders = _t(spark, folder, "orders")
     bank.atm_visits(tables.as_topic(orders, "atm-visits", F.col("o_custkey"), F.col("o_orderpriority"))) \
-        .createOrReplaceTempView("ATMVisits")
-    return spark.sql("SELECT * FROM ATMVisits")
+        .createOrReplaceTempView("machine_visits")
+    return spark.sql("SELECT key, value FROM machine_visits")
 
 
 # --- typed JSON -------------------------------------------------------------------------
@@ -184,10 +185,9 @@ def known_only(spark, folder):
 def left_defaults(spark, folder):
     """Every customer with the number and newest status of their orders."""
     orders = _t(spark, folder, "orders")
-    newest = latest.latest_by_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    counts = aggregates.keyed_count(orders, "o_custkey", name="n_orders")
-    details = counts.join(newest.select("o_custkey", "o_orderstatus"), "o_custkey") \
-        .withColumnRenamed("o_custkey", "c_custkey")
+    details = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count("o_custkey").alias("n_orders"),
+        F.max(F.struct("o_orderdate", "o_orderkey", "o_orderstatus"))["o_orderstatus"].alias("o_orderstatus"))
     return joins.with_defaults(_t(spark, folder, "customer").select("c_custkey", "c_name"), details, ["c_custkey"],
                                {"n_orders": 0, "o_orderstatus": "---"})
 
@@ -248,9 +248,8 @@ def birth_year_split(spark, folder):
 
 @query
 def change_feed_decode(spark, folder):
-    """One entity kind: all fields of the customers."""
-    feed = filters.equals(_feed(spark, folder), "topic", "redis-server").where(F.col("key") == F.lit("Customer").cast("binary"))
-    return decode.decode_change_feed(feed, BANK_CUSTOMER)
+    """Every message of the feed read as a customer; other entities are rows of nulls or of shared fields."""
+    return decode.decode_change_feed(_feed(spark, folder), BANK_CUSTOMER)
 
 
 @query
@@ -401,9 +400,12 @@ def distinct_in_order(spark, folder):
 
 @query
 def progress_count(spark, folder):
-    """Events per type, with all rows counted on the way as a progress figure."""
+    """Events per type, beside the progress figure: all rows counted on the way."""
     seen = Observation("progress")
-    return aggregates.keyed_count(aggregates.with_progress(_t(spark, folder, "events"), seen), "event_type")
+    counts = aggregates.keyed_count(aggregates.with_progress(_t(spark, folder, "events"), seen), "event_type")
+    path = fresh_folder(spark, "progress")
+    counts.write.parquet(path)
+    return spark.read.parquet(path).withColumn("progress", F.lit(seen.get["rows"]).cast("long"))
 
 
 # --- selection and routing --------------------------------------------------------------
@@ -431,10 +433,15 @@ def topic_pattern(spark, folder):
 @query
 def route_by_value(spark, folder):
     """Rows per branch, unknown values as their own branch."""
-    kinds = ("view", "click", "purchase")
-    branches = filters.route(_t(spark, folder, "events"), "event_type", kinds)
-    parts = [df.select("event_id", F.lit(name or "other").alias("branch")) for name, df in branches.items()]
-    return topics.merge_topics(*parts)
+    label = filters.route_label(F.col("event_type"), ("view", "click", "purchase"), "other")
+    return _t(spark, folder, "events").select("event_id", label.alias("branch"))
+
+
+@query
+def flagged_parts(spark, folder):
+    """Parts whose large flag is set."""
+    flags = _t(spark, folder, "part").select("p_partkey", F.when(F.col("p_size") % 7 != 0, F.col("p_size") > 25).alias("large"))
+    return filters.flagged(flags, "large").select("p_partkey")
 
 
 @query
@@ -573,6 +580,18 @@ def status_board(spark, folder):
     return positions.status_board(transit.board_state(_board(spark, folder), TOPICS))
 
 
+@query
+def status_board_order(spark, folder):
+    """The place of every line of the board, counted over the rows in the order the board has them."""
+    board = positions.status_board(transit.board_state(_board(spark, folder), TOPICS))
+    place = F.monotonically_increasing_id()
+    # The sorted rows come partition after partition, so the place grows along the board.
+    path = fresh_folder(spark, "board-order")
+    board.select("line", "station_id", place.alias("place")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    return rows.select("line", "station_id", F.rank().over(Window.partitionBy("line").orderBy("place")).alias("rank"))
+
+
 @query
 def weather_line(spark, folder):
     return positions.weather_line(transit.weather_now(_board(spark, folder), TOPICS))
@@ -604,12 +623,6 @@ def entries_at(spark, folder):
                                 tables.event_curve(_t(spark, folder, "events")), steps=3)
 
 
-@query
-def entries_at_legacy(spark, folder):
-    return ridership.entries_at(_moments(spark, folder), tables.supplier_ridership(_t(spark, folder, "supplier")),
-                                tables.event_curve(_t(spark, folder, "events")), steps=3, legacy_weekday=True)
-
-
 # --- ingest -----------------------------------------------------------------------------
 
 @query
@@ -685,10 +698,113 @@ def stream_status_board(spark, folder):
 
 @query
 def stream_tumbling_bounded(spark, folder):
-    """Tumbling sums whose state is dropped behind a watermark; no event here is that late."""
-    sums = clicks.tumbling_uri_sums(tables.click_records(_s(spark, folder, "events")), watermark="1 hour")
-    kept = run.keep_table(sums, ["uri", "window_start", "window_end"], "tumbling-bounded")
-    return _plain_time(kept, "window_start", "window_end")
+    """Tumbling sums whose state is dropped behind a watermark, over events that come in time
+    order in four slices, each a run of its own; none is late, which the engine's count shows."""
+    kept, late = _in_slices(spark, folder, lambda records: clicks.tumbling_uri_sums(records, watermark="1 hour"),
+                            ["uri", "window_start", "window_end"], "tumbling-bounded")
+    return _plain_time(kept.withColumn("late_rows", F.lit(late).cast("long")), "window_start", "window_end")
+
+
+def _in_slices(spark, folder, build, keys, label, slices=4):
+    """The table that a stream over the click records keeps when the events arrive in ``slices``
+    slices of time, with a restart from the checkpoint before each; and the rows dropped as late."""
+    records = tables.click_records(_t(spark, folder, "events"))
+    bounds = records.select(F.unix_micros("timestamp").alias("t")).approxQuantile("t", [i / slices for i in range(1, slices)], 0.01)
+    part = sum((F.unix_micros("timestamp") > F.lit(b)).cast("int") for b in bounds)
+    source, checkpoint = fresh_folder(spark, "slices"), fresh_folder(spark, f"checkpoints/{label}")
+    broker, late, table = topics.Broker(folder=source), 0, None
+    for i in range(slices):
+        records.where(part == i).write.parquet(f"{source}/clicks/slice{i}")
+        sums = build(topics.read_topic(spark, broker, "clicks"))
+        table = table or ChangeTable.of(sums, fresh_folder(spark, f"{label}-table"), keys)
+        late += run.late_rows(run.run_available(table.writer(sums, checkpoint)))
+    return table.current(spark), late
+
+
+@query
+def restarted_sums(spark, folder):
+    """Running sums of a stream that is stopped and started again before each of four slices."""
+    return _in_slices(spark, folder, clicks.uri_sums, ["uri"], "restarted")[0]
+
+
+@query
+def stream_current_uri_sums(spark, folder):
+    """The newest window of each uri, from the windows that a stream keeps in a table."""
+    sums = clicks.hopping_uri_sums(tables.click_records(_s(spark, folder, "events")))
+    windows = run.keep_table(sums, ["uri", "window_start", "window_end"], "windows")
+    return _plain_time(clicks.current_uri_sums(windows), "window_start", "window_end")
+
+
+@query
+def stream_turnstile_table_summary(spark, folder):
+    """Entries per station where a later row of a key replaces the earlier one: a stream keeps
+    the latest row of each key in a table, and the table is counted."""
+    records = tables.turnstile_records(_s(spark, folder, "events"), TOPICS.turnstile)
+    rows = filters.present(transit.turnstile_rows(records, keep=["offset"]), "station_id")
+    keys = ["line", "station_id"]
+    kept = run.keep_table(latest.latest_by_key(rows, keys, ["offset"]), keys, "turnstile-rows")
+    return aggregates.keyed_count(kept, "station_id")
+
+
+@query
+def stream_bounded_deposit_join(spark, folder):
+    """Large deposits with the items of the account published within 30 days, as streams with bounded state."""
+    orders, items = _s(spark, folder, "orders"), _s(spark, folder, "lineitem")
+    holders = tables.as_topic(items, "bank-customers", F.col("l_orderkey"), F.to_json(F.struct(
+        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("customerName"),
+        F.col("l_orderkey").cast("string").alias("accountNumber"))), F.col("l_shipdate"))
+    deposits = tables.as_topic(orders, "bank-deposits", F.col("o_orderkey"), F.to_json(F.struct(
+        F.col("o_orderkey").cast("string").alias("accountNumber"), F.col("o_totalprice").alias("amount"),
+        F.lit("").alias("dateAndTime"))), F.col("o_orderdate"))
+    joined = bank.bounded_deposits(deposits, holders, "1 day", "30 days", HALF_OF_ORDERS)
+    kept = run.keep_rows(joined.select("accountNumber", "amount", "customerName", "depositTime", "customerTime"), "bounded-deposits")
+    return _plain_time(_as_double(kept, "amount"), "depositTime", "customerTime")
+
+
+@query
+def replayed_topic(spark, folder):
+    """A stream over a topic run twice: from its checkpoint nothing comes again, from a new one all does."""
+    records = tables.deposit_records(_t(spark, folder, "orders"))
+    broker = topics.Broker(folder=fresh_folder(spark, "replayed"))
+    records.write.parquet(f"{broker.folder}/bank-deposits")
+    path = fresh_folder(spark, "replays")
+    first = fresh_folder(spark, "checkpoints/replayed")
+    for i, checkpoint in enumerate((first, first, run.replay_checkpoint(spark, "replayed"))):
+        def store(batch: DataFrame, batch_id: int, name: int = i) -> None:
+            batch.select("key").withColumn("run", F.lit(name)).write.mode("overwrite").parquet(f"{path}/run{name}-{batch_id}")
+
+        run.run_available(sinks.for_each_batch(topics.read_topic(spark, broker, "bank-deposits"), store, checkpoint))
+    stored = spark.read.schema("key binary, run int").option("recursiveFileLookup", "true").parquet(path)
+    return stored.select(F.col("key").cast("string").alias("key"), "run")
+
+
+@query
+def bounded_batches(spark, folder):
+    """Sums per micro-batch of a topic of six files read two at a time."""
+    records = tables.deposit_records(_t(spark, folder, "orders"))
+    broker = topics.Broker(folder=fresh_folder(spark, "bounded"))
+    for i in range(6):
+        records.where(F.col("offset") % 6 == i).coalesce(1).write.parquet(f"{broker.folder}/bank-deposits/part{i}")
+    path = fresh_folder(spark, "batches")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.agg(F.count("*").alias("rows"), F.count_distinct(F.col("offset") % 6).alias("files")) \
+            .write.mode("overwrite").parquet(f"{path}/{batch_id}")
+
+    stream = topics.read_topic(spark, broker, "bank-deposits", max_files=2)
+    run.run_available(sinks.for_each_batch(stream, store, fresh_folder(spark, "checkpoints/bounded")))
+    stored = spark.read.schema("rows long, files long").option("recursiveFileLookup", "true").parquet(path)
+    return stored.agg(F.count("*").alias("batches"), F.max("files").alias("most_files"), F.sum("rows").alias("rows"))
+
+
+@query
+def split_clicks(spark, folder):
+    """Valid clicks and rejects, with the reason, published by one stream in one pass and read back."""
+    stream = tables.mixed_click_records(_s(spark, folder, "events"))
+    broker = topics.Broker(folder=fresh_folder(spark, "split"))
+    run.run_available(sinks.split_writer(clicks.judged_clicks(stream), broker, "clicks.required", "clicks.rejected", "uri",
+                                         fresh_folder(spark, "checkpoints/split")))
+    return decode.as_text(topics.read_topic(spark, broker, ["clicks.required", "clicks.rejected"], streaming=False), keep=["topic"])
 
 
 @query

@@ -114,7 +114,7 @@ BOARD = f"""
                ts, topic, event_id, 0 AS step
         FROM arr WHERE prev_station IS NOT NULL AND prev_direction IS NOT NULL
         UNION ALL
-        SELECT line, station_id, direction, train_id, status, ts, topic, event_id, 1 FROM arr),
+        SELECT line, station_id, direction, train_id, status, ts, topic, event_id, 1 FROM arr WHERE event_id % 9 <> 0),
     newest AS (
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY line, station_id, direction
                                                     ORDER BY ts DESC, topic DESC, event_id DESC, step DESC) AS rn
@@ -165,9 +165,9 @@ RIDERS = """
 def _entries_at(day: str) -> str:
     return f"""{RIDERS}
     SELECT event_id, CAST(user_id AS INTEGER) AS station_id, ts,
-           CAST(greatest(floor(riders * ratio / 3), 0) AS BIGINT) AS entries
-    FROM events JOIN curve ON hour(ts) = curve.hour
-    JOIN riders ON riders.station_id = user_id AND day = {day}"""
+           CASE WHEN riders IS NOT NULL THEN CAST(greatest(floor(riders * ratio / 3), 0) AS BIGINT) END AS entries
+    FROM events LEFT JOIN curve ON hour(ts) = curve.hour
+    LEFT JOIN riders ON riders.station_id = user_id AND day = {day}"""
 
 
 ORACLES = {
@@ -240,7 +240,10 @@ ORACLES = {
     "country_now_and_home_split": f"WITH places AS ({PLACES}) {COUNTRY_PICK}",
     "email_and_birth_year": f"""SELECT email, substr("birthDay", 1, 4) AS "birthYear" FROM ({CUSTOMER})""",
     "birth_year_split": "SELECT o_orderkey, split_part(strftime(o_orderdate, '%Y-%m-%d'), '-', 1) AS year FROM orders",
-    "change_feed_decode": CUSTOMER,
+    "change_feed_decode": f"""{CUSTOMER}
+        UNION ALL SELECT 'Customer#' || o_custkey, NULL, NULL, NULL, NULL, NULL FROM orders
+        UNION ALL SELECT 'Supplier#' || l_suppkey, NULL, NULL, NULL, NULL, NULL FROM lineitem
+        UNION ALL SELECT NULL, NULL, NULL, NULL, account, location FROM ({PLACES})""",
     "customer_risk": f"""
         SELECT {EMAIL.format('user_id')} AS customer, CAST(CAST(value AS FLOAT) AS DOUBLE) AS score FROM events""",
     "risk_by_birth_year": RISK,
@@ -288,7 +291,13 @@ ORACLES = {
         "l_partkey", "l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC"),
     "distinct_in_order": """
         SELECT l_returnflag, l_partkey, min(l_shipdate) AS l_shipdate FROM lineitem GROUP BY l_returnflag, l_partkey""",
-    "progress_count": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
+    "progress_count": """
+        SELECT event_type, count(*) AS count, (SELECT count(*) FROM events) AS progress FROM events GROUP BY event_type""",
+    "flagged_parts": "SELECT p_partkey FROM part WHERE p_size % 7 <> 0 AND p_size > 25",
+    "scored_clicks": f"""
+        SELECT uri AS key, '{{"email":"' || email || '","timestamp":"' || "timestamp" || '","uri":"' || uri || '","number":' || number ||
+               ',"score":' || (CAST('0x' || substr(md5('0/clicks/0/' || event_id), 1, 8) AS BIGINT) % 100 + 1) || '}}' AS value
+        FROM ({CLICK})""",
     "text_without": "SELECT doc_id, lang FROM documents WHERE NOT contains(text, 'the')",
     "topic_match": f"""
         SELECT event_id, 'org.example.arrival.' || event_type || '.v3' AS topic FROM events
@@ -342,6 +351,9 @@ ORACLES = {
         "station_id, station_name, event_type AS line", "station_id", "ts DESC, event_id DESC"),
     "position_state": BOARD + STATE_COLUMNS,
     "status_board": STATUS_BOARD,
+    "status_board_order": f"""{BOARD}
+        SELECT line, CAST(station_id AS INTEGER) AS station_id,
+               CAST(row_number() OVER (PARTITION BY line ORDER BY "order", station_id) AS INTEGER) AS rank FROM state""",
     "weather_line": f"""
         SELECT CAST(trunc(CAST(value AS FLOAT)) AS INTEGER) AS degrees, CASE WHEN {K} % 2 = 0 THEN 'Partly Cloudy' ELSE 'Windy' END AS sky
         FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 1""",
@@ -354,7 +366,6 @@ ORACLES = {
         SELECT station_id, day, CAST(hour AS INTEGER) AS hour, CAST(greatest(floor(riders * ratio / 3), 0) AS BIGINT) AS entries
         FROM riders, curve""",
     "entries_at": _entries_at("CASE dayofweek(ts) WHEN 0 THEN 'sunday' WHEN 6 THEN 'saturday' ELSE 'weekday' END"),
-    "entries_at_legacy": _entries_at("'weekday'"),
     "incremental_ingest": """
         SELECT CAST(o_orderkey AS VARCHAR) AS key,
                '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}' AS value,
@@ -374,7 +385,25 @@ ORACLES |= {
     "stream_turnstile_summary": """
         SELECT CAST(user_id AS INTEGER) AS station_id, count(*) AS count FROM events GROUP BY user_id""",
     "stream_status_board": ORACLES["status_board"],
-    "stream_tumbling_bounded": ORACLES["tumbling_uri_sums"],
+    "stream_tumbling_bounded": f"SELECT *, CAST(0 AS BIGINT) AS late_rows FROM ({ORACLES['tumbling_uri_sums']})",
+    "restarted_sums": ORACLES["uri_sums"],
+    "stream_current_uri_sums": ORACLES["current_uri_sums"],
+    "stream_turnstile_table_summary": ORACLES["turnstile_table_summary"],
+    "stream_bounded_deposit_join": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS "accountNumber", CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS amount,
+               'line ' || l_linenumber AS "customerName", o_orderdate AS "depositTime", l_shipdate AS "customerTime"
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+        WHERE CAST(o_totalprice AS FLOAT) > 250000.0
+          AND o_orderdate BETWEEN l_shipdate - INTERVAL 30 DAY AND l_shipdate + INTERVAL 30 DAY""",
+    "replayed_topic": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS key, run FROM orders, (SELECT CAST(unnest([0, 2]) AS INTEGER) AS run)""",
+    "bounded_batches": """
+        SELECT CAST(3 AS BIGINT) AS batches, CAST(2 AS BIGINT) AS most_files, count(*) AS rows FROM orders""",
+    "split_clicks": f"""
+        SELECT uri AS key, '{{' || CASE WHEN flaw = 'null' THEN '' ELSE '"email":"' || email || '",' END || '"timestamp":"' || "timestamp" ||
+               '","uri":"' || uri || '"}}' AS value, 'clicks.required' AS topic
+        FROM ({MIXED}) WHERE flaw IN ('good', 'null', 'text')
+        UNION ALL SELECT reason, value, 'clicks.rejected' FROM ({ORACLES['required_clicks_rejected']})""",
     "stream_newest_orders": _latest(
         "SELECT * FROM orders", "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority",
         "o_custkey", "o_orderdate DESC, o_orderkey DESC"),

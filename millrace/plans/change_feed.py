@@ -11,6 +11,11 @@ from ..operators.joins import inner_join, split_for
 from ..schemas import BANK_CUSTOMER, CUSTOMER_LOCATION, FITNESS_CUSTOMER, PAYMENT, RESERVATION
 
 
+def naming(text: DataFrame, field: str) -> DataFrame:
+    """Entities whose text may have the field: it holds the name, or an escaped character."""
+    return text.where(F.col("entity").contains(field) | F.col("entity").contains("\\u"))
+
+
 def truck_reservations(records: DataFrame) -> DataFrame:
     return present(decode_change_feed(records, RESERVATION), "reservationDate")
 
@@ -34,8 +39,9 @@ def country_now_and_home(records: DataFrame, split_entities: bool = False, split
     Both sides come from one feed. By default customer messages also count as locations,
     so each customer meets its own home; ``split_entities`` keeps them out.
     """
-    split, keep = split_for(records, split)
-    text = change_feed_text(records, keep)
+    records, split, keep = split_for(records, split)
+    # Only entities that name an account can have a partner; the others are not parsed again.
+    text = naming(change_feed_text(records, keep), "accountNumber")
     customer_text, location_text = text, text
     if split_entities:
         customer_text = contains(text, "entity", "birthDay")
@@ -50,5 +56,6 @@ def country_now_and_home(records: DataFrame, split_entities: bool = False, split
 
 
 def email_and_birth_year(records: DataFrame) -> DataFrame:
-    customers = present(decode_change_feed(records, FITNESS_CUSTOMER), "email", "birthDay")
+    text = naming(change_feed_text(records), "birthDay")
+    customers = present(flatten_json(text, FITNESS_CUSTOMER, "entity"), "email", "birthDay")
     return customers.select("email", part_of(F.col("birthDay"), "-", 0).alias("birthYear"))

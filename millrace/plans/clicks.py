@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.decode import as_text, flatten_json, json_value, map_entries, pretty_json, required_split, typed_split
+from ..functions.decode import (as_text, counted_rejects, flatten_json, json_value, judged_records, map_entries, pretty_json,
+                                required_faults, required_split, typed_split)
 from ..functions.scalars import random_score
 from ..operators.aggregates import current_window, running_sum, windowed_sum
 from ..operators.filters import at_least
@@ -30,7 +31,8 @@ def click_text(records: DataFrame) -> DataFrame:
 
 def click_events(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Clicks that pass record validation."""
-    return typed_split(records, CLICK, keep=keep)[0]
+    judged = judged_records(records, CLICK, keep=keep)
+    return counted_rejects(judged, "rejected_clicks").select("_record.*", *keep)
 
 
 def invalid_clicks(records: DataFrame) -> DataFrame:
@@ -94,6 +96,16 @@ def required_clicks(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return required_split(records, CLICK_PLAIN, ("email", "uri", "timestamp"))
 
 
+def judged_clicks(records: DataFrame) -> DataFrame:
+    """All clicks in one pass, each with the first of the three keys it lacks, if any."""
+    return judged_records(records, CLICK_PLAIN, faults=required_faults(("email", "uri", "timestamp")))
+
+
+def typed_clicks(records: DataFrame) -> DataFrame:
+    """All clicks in one pass, each with what record validation finds, if anything."""
+    return judged_records(records, CLICK)
+
+
 def click_attributes(records: DataFrame) -> DataFrame:
     """One row per attribute of a click."""
     return map_entries(flatten_json(records, ATTRIBUTED_CLICK), "attributes", ["email", "uri", "number"])

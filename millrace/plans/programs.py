@@ -6,31 +6,37 @@ stream writer that publishes or prints it. Topic names can be replaced at the ca
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.decode import json_value
-from ..operators.positions import status_board
-from ..sources.topics import Broker, read_topic
+from ..operators.positions import status_board, weather_line
+from ..sources.topics import Broker, merge_topics, read_topic
 from ..streaming import sinks
-from ..streaming.tables import ChangeTable
+from ..streaming.tables import COMPACT_EVERY, ChangeTable
 from . import bank, change_feed, clicks, risk, transit, vehicles
 
 
 @dataclass(frozen=True)
 class Program:
-    """``build`` takes one frame of records per topic.
+    """``build`` takes one frame of records per topic, and the options named in ``takes``.
 
-    Results without ``out`` go to the console; else they are ``(key, value)`` records.
+    Results without ``out`` go to the console; else they are ``(key, value)`` records. With
+    ``rejects`` the result is a frame of judged records, whose valid rows go to ``out`` under
+    ``key`` and the others, with their reason, to ``rejects``. Topic names may hold
+    ``{space}``, the name space of the transit topics.
     """
 
     topics: tuple[str, ...]
     build: Callable[..., DataFrame]
     out: str = ""
     mode: str = "append"
+    takes: tuple[str, ...] = ()
+    rejects: str = ""
+    key: str = ""
 
 
 def _gear_updates(records: DataFrame) -> DataFrame:
@@ -43,8 +49,8 @@ def _station_changes(records: DataFrame) -> DataFrame:
     return json_value(table, "station_id", nulls=True)
 
 
-def _summary_changes(records: DataFrame) -> DataFrame:
-    summary = sinks.upper_names(transit.turnstile_summary(transit.turnstile_rows(records, avro=True)))
+def _summary_changes(records: DataFrame, avro: bool = True) -> DataFrame:
+    summary = sinks.upper_names(transit.turnstile_summary(transit.turnstile_rows(records, avro=avro)))
     return json_value(summary, "STATION_ID")
 
 
@@ -55,18 +61,20 @@ PROGRAMS = {
     "atm-visits": Program(("atm-visits",), bank.atm_visits, "atm-visit-updates"),
     "vehicle-status": Program(("vehicle-status",), vehicles.vehicle_status),
     "bank-deposits": Program(("bank-deposits",), bank.bank_deposits),
-    "vehicle-check-in": Program(("vehicle-status", "check-in"), vehicles.vehicle_check_in),
-    "large-deposits": Program(("bank-deposits", "bank-customers"), bank.large_deposits),
-    "check-in-status": Program(("vehicle-status", "check-in"), vehicles.vehicle_check_in_topic, "checkin-status"),
+    "vehicle-check-in": Program(("vehicle-status", "check-in"), vehicles.vehicle_check_in, takes=("split",)),
+    "large-deposits": Program(("bank-deposits", "bank-customers"), bank.large_deposits, takes=("split",)),
+    "large-deposits-within": Program(("bank-deposits", "bank-customers"), bank.bounded_deposits, takes=("delay", "within")),
+    "check-in-status": Program(("vehicle-status", "check-in"), vehicles.vehicle_check_in_topic, "checkin-status",
+                               takes=("split",)),
     "withdrawal-locations": Program(("bank-withdrawals", "atm-withdrawals"), bank.withdrawal_location_topic,
-                                    "withdrawals-location"),
+                                    "withdrawals-location", takes=("split",)),
     "truck-reservations": Program(("redis-server",), change_feed.truck_reservations),
     "customer-locations": Program(("redis-server",), change_feed.customer_locations),
     "payments": Program(("redis-server",), change_feed.payment_topic, "payment-json"),
-    "current-country": Program(("redis-server",), change_feed.country_now_and_home),
+    "current-country": Program(("redis-server",), change_feed.country_now_and_home, takes=("split",)),
     "customer-risk": Program(("risk-events",), risk.customer_risk),
     "email-birth-year": Program(("redis-server",), change_feed.email_and_birth_year),
-    "risk-metrics": Program(("risk-events", "redis-server"), risk.risk_topic, "risk-metrics"),
+    "risk-metrics": Program(("risk-events", "redis-server"), risk.risk_topic, "risk-metrics", takes=("split",)),
     "click-text": Program(("clickevents",), clicks.click_text),
     "click-print": Program(("clickevents",), clicks.click_print),
     "click-sanitize": Program(("clickevents",), clicks.sanitized_clicks, "clickevents.sanitized"),
@@ -74,29 +82,40 @@ PROGRAMS = {
     "click-score": Program(("clickevents",), clicks.scored_clicks, "clickevents.scored"),
     "click-required": Program(("clickevents",), lambda records: clicks.required_clicks(records)[0]),
     "click-rejected": Program(("clickevents",), lambda records: clicks.required_clicks(records)[1]),
+    "click-split": Program(("clickevents",), clicks.judged_clicks, "clickevents.required", rejects="clickevents.rejected", key="uri"),
+    "click-valid": Program(("clickevents",), clicks.typed_clicks, "clickevents.valid", rejects="clickevents.invalid", key="uri"),
     "click-attributes": Program(("clickevents",), clicks.click_attributes),
     "uri-sums": Program(("clickevents",), clicks.uri_sums, mode="update"),
-    "uri-sums-tumbling": Program(("clickevents",), clicks.tumbling_uri_sums, mode="update"),
-    "uri-sums-hopping": Program(("clickevents",), clicks.hopping_uri_sums, mode="update"),
-    "station-table": Program(("v3.stations",), _station_changes, "station.table.v3", "update"),
-    "turnstile-summary": Program(("turnstile.v3",), _summary_changes, "TURNSTILE_SUMMARY", "update"),
+    "uri-sums-tumbling": Program(("clickevents",), clicks.tumbling_uri_sums, mode="update", takes=("watermark",)),
+    "uri-sums-hopping": Program(("clickevents",), clicks.hopping_uri_sums, mode="update", takes=("watermark",)),
+    "station-table": Program(("{space}v3.stations",), _station_changes, "{space}station.table.v3", "update"),
+    "turnstile-summary": Program(("{space}turnstile.v3",), _summary_changes, "TURNSTILE_SUMMARY", "update", ("avro",)),
 }
 
 
-def build_program(spark: SparkSession, name: str, broker: Broker, topics: Sequence[str] = (),
-                  **reading: object) -> DataFrame:
-    """The result of a program; ``topics`` replaces its topic names, in order."""
+def build_program(spark: SparkSession, name: str, broker: Broker, topics: Sequence[str] = (), *, space: str = "",
+                  options: Mapping[str, object] | None = None, **reading: object) -> DataFrame:
+    """The result of a program; ``topics`` replaces its topic names, in order.
+
+    ``options`` are passed on if the program takes them: ``split`` (groups a key is spread
+    over in a join), ``watermark`` (windows), ``delay`` and ``within`` (bounded joins), ``avro``.
+    """
     program = PROGRAMS[name]
-    names = tuple(topics) or program.topics
+    names = tuple(topics) or tuple(topic.format(space=space) for topic in program.topics)
     if len(names) != len(program.topics):
         raise ValueError(f"{name} reads {len(program.topics)} topics: {', '.join(program.topics)}")
-    return program.build(*[read_topic(spark, broker, topic, **reading) for topic in names])
+    unknown = sorted(set(options or ()) - set(program.takes))
+    if unknown:
+        raise ValueError(f"{name} takes no {', '.join(unknown)}")
+    return program.build(*[read_topic(spark, broker, topic, **reading) for topic in names], **(options or {}))
 
 
-def program_writer(result: DataFrame, name: str, broker: Broker, checkpoint: str, out: str = "") -> DataStreamWriter:
+def program_writer(result: DataFrame, name: str, broker: Broker, checkpoint: str, out: str = "", space: str = "") -> DataStreamWriter:
     """Writer of a program's result: to ``out``, its own topic, or the console."""
     program = PROGRAMS[name]
-    topic = out or program.out
+    topic = out or program.out.format(space=space)
+    if program.rejects:
+        return sinks.split_writer(result, broker, topic, program.rejects, program.key, checkpoint)
     if not topic:
         return sinks.console(result, program.mode).option("checkpointLocation", checkpoint)
     if not program.out:
@@ -110,18 +129,27 @@ BOARD_KEYS = ("line", "station_id")
 
 def board_stream(spark: SparkSession, broker: Broker, topics: transit.TransitTopics, avro: bool = True,
                  **reading: object) -> DataFrame:
-    """Changes of the board's state from its live topics."""
-    return transit.board_state_of(
-        read_topic(spark, broker, topics.station_table, **reading),
-        read_topic(spark, broker, pattern=topics.arrival_pattern, **reading),
-        read_topic(spark, broker, topics.summary, **reading), topics, avro)
+    """Changes of the board's state from its live topics; each topic is read once."""
+    records = merge_topics(read_topic(spark, broker, [topics.station_table, topics.summary], **reading),
+                           read_topic(spark, broker, pattern=topics.arrival_pattern, **reading))
+    return transit.board_state(records, topics, avro)
+
 
+def weather_stream(spark: SparkSession, broker: Broker, topics: transit.TransitTopics, avro: bool = True,
+                   **reading: object) -> DataFrame:
+    """The weather line of the board, once for each change."""
+    return weather_line(transit.weather_now(read_topic(spark, broker, topics.weather, **reading), topics, avro))
 
-def board_writer(changes: DataFrame, table: ChangeTable, checkpoint: str,
-                 show: Callable[[DataFrame], object]) -> DataStreamWriter:
-    """Store each micro-batch of changes, then hand the whole current board to ``show``."""
+
+def board_writer(changes: DataFrame, table: ChangeTable, checkpoint: str, show: Callable[[DataFrame], object],
+                 every: int = COMPACT_EVERY) -> DataStreamWriter:
+    """Store each micro-batch of changes and hand the lines that changed, in display order, to ``show``.
+
+    A micro-batch costs as much as it changes: the stored board is neither read nor sorted
+    but for the compaction every so many batches. Its whole is ``table.current``.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        table.append(batch, batch_id)
-        show(status_board(table.current(batch.sparkSession)))
+        table.append_and_compact(batch, batch_id, every)
+        show(status_board(batch))
 
     return sinks.for_each_batch(changes, handle, checkpoint, "update")

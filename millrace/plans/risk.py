@@ -16,12 +16,12 @@ def customer_risk(records: DataFrame) -> DataFrame:
 
 def risk_by_birth_year(risk_records: DataFrame, feed_records: DataFrame, split: int | None = None) -> DataFrame:
     """Every score of a customer with every feed record of the same e-mail."""
-    split, keep = split_for(risk_records, split)
+    risk_records, split, keep = split_for(risk_records, split)
     scores = flatten_json(risk_records, RISK_EVENT, keep=keep).select("customer", "score", *keep)
     return inner_join(scores, email_and_birth_year(feed_records), "customer", "email",
                       split=split, split_by=keep)
 
 
-def risk_topic(risk_records: DataFrame, feed_records: DataFrame) -> DataFrame:
+def risk_topic(risk_records: DataFrame, feed_records: DataFrame, split: int | None = None) -> DataFrame:
     """The join as JSON keyed by customer; ``score`` is a JSON number."""
-    return json_value(risk_by_birth_year(risk_records, feed_records), "customer")
+    return json_value(risk_by_birth_year(risk_records, feed_records, split), "customer")

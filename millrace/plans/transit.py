@@ -13,14 +13,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.decode import decode_avro, flatten_json, typed_split
+from ..functions.decode import avro_record, counted_rejects, decode_avro, flatten_json, judged_records, typed_faults, typed_split
 from ..functions.scalars import line_color, topic_name
 from ..operators.aggregates import count_latest_by_key, keyed_count
 from ..operators.filters import present, topic_between
 from ..operators.latest import latest_by_key
-from ..operators.positions import (ARRIVAL_RANK, COUNT_RANK, STATION_RANK, current_weather, message_order,
-                                   position_state)
-from ..schemas import (ARRIVAL, ARRIVAL_AVRO, ENTRY_SUMMARY, STATION, STATION_ROW, TURNSTILE, TURNSTILE_AVRO,
+from ..operators.positions import (ARRIVAL_RANK, COUNT_RANK, STATION_RANK, arrival_changes, current_weather, message_order,
+                                   position_state, state_of)
+from ..schemas import (ARRIVAL, ARRIVAL_AVRO, ENTRY_SUMMARY, LINES, STATION, STATION_ROW, TURNSTILE, TURNSTILE_AVRO,
                        WEATHER, WEATHER_AVRO)
 
 PLACE = ("timestamp", "topic", "partition", "offset")
@@ -78,7 +78,8 @@ def station_rows(records: DataFrame, keep: Sequence[str] = PLACE) -> DataFrame:
 
     A station without a color flag has a null line and is kept.
     """
-    stations = typed_split(records, STATION, keep=keep)[0]
+    judged = judged_records(records, STATION, keep=keep)
+    stations = counted_rejects(judged, "rejected_stations").select("_record.*", *keep)
     return stations.select("station_id", "station_name", "order", line_color().alias("line"), *keep)
 
 
@@ -117,7 +118,8 @@ def registrations(records: DataFrame, topics: TransitTopics) -> DataFrame:
 
 def arrivals(records: DataFrame, topics: TransitTopics, avro: bool = False) -> DataFrame:
     mine = records.where(topics.is_arrival(F.col("topic")))
-    rows = present(_rows(mine, ARRIVAL, ARRIVAL_AVRO, avro, PLACE), "station_id")
+    # An arrival without a station still empties the slot that the train left.
+    rows = _rows(mine, ARRIVAL, ARRIVAL_AVRO, avro, PLACE)
     return rows.select(*ARRIVAL.names, message_order(ARRIVAL_RANK).alias("at"))
 
 
@@ -128,12 +130,42 @@ def summary_counts(records: DataFrame, topics: TransitTopics) -> DataFrame:
         F.col("STATION_ID").alias("station_id"), F.col("COUNT").alias("count"), message_order(COUNT_RANK).alias("at"))
 
 
+def board_messages(records: DataFrame, topics: TransitTopics, avro: bool = False) -> DataFrame:
+    """The board's messages from one frame of its topics: each record is read and parsed once."""
+    topic, text = F.col("topic"), F.col("value").cast("string")
+    station, arrival, count = topic == topics.station_table, topics.is_arrival(topic), topic == topics.summary
+    read = F.struct(
+        F.when(station, F.from_json(text, "map<string,string>")).alias("_present"),
+        F.when(station, F.from_json(text, STATION_ROW)).alias("_record"),
+        F.when(arrival, avro_record(F.col("value"), ARRIVAL_AVRO) if avro else F.from_json(text, ARRIVAL)).alias("_arrival"),
+        F.when(count, F.from_json(text, ENTRY_SUMMARY)).alias("_count"))
+    rows = records.where(station | arrival | count).select(*PLACE, F.inline_outer(F.array(read)))
+    fault = F.coalesce(*typed_faults(STATION_ROW, optional=("line",)))
+
+    def message(line: Column, kind: Column, step: Column, rank: int, station_id: Column, **more: Column) -> Column:
+        empty = {"station_name": "string", "order": "int", "train_id": "string", "status": "string", "entries": "bigint"}
+        return F.struct(line.alias("line"), station_id.cast("int").alias("station_id"), kind.alias("kind"), step.cast("int").alias("step"),
+                        message_order(rank).alias("at"), *[more.get(n, F.lit(None)).cast(t).alias(n) for n, t in empty.items()])
+
+    record, counted = F.col("_record"), F.col("_count")
+    registered = F.when(F.col("_present").isNotNull() & fault.isNull(), message(
+        record["line"], F.lit("station"), F.lit(0), STATION_RANK, record["station_id"],
+        station_name=record["station_name"], order=record["order"]))
+    moved = [F.when(change.isNotNull(), message(F.col("_arrival.line"), change["kind"], change["step"], ARRIVAL_RANK, change["station_id"],
+                                                train_id=change["train_id"], status=change["status"]))
+             for change in arrival_changes(F.col("_arrival"))]
+    entered = [F.when(counted["STATION_ID"].isNotNull(), message(F.lit(line), F.lit("count"), F.lit(0), COUNT_RANK, counted["STATION_ID"],
+                                                                entries=counted["COUNT"])) for line in LINES]
+    return (rows.select(F.explode(F.array(registered, *moved, *entered)).alias("_message")).where(F.col("_message").isNotNull())
+            .select("_message.*").where(F.col("line").isin(*LINES)))
+
+
 def board_state(records: DataFrame, topics: TransitTopics, avro: bool = False) -> DataFrame:
-    """State behind the status board from one frame of all its topics.
+    """State behind the status board from one frame of all its topics, in one pass.
 
     Each kind of message is picked by topic name. Show the state with ``status_board``.
     """
-    return board_state_of(records, records, records, topics, avro)
+    return state_of(board_messages(records, topics, avro))
 
 
 def board_state_of(station_records: DataFrame, arrival_records: DataFrame, summary_records: DataFrame,

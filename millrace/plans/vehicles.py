@@ -27,7 +27,7 @@ def vehicle_status(records: DataFrame, schema: StructType = VEHICLE_STATUS) -> D
 def vehicle_check_in(status_records: DataFrame, check_in_records: DataFrame,
                      schema: StructType = VEHICLE_STATUS, split: int | None = None) -> DataFrame:
     """Every status of a truck with every check-in of the same truck."""
-    split, keep = split_for(status_records, split)
+    status_records, split, keep = split_for(status_records, split)
     status = flatten_json(status_records, schema, keep=keep).withColumnRenamed("truckNumber", "statusTruckNumber")
     check_in = flatten_json(check_in_records, CHECK_IN).select(
         "reservationId", "locationName", F.col("truckNumber").alias("checkinTruckNumber"), "status")
@@ -35,6 +35,6 @@ def vehicle_check_in(status_records: DataFrame, check_in_records: DataFrame,
                       split=split, split_by=keep)
 
 
-def vehicle_check_in_topic(status_records: DataFrame, check_in_records: DataFrame) -> DataFrame:
+def vehicle_check_in_topic(status_records: DataFrame, check_in_records: DataFrame, split: int | None = None) -> DataFrame:
     """``vehicle_check_in`` with all fields as text, as JSON keyed by the truck."""
-    return json_value(vehicle_check_in(status_records, check_in_records, VEHICLE_STATUS_TEXT), "statusTruckNumber")
+    return json_value(vehicle_check_in(status_records, check_in_records, VEHICLE_STATUS_TEXT, split), "statusTruckNumber")

@@ -11,10 +11,13 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# AQE splits skewed sort-merge partitions and turns a join into a broadcast only after
-# it has measured the side; the RocksDB provider keeps stream state off the JVM heap.
+# Estimates from file sizes broadcast nothing, since decoding multiplies them; AQE splits
+# skewed sort-merge partitions and turns a join into a broadcast after it has measured the
+# side. The RocksDB provider keeps stream state off the JVM heap.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

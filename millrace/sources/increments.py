@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,15 +44,19 @@ def jdbc_rows_query(table: str, column: str, last: int | None, upto: int) -> str
 
 
 def jdbc_increment(spark: SparkSession, url: str, table: str, column: str, last: int | None = None, *,
-                   allowed: Sequence[str] = (), options: Mapping[str, str] | None = None,
-                   partitions: int = 1) -> tuple[DataFrame | None, int | None]:
+                   allowed: Sequence[str], options: Mapping[str, str] | None = None,
+                   partitions: int = 8) -> tuple[DataFrame | None, int | None]:
     """New rows of a database table and the next mark; ``None`` rows when nothing is new.
 
-    ``allowed`` is the list of tables that may be read. With ``partitions`` above 1 the
-    increment is read in that many ranges of ``column`` at once.
+    ``allowed`` is the list of tables that may be read. The increment is read in
+    ``partitions`` ranges of ``column`` at once. Names go into statements, so only plain
+    ones are taken.
     """
-    if allowed and table not in allowed:
+    if table not in allowed:
         raise ValueError(f"table {table!r} is not in the list of allowed tables")
+    for name in (*table.split("."), column):
+        if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
+            raise ValueError(f"{name!r} is not a plain name")
     base = {"url": url, "fetchsize": str(BATCH_ROWS), **(options or {})}
     bounds = spark.read.format("jdbc").options(**base).option(
         "query", jdbc_bounds_query(table, column, last)).load().toDF("low", "high").first()

@@ -7,6 +7,7 @@ one run unchanged on the other.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -70,12 +71,23 @@ def read_topic(spark: SparkSession, broker: Broker, topics: str | Sequence[str]
     if streaming and max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     if pattern:
-        return topics_like(reader.load(broker.folder), pattern)
+        found = topic_folders(spark, broker, pattern)
+        if not found:
+            raise ValueError(f"no topic in {broker.folder} fits {pattern}")
+        return topics_like(reader.load(f"{broker.folder}/{{{','.join(found)}}}"), pattern)
     names = [topics] if isinstance(topics, str) else list(topics)
     return reader.load(f"{broker.folder}/{names[0]}" if len(names) == 1
                        else f"{broker.folder}/{{{','.join(names)}}}")
 
 
+def topic_folders(spark: SparkSession, broker: Broker, pattern: str) -> list[str]:
+    """Topics of the folder whose name starts with a match of ``pattern``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(broker.folder)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [entry.getPath().getName() for entry in entries if entry.isDirectory()]
+    return sorted(name for name in names if re.match(pattern.removeprefix("^"), name))
+
+
 def topics_like(df: DataFrame, pattern: str) -> DataFrame:
     """Records whose topic name starts with a match of ``pattern``."""
     return df.where(F.col("topic").rlike("^" + pattern.removeprefix("^")))
@@ -86,27 +98,16 @@ def as_topic(df: DataFrame, topic: str | Column, key: Column, value: Column,
     """Rows as broker records, for publishing to files or feeding programs from a table."""
     name = F.lit(topic) if isinstance(topic, str) else topic
     return df.select(
-        key.cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"),
+        _bytes(df, key).alias("key"), value.cast("binary").alias("value"),
         name.alias("topic"), F.lit(0).alias("partition"),
         (offset if offset is not None else F.lit(None)).cast("long").alias("offset"),
         (timestamp if timestamp is not None else F.lit(None)).cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a table with fewer partitions than cores one partition per core.
-
-    Decoding is work per row, and a small file is one partition however many rows it has.
-    Larger inputs already have more partitions than cores and are left as they are. For
-    frames read straight from files: rows are dealt out by their position, which a task
-    that is run again finds unchanged in a file.
-    """
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, F.monotonically_increasing_id())
+def _bytes(df: DataFrame, key: Column) -> Column:
+    """A key of bytes as it is, any other as the bytes of its text."""
+    return key if df.select(key).dtypes[0][1] == "binary" else key.cast("string").cast("binary")
 
 
 def merge_topics(*streams: DataFrame) -> DataFrame:

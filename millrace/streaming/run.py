@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -34,33 +33,21 @@ def run_available(writer: DataStreamWriter, name: str | None = None) -> Streamin
     """Process everything there is now, then stop."""
     if name:
         writer = writer.queryName(name)
-    with _local_state(SparkSession.active()):
-        query = writer.trigger(availableNow=True).start()
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
-@contextmanager
-def _local_state(spark: SparkSession) -> Iterator[None]:
-    """On a local master, at most one state partition per core: more only cost file writes.
-
-    A query takes the setting when it first starts. On a cluster it is the session's.
-    """
-    key = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(key)
-    if spark.sparkContext.master.startswith("local"):
-        spark.conf.set(key, str(min(int(usual), spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, usual)
-
-
 def batch_sizes(query: StreamingQuery) -> list[int]:
     """Rows read by each recent micro-batch."""
     return [progress["numInputRows"] for progress in query.recentProgress]
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that recent micro-batches dropped because they came behind the watermark."""
+    return sum(state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"])
+
+
 def keep_table(changes: DataFrame, keys: Sequence[str], label: str, mode: str = "update") -> DataFrame:
     """Run a keyed stream over what is available and return the table it leaves behind."""
     spark = changes.sparkSession

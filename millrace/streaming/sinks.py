@@ -13,9 +13,17 @@ from ..functions.decode import encode_avro, json_value
 from ..sources.topics import Broker, as_topic
 
 
-def console(df: DataFrame, mode: str = "append") -> DataStreamWriter:
-    """Print rows; ``update`` mode prints each change of an aggregate."""
-    return df.writeStream.outputMode(mode).format("console")
+def console(df: DataFrame, mode: str = "append", show: Callable[[str], object] = print) -> DataStreamWriter:
+    """Print every row whole; ``update`` mode prints each change of an aggregate."""
+    return df.writeStream.outputMode(mode).foreachBatch(lambda batch, batch_id: print_rows(batch, show))
+
+
+def print_rows(rows: DataFrame, show: Callable[[str], object] = print) -> None:
+    """Each row as a line of JSON, or a single text column as it is, partition after partition."""
+    single = rows.dtypes[0][1] == "string" and len(rows.columns) == 1
+    text = F.col(rows.columns[0]) if single else F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    for row in rows.select(text).toLocalIterator():
+        show(row[0])
 
 
 def kafka_sink_options(broker: Broker, topic: str) -> dict[str, str]:
@@ -30,13 +38,39 @@ def topic_writer(records: DataFrame, broker: Broker, topic: str, checkpoint: str
                 .writeStream.outputMode(mode).format("kafka")
                 .options(**kafka_sink_options(broker, topic)).option("checkpointLocation", checkpoint))
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # One folder per micro-batch: a batch that is run again replaces its own output.
-        as_topic(batch, topic, F.col("key"), F.col("value"), F.current_timestamp(),
-                 F.monotonically_increasing_id()).write.mode("overwrite").format(broker.file_format).save(
-            f"{broker.folder}/{topic}/batch-{batch_id}")
+    return _file_writer(records, broker, topic, checkpoint, mode)
+
+
+def _file_writer(records: DataFrame, broker: Broker, topic: str, checkpoint: str, mode: str) -> DataStreamWriter:
+    return records.writeStream.outputMode(mode).foreachBatch(
+        lambda batch, batch_id: _write_batch(batch, broker, topic, batch_id)).option("checkpointLocation", checkpoint)
+
+
+def _write_batch(batch: DataFrame, broker: Broker, topic: str, batch_id: int) -> None:
+    """One micro-batch to a topic; in files a batch that is run again replaces its own folder."""
+    if not broker.is_files:
+        write_topic(batch, broker, topic)
+        return
+    rows = as_topic(batch, topic, F.col("key"), F.col("value"), F.current_timestamp(), F.monotonically_increasing_id())
+    rows.write.mode("overwrite").format(broker.file_format).save(f"{broker.folder}/{topic}/batch-{batch_id}")
 
-    return records.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+
+def split_writer(judged: DataFrame, broker: Broker, topic: str, rejects: str, key: str, checkpoint: str) -> DataStreamWriter:
+    """One pass over ``judged_records``: valid records as JSON to ``topic``, the others with their reason to ``rejects``.
+
+    The batch is kept while both are written, so its source is read once.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            valid = batch.where(F.col("reason").isNull()).select("_record.*")
+            _write_batch(json_value(valid, key), broker, topic, batch_id)
+            bad = batch.where(F.col("reason").isNotNull()).select(F.col("reason").alias("key"), F.col("_text").alias("value"))
+            _write_batch(bad, broker, rejects, batch_id)
+        finally:
+            batch.unpersist()
+
+    return for_each_batch(judged, handle, checkpoint)
 
 
 def write_topic(records: DataFrame, broker: Broker, topic: str) -> None:
@@ -74,6 +108,13 @@ def publish_avro(df: DataFrame, time: str, key_schema: str, key_id: int, columns
                  value_schema: str, value_id: int, broker: Broker, topic: str, checkpoint: str) -> DataStreamWriter:
     """Rows as registry-framed Avro, keyed by epoch milliseconds. Needs the spark-avro package."""
     records = encode_avro(df, F.col(time), key_schema, key_id, columns, value_schema, value_id)
+    return publish_bytes(records, broker, topic, checkpoint)
+
+
+def publish_bytes(records: DataFrame, broker: Broker, topic: str, checkpoint: str) -> DataStreamWriter:
+    """Publish ``(key, value)`` records whose key and value are bytes."""
+    if broker.is_files:
+        return _file_writer(records, broker, topic, checkpoint, "append")
     return (records.writeStream.outputMode("append").format("kafka")
             .options(**kafka_sink_options(broker, topic)).option("checkpointLocation", checkpoint))
 

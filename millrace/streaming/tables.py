@@ -2,7 +2,9 @@
 
 A keyed aggregate in update mode emits the new row of each key that changed. A
 ``ChangeTable`` stores those rows, one folder per micro-batch, and its current content is
-the row of the latest batch for each key.
+the row of the latest batch for each key. A keyed table is compacted every so many batches:
+the rows up to a batch become one row per key, the base, and the folders behind the base
+before it are deleted, so neither files nor the cost of a read grow with uptime.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ from ..operators.latest import latest_by_key
 
 # Stored with the rows: the micro-batch that wrote them.
 BATCH = "_batch"
+# Micro-batches between compactions.
+COMPACT_EVERY = 50
 
 
 @dataclass(frozen=True)
 class ChangeTable:
-    """A stored table of changes in ``folder``, keyed by ``keys``."""
+    """A stored table of changes in ``folder``, keyed by ``keys``; without keys all rows are kept."""
 
     folder: str
     keys: tuple[str, ...]
@@ -32,39 +36,63 @@ class ChangeTable:
     @classmethod
     def of(cls, changes: DataFrame, folder: str, keys: Sequence[str]) -> ChangeTable:
         """The table for the rows ``changes`` will emit."""
-        table = cls(folder, tuple(keys), changes.schema)
-        # An empty first entry, so that the table can be read before the first micro-batch.
-        changes.sparkSession.createDataFrame([], changes.schema).write.mode("overwrite").parquet(
-            f"{folder}/{BATCH}=-1")
-        return table
+        return cls(folder, tuple(keys), changes.schema)
 
     def append(self, batch: DataFrame, batch_id: int) -> None:
         """Store the changes of one micro-batch; storing it again replaces them."""
-        batch.write.mode("overwrite").parquet(f"{self.folder}/{BATCH}={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{self.folder}/changes/{BATCH}={batch_id}")
+
+    def append_and_compact(self, batch: DataFrame, batch_id: int, every: int = COMPACT_EVERY) -> None:
+        self.append(batch, batch_id)
+        if self.keys and batch_id % every == every - 1:
+            self.compact(batch.sparkSession, batch_id)
 
     def changes(self, spark: SparkSession) -> DataFrame:
-        """All changes, with the micro-batch of each in ``_batch``."""
+        """The base and all changes since, with the micro-batch of each row in ``_batch``."""
+        bases, since = self._batches(spark, "base"), self._batches(spark, "changes")
+        base = max(bases, default=-1)
         fields = StructType(list(self.schema.fields)).add(BATCH, "long")
-        return spark.read.schema(fields).parquet(self.folder)
+        rows = spark.createDataFrame([], fields)
+        if bases:
+            rows = spark.read.schema(self.schema).parquet(f"{self.folder}/base/{BATCH}={base}").withColumn(BATCH, F.lit(base).cast("long"))
+        newer = [f"{self.folder}/changes/{BATCH}={n}" for n in since if n > base]
+        if not newer:
+            return rows
+        changed = spark.read.schema(fields).option("basePath", f"{self.folder}/changes").parquet(*newer)
+        return rows.unionByName(changed) if bases else changed
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The latest row of each key."""
         return latest_by_key(self.changes(spark), self.keys, [BATCH]).drop(BATCH)
 
-    def compact(self, spark: SparkSession, folder: str, through: int) -> ChangeTable:
-        """A copy in ``folder`` whose changes up to batch ``through`` are one row per key.
+    def compact(self, spark: SparkSession, through: int) -> None:
+        """Make one row per key of the changes up to batch ``through`` the new base.
 
-        The caller switches the stream to the copy between two runs; later batches keep
-        their numbers, so the result is the same table with fewer files.
+        A base counts once it is complete. What the base before it has replaced is deleted,
+        so a reader that began before this compaction still finds its files.
         """
-        copy = ChangeTable(folder, self.keys, self.schema)
-        old = self.changes(spark).where(F.col(BATCH) <= through)
-        merged = latest_by_key(old, self.keys, [BATCH]).drop(BATCH)
-        merged.write.mode("overwrite").parquet(f"{folder}/{BATCH}={through}")
-        newer = self.changes(spark).where(F.col(BATCH) > through)
-        newer.write.mode("append").partitionBy(BATCH).parquet(folder)
-        return copy
-
-    def writer(self, changes: DataFrame, checkpoint: str, mode: str = "update") -> DataStreamWriter:
-        return changes.writeStream.outputMode(mode).foreachBatch(self.append) \
-            .option("checkpointLocation", checkpoint)
+        before = max((n for n in self._batches(spark, "base") if n < through), default=-1)
+        merged = latest_by_key(self.changes(spark).where(F.col(BATCH) <= through), self.keys, [BATCH]).drop(BATCH)
+        merged.write.mode("overwrite").parquet(f"{self.folder}/base/{BATCH}={through}")
+        for kind in ("base", "changes"):
+            for number in self._batches(spark, kind):
+                if number < before or number == before and kind == "changes":
+                    path, files = self._files(spark, f"{kind}/{BATCH}={number}")
+                    files.delete(path, True)
+
+    def _files(self, spark: SparkSession, below: str):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{below}")
+        return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _batches(self, spark: SparkSession, kind: str) -> list[int]:
+        """The complete micro-batches stored as ``kind``, in order."""
+        path, files = self._files(spark, kind)
+        if not files.exists(path):
+            return []
+        names = [entry.getPath() for entry in files.listStatus(path)]
+        done = [n for n in names if files.exists(spark._jvm.org.apache.hadoop.fs.Path(n, "_SUCCESS"))]
+        return sorted(int(n.getName().removeprefix(f"{BATCH}=")) for n in done)
+
+    def writer(self, changes: DataFrame, checkpoint: str, mode: str = "update", every: int = COMPACT_EVERY) -> DataStreamWriter:
+        return changes.writeStream.outputMode(mode).foreachBatch(
+            lambda batch, batch_id: self.append_and_compact(batch, batch_id, every)).option("checkpointLocation", checkpoint)

@@ -7,6 +7,7 @@ from helpers import bag, records
 from millrace import schemas as S
 from millrace.functions.decode import flatten_json
 from millrace.operators import aggregates, filters, joins, latest, ridership, topology
+from millrace.sources import tables
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -94,6 +95,16 @@ def test_a_hot_key_in_tables_is_split_at_run_time(spark):
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
+@pytest.mark.parametrize("maker, name", [
+    (tables.deposit_records, "orders"), (tables.bank_withdrawal_records, "lineitem"), (tables.vehicle_status_records, "lineitem"),
+    (tables.attributed_click_records, "events"), (tables.risk_records, "events"), (tables.click_records, "events")])
+def test_all_groups_of_a_split_are_used(spark, maker, name):
+    records = maker(spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet"))
+    spread, groups, keep = joins.split_for(records, 4)
+    sizes = [r["count"] for r in spread.groupBy(F.pmod(F.xxhash64(*keep), F.lit(groups))).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+
+
 def test_split_needs_distinguishing_columns(spark):
     df = spark.createDataFrame([("a",)], "k string")
     with pytest.raises(ValueError):
@@ -184,14 +195,14 @@ def test_distinct_in_order(spark):
 
 # --- topology and ridership ---
 
-@pytest.mark.parametrize("chunk_rows", [1000, 7])
-def test_neighbours_match_a_sorted_list(spark, chunk_rows):
+@pytest.mark.parametrize("chunks", [1, 4, 13])
+def test_neighbours_match_a_sorted_list(spark, chunks):
     rng = random.Random(1)
     data = [("hot" if i % 3 else rng.choice(["x", "y"]), rng.choice([None, *range(20)]), i, None if i % 11 == 0 else i * 2)
             for i in range(90)]
     df = spark.createDataFrame(data, "line string, order int, id long, value long").repartition(3, "id")
     got = {r["id"]: (r["prev_value"], r["next_value"])
-           for r in topology.neighbours(df, "line", ["order", "id"], "value", chunk_rows).collect()}
+           for r in topology.neighbours(df, "line", ["order", "id"], "value", chunks).collect()}
     want = {}
     for line in {d[0] for d in data}:
         members = sorted((d for d in data if d[0] == line), key=lambda d: (d[1] is not None, d[1], d[2]))
@@ -222,6 +233,6 @@ def test_expected_entries(spark):
     assert got["weekday", 7] == 3000 * 0.5 // 300 and got["saturday", 7] == int(2002 * 0.5 / 300) and got["sunday", 7] == 0
     moments = spark.createDataFrame([(1, "2024-01-05 07:10:00"), (1, "2024-01-06 07:10:00"), (1, "2024-01-07 07:10:00")],
                                     "station_id int, t string").select("station_id", F.to_timestamp("t").alias("ts"))
-    by_day = lambda **kw: [r["entries"] for r in ridership.entries_at(moments, seed, curve, **kw).orderBy("ts").collect()]
-    assert by_day() == [5, 3, 0]
-    assert by_day(legacy_weekday=True) == [5, 5, 5]
+    unknown = moments.limit(1).withColumn("station_id", F.lit(2))
+    got = ridership.entries_at(moments.unionByName(unknown), seed, curve).orderBy("station_id", "ts")
+    assert [r["entries"] for r in got.collect()] == [5, 3, 0, None]

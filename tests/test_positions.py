@@ -9,6 +9,7 @@ from millrace.operators.positions import status_board, weather_line
 from millrace.plans import programs, transit
 from millrace.sources.topics import Broker
 from millrace.streaming.run import keep_table, run_available
+from millrace.streaming.sinks import console
 from millrace.streaming.tables import ChangeTable
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ def message_log(seed, n):
             out.append((TOPICS.station_table, {"station_id": station, "station_name": f"S{station}", "order": rng.randrange(4), "line": line}))
         elif kind == "arr":
             out.append((f"org.example.arrival.s{station}.v3", {
-                "station_id": station, "train_id": f"T{rng.randrange(5)}", "direction": rng.choice(["a", "b", "c"]), "line": line,
+                "station_id": rng.choice([station] * 5 + [None]), "train_id": f"T{rng.randrange(5)}", "direction": rng.choice(["a", "b", "c"]), "line": line,
                 "train_status": rng.choice(["in_service", "broken_down"]),
                 "prev_station_id": rng.choice([None, *range(6)]), "prev_direction": rng.choice([None, "a", "b", "x"])}))
         else:
@@ -101,28 +102,28 @@ def test_a_bad_station_record_is_left_out(spark):
 
 
 def test_weather(spark):
-    log = [(TOPICS.weather, {"temperature": 47.92709, "status": "windy"}),
-           (TOPICS.weather, {"temperature": 39.249355, "status": "partly_cloudy"})]
+    log = [(TOPICS.weather, {"temperature": 51.75, "status": "windy"}),
+           (TOPICS.weather, {"temperature": 33.625, "status": "partly_cloudy"})]
     shown = lambda rows: tuple(weather_line(transit.weather_now(rows, TOPICS)).first())
-    assert shown(frame(spark, log)) == (39, "Partly Cloudy")
+    assert shown(frame(spark, log)) == (33, "Partly Cloudy")
     assert shown(frame(spark, log).where("false")) == (70, "Sunny")
 
 
 def test_sample_stations_and_summary(spark):
-    stops = [(30001, "Austin", 40010, 29, "blue"), (30002, "Austin", 40010, 29, "blue"), (30003, "Harlem/Lake", 40020, 0, "green"),
-             (30009, "Cicero", 40480, 6, "green"), (30012, "Belmont", 40060, 8, "blue"), (1, "Loop", 1, 3, None)]
+    stops = [(501, "Mill Gate", 71, 4, "blue"), (502, "Mill Gate", 71, 4, "blue"), (503, "Quay/North", 72, 0, "green"),
+             (504, "Orchard", 73, 2, "green"), (505, "Tannery", 74, 9, "blue"), (506, "Depot", 75, 3, None)]
     values = [{"stop_id": s, "direction_id": "E", "stop_name": n, "station_name": n, "station_descriptive_name": n, "station_id": i,
                "order": o, "red": False, "blue": c == "blue", "green": c == "green"} for s, n, i, o, c in stops]
     table = transit.station_table(transit.station_rows(records(spark, values, TOPICS.stations)))
     assert {tuple(r) for r in table.collect()} == {(i, n, o, c) for _, n, i, o, c in stops}
-    entries = [{"station_id": i, "station_name": "x", "line": "blue"} for i in (40890, 40890, 40820, 40590, 40590, 40590)]
+    entries = [{"station_id": i, "station_name": "x", "line": "blue"} for i in (81, 81, 82, 83, 83, 83)]
     summary = transit.turnstile_summary(transit.turnstile_rows(records(spark, entries + ["oops"])))
-    assert bag(summary) == {(2, 40890): 1, (1, 40820): 1, (3, 40590): 1}
+    assert bag(summary) == {(2, 81): 1, (1, 82): 1, (3, 83): 1}
 
 
 def test_station_on_two_lines(spark):
-    both = [{"stop_id": i, "direction_id": "E", "stop_name": "n", "station_name": "Clark/Lake", "station_descriptive_name": "n",
-             "station_id": 40380, "order": 5, "red": False, "blue": i == 2, "green": i == 1} for i in (1, 2)]
+    both = [{"stop_id": i, "direction_id": "E", "stop_name": "n", "station_name": "Weir/Bridge", "station_descriptive_name": "n",
+             "station_id": 91, "order": 5, "red": False, "blue": i == 2, "green": i == 1} for i in (1, 2)]
     rows = transit.station_rows(records(spark, both))
     assert [r["line"] for r in transit.station_table(rows).collect()] == ["blue"]
     assert {r["line"] for r in transit.station_table(rows, by_line=True).collect()} == {"green", "blue"}
@@ -139,3 +140,30 @@ def test_board_follows_its_topics(spark, tmp_path):
     run_available(programs.board_writer(changes, table, f"{tmp_path}-ckpt", lambda board: boards.append(bag(board))))
     assert state_rows(table.current(spark)) == simulate(log)
     assert boards[-1] == bag(status_board(transit.board_state(everything, TOPICS)))
+
+
+def test_one_pass_equals_one_frame_a_kind(spark):
+    everything = frame(spark, message_log(3, 300))
+    assert state_rows(transit.board_state(everything, TOPICS)) == state_rows(
+        transit.board_state_of(everything, everything, everything, TOPICS))
+    plan = transit.board_state(everything.repartition(2), TOPICS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") <= 2  # once in each of the initial and current plan
+
+
+def test_a_long_run_keeps_few_files(spark, tmp_path):
+    rows = spark.createDataFrame([("blue", 1, 0), ("red", 2, 0)], "line string, station_id int, n int")
+    table = ChangeTable.of(rows, f"{tmp_path}/table", ("line", "station_id"))
+    files = []
+    for batch in range(60):
+        table.append_and_compact(rows.withColumn("n", F.lit(batch)).where(F.lit(batch) % 2 == F.col("station_id") % 2).coalesce(1), batch, 10)
+        files.append(len(table._batches(spark, "changes")) + len(table._batches(spark, "base")))
+    assert max(files) <= 23 and files[-1] <= files[29] + 1
+    assert {tuple(r) for r in table.current(spark).collect()} == {("blue", 1, 59), ("red", 2, 58)}
+
+
+def test_weather_is_on_the_live_board(spark, tmp_path):
+    folder_of(frame(spark, [(TOPICS.weather, {"temperature": 12.5, "status": "sunny"})]), tmp_path, TOPICS.weather, 1)
+    shown = []
+    stream = programs.weather_stream(spark, Broker(folder=str(tmp_path)), TOPICS, avro=False)
+    run_available(console(stream, "update", shown.append).option("checkpointLocation", f"{tmp_path}-w"))
+    assert shown == ['{"degrees":12,"sky":"Sunny"}']
