@@ -9,7 +9,8 @@ Texts with equal shingle sets form a class, and only classes are compared. Bands
 signature put classes into buckets. Pairs are not listed within a bucket: its members are
 first verified against the smallest member, best candidate first; only members that are then
 still in different components meet each other, behind bounds on set sizes and on a 2-bit
-sketch of the signature. Every link is confirmed on the full sets of shingles.
+sketch of the signature, and only their links leave that join. Every link is confirmed on
+the full sets of shingles.
 
 With 50 bands of five rows a pair at a similarity of 0.75 shares no band with a chance of
 1.3e-6. The sketch bound is six standard deviations below its mean at that similarity.
@@ -107,7 +108,7 @@ def signed(documents: DataFrame) -> DataFrame:
 
 
 def sets_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) for the documents among ``nodes``; the set as sorted packed hashes."""
+    """(node, shingles) for the documents among ``nodes``; the set as distinct hashes."""
     few = nodes.count() <= BROADCAST_IDS
     chosen = documents.select(F.col("doc_id").cast("long").alias("node"), "text").join(
         F.broadcast(nodes) if few else nodes, "node", "left_semi")
@@ -116,10 +117,10 @@ def sets_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("node"), pa.array([s.tobytes() for s in shingle_sets(texts_of(part))], pa.binary())],
+                    [part.column("node"), pa.array([s.view(np.int64) for s in shingle_sets(texts_of(part))], pa.list_(pa.int64()))],
                     ["node", "shingles"])
 
-    return chosen.mapInArrow(pack, "node long, shingles binary").distinct()
+    return chosen.mapInArrow(pack, "node long, shingles array<long>").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -130,7 +131,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             keep = []
             for i, (x, y) in enumerate(zip(batch.column("left"), batch.column("right"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = x.values.to_numpy(), y.values.to_numpy()
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * shared >= SIMILAR * (len(x) + len(y) - shared):
                     keep.append(i)
@@ -150,8 +151,40 @@ def _alike(sides: tuple[str, str]):
     return (100 * low >= SIMILAR * high) & (apart <= SKETCH_APART)
 
 
-def similar_pairs(classes: DataFrame, documents: DataFrame) -> DataFrame:
-    """Links (a, b) between classes (node, n, bands, sketch) that give all their components."""
+def _similar(sides: tuple[str, str]):
+    """Whether the full sets are similar."""
+    a, b = sides
+    shared = F.size(F.array_intersect(F.col(f"{a}.shingles"), F.col(f"{b}.shingles")))
+    return 100 * shared >= SIMILAR * (F.col(f"{a}.n") + F.col(f"{b}.n") - shared)
+
+
+def rooted(best: DataFrame) -> DataFrame:
+    """(node, component) from links (a, b) that give each b one smaller a: the root of each tree."""
+    parents = saved(best.select(F.col("b").alias("node"), F.col("a").alias("parent")), "parents")
+    while True:
+        up = parents.select(F.col("node").alias("above"), F.col("parent").alias("higher"))
+        parents = saved(parents.join(up, F.col("parent") == F.col("above"), "left")
+                        .select("node", F.coalesce("higher", "parent").alias("parent"), (F.col("higher").isNotNull()).alias("moved")), "parents")
+        if parents.where("moved").isEmpty():
+            break
+        parents = parents.drop("moved")
+    return parents.select("node", F.col("parent").alias("component"))
+
+
+def merged(places: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``places`` (node, component) with the components of linked nodes (a, b) made one."""
+    pairs = saved(pairs, "merging")
+    if pairs.isEmpty():
+        return places
+    first, second = (places.select(F.col("node").alias(end), F.col("component").alias(f"{end}_component")) for end in ("a", "b"))
+    ends = pairs.join(first, "a").join(second, "b").select(F.col("a_component").alias("a"), F.col("b_component").alias("b"))
+    # Only components are contracted here, not their members.
+    new = components(ends).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+    return saved(places.join(new, "component", "left").select("node", F.coalesce("merged", "component").alias("component")), "places")
+
+
+def class_components(classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """(node, component) of the classes (node, n, bands, sketch) that share a bucket with another."""
     buckets = classes.select("node", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("key", "hub")
     live = saved(buckets.join(shared, "key"), "buckets")
@@ -162,30 +195,26 @@ def similar_pairs(classes: DataFrame, documents: DataFrame) -> DataFrame:
 
     # First the hub with which a node shares most bands, then the other hubs, then the rest.
     best = stars.groupBy("node").agg(F.max_by("hub", F.struct("bands", -F.col("hub"))).alias("hub"))
-    links = saved(verified(best.select(F.col("hub").alias("a"), F.col("node").alias("b")), sets), "links")
-    joined = components(links)
-
-    def placed(joined: DataFrame) -> DataFrame:
-        return light.join(joined, "node", "left").select("node", "n", "sketch", F.coalesce("component", "node").alias("component"))
+    roots = rooted(verified(best.select(F.col("hub").alias("a"), F.col("node").alias("b")), sets))
+    places = saved(nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "places")
 
-    places = saved(placed(joined), "places")
-    hubs, members = places.alias("x"), places.alias("y")
+    here = places.join(light, "node")
+    hubs, members = here.alias("x"), here.alias("y")
     more = stars.join(best, ["node", "hub"], "left_anti").alias("s")
     more = (more.join(members, F.col("s.node") == F.col("y.node")).join(hubs, F.col("s.hub") == F.col("x.node"))
             .where(F.col("x.component") != F.col("y.component")).where(_alike(("x", "y")))
             .select(F.col("s.hub").alias("a"), F.col("s.node").alias("b")))
-    found = saved(verified(more, sets), "links")
-    if not found.isEmpty():
-        links = saved(links.unionAll(found), "links")
-        places = saved(placed(components(links)), "places")
+    places = merged(places, verified(more, sets))
 
-    in_place = live.join(places.select("node", "component"), "node")
+    in_place = live.join(places, "node")
     open_ = in_place.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     rest = saved(in_place.join(open_, "key").where("node <> hub").join(light, "node"), "open-buckets")
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & _alike(("x", "y")))
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    return links.unionAll(verified(pairs, sets))
+    # The full sets are compared inside the join, so that it gives links only, not the pairs of a bucket.
+    whole = rest.drop("n").join(sets, "node").withColumn("n", F.size("shingles"))
+    x, y = whole.alias("x"), whole.alias("y")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & _alike(("x", "y"))
+                   & _similar(("x", "y")))
+    return merged(places, pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -201,11 +230,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     classes = saved(held.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
                                                F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
     member = saved(held.select("doc_id", "set_id").join(classes.select("set_id", "node"), "set_id").select("doc_id", "node").distinct(), "members")
-    ids = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z"))
-    several = member.join(ids.where("a < z"), "doc_id").select("a", F.col("node").alias("b"))
-    joined = components(similar_pairs(classes, documents).unionAll(several))
-    place = (ids.join(joined, ids["a"] == joined["node"], "left")
-             .select("doc_id", F.coalesce("component", "a").alias("component_id")))
+    ids = member.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    several = member.join(ids.where("node < last").select("doc_id", F.col("node").alias("a")), "doc_id").select("a", F.col("node").alias("b")).where("a < b")
+    shared = class_components(classes, documents)
+    places = saved(member.select("node").distinct().join(shared, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "places")
+    place = ids.join(merged(places, several), "node").select("doc_id", F.col("component").alias("component_id"))
     return (rows.select("doc_id", "n_shingles").join(place, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
