@@ -25,6 +25,8 @@ THRESHOLD = -0.4
 FEWEST_WORDS = 50
 #: Percentage of words in repeated three-word windows above which a text fails.
 MOST_REPEATED = 50
+#: Distinct repeated windows of a text up to which they are looked up in a list.
+LISTED = 32
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 #: Tokens of the n-grams: runs of letters and digits, and runs of other signs.
@@ -77,14 +79,23 @@ def base_counts(documents: DataFrame) -> DataFrame:
         "*", F.filter(F.split(text, _SPACE), lambda w: w != "").alias("__words"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("__lines"))
     word = F.col("__words")
-    windows = F.transform(F.slice(word, F.lit(3), F.greatest(F.size(word) - 2, F.lit(0))),
-                          lambda w, i: F.struct(F.xxhash64(word[i], word[i + 1], w).alias("h"), i.alias("i")))
-    held = held.withColumn("__windows", F.array_sort(windows))
+    held = held.withColumn("__hashes", F.transform(F.slice(word, F.lit(3), F.greatest(F.size(word) - 2, F.lit(0))),
+                                                   lambda w, i: F.xxhash64(word[i], word[i + 1], w)))
+    held = held.withColumn("__sorted", F.sort_array("__hashes"))
+    hashes, sorted_ = F.col("__hashes"), F.col("__sorted")
+    held = held.withColumn("__twice", F.array_distinct(F.filter(sorted_, lambda h, i: (i > 0) & (F.get(sorted_, i - 1) == h))))
+    twice = F.col("__twice")
+    # A few repeated windows are looked up in their list; for many the windows are sorted with their places.
+    several = F.size(twice) > LISTED
+    held = held.withColumn("__windows", F.when(several, F.array_sort(F.transform(
+        hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     window = F.col("__windows")
-    twice = F.filter(window, lambda x, i: ((i > 0) & (F.get(window, i - 1)["h"] == x["h"])) | (F.get(window, i + 1)["h"] == x["h"]))
-    places = F.sort_array(F.transform(twice, lambda x: x["i"]))
+    listed = F.filter(F.transform(hashes, lambda h, i: F.when(F.array_contains(twice, h), i)), lambda i: i.isNotNull())
+    found = F.filter(window, lambda x, i: ((i > 0) & (F.get(window, i - 1)["h"] == x["h"])) | (F.get(window, i + 1)["h"] == x["h"]))
+    held = held.withColumn("__places", F.when(F.size(twice) == 0, F.array().cast("array<int>")).when(
+        several, F.sort_array(F.transform(found, lambda x: x["i"]))).otherwise(listed))
     # Each window start adds the words it does not share with the one before.
-    covered = F.aggregate(places, F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
+    covered = F.aggregate("__places", F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n")),
                           lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(3), p - a["last"])).alias("n")),
                           lambda a: a["n"])
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
