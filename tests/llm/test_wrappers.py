@@ -79,3 +79,35 @@ def test_given_pages_equal_a_plain_reading(spark):
         blocks = (re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", "", b))).strip() for b in re.split("</?p>|</?h1>|<br>", article))
         assert r["text"] == "\n".join(b for b in blocks if b)
         assert r["n_chars"] == len(r["text"])
+
+
+def texts_by_id(spark, pages):
+    frame = spark.createDataFrame([(i, "http://one.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    rows = extract_main_text(frame).collect()
+    assert len(rows) == len(pages)
+    assert all(r["matched"] for r in rows)
+    return {r["page_id"]: r["text"] for r in rows}
+
+
+def test_every_page_of_a_host_has_a_wrapper(spark):
+    # Forty layouts, most of them on one page only, and a second template without an article.
+    pages = [f"<body><div class=top>Site</div><article><h1>t {i}</h1>{''.join(f'<{x}>w {i}</{x}>' for x in f'{i:06b}'.replace('0', 'p').replace('1', 'u'))}"
+             "</article></body>" for i in range(40)]
+    second = [f"<html><body><table><tr><td><span>left {i}</span></td></tr></table><section><pre>long words of the page numbered {i}</pre></section></body></html>"
+              for i in range(3)]
+    got = texts_by_id(spark, pages + second)
+    for i in range(40):
+        assert got[i].replace("\n", "").replace(" ", "") == f"t{i}" + f"w{i}" * 6
+    assert all(f"long words of the page numbered {i}" in got[40 + i] for i in range(3))
+
+
+def test_constants_are_told_by_their_place_on_all_pages(spark):
+    # "Legal" stands in front of every text and is once an author's own word, in the slot.
+    page = "<body><div><div>Legal</div><hr><div>{0}</div></div></body>"
+    got = texts_by_id(spark, [page.format(t) for t in ["Legal", *(f"some words that differ {i}" for i in range(30))]])
+    assert got[0] == "Legal"
+    assert all(got[i + 1] == f"some words that differ {i}" for i in range(30))
+    # A text that one page of many lacks is still the template's.
+    page = "<body><div>{1}<div>{0}</div></div></body>"
+    got = texts_by_id(spark, [page.format(f"some words that differ {i}", "" if i == 7 else "<section>Legal</section>") for i in range(12)])
+    assert all(got[i] == f"some words that differ {i}" for i in range(12))
