@@ -9,11 +9,12 @@ page of the host is accepted.
 
 Each page is then read by its wrapper: every text is captured by a place of the expression.
 A text that a place has on all pages that reach it is a constant, all others fill a slot; the
-count is over all different pages. The main
+count is over all pages, and pages whose longest main texts are equal count as one. The main
 text is what the slots and repeated groups of the region capture: of the article where the
 wrapper has one, else of its main element, else of the element with most slot text. Slots that
 are marked as menus, headers, footers, side columns, notices, adverts, forms or reader
-comments are left out. Constants in paragraphs, headings, lists and table cells stay.
+comments are left out. A constant inside the article or main element is dropped only if it
+stands in a div of its own; constants in paragraphs, headings, lists and tables always stay.
 """
 
 from __future__ import annotations
@@ -66,7 +67,7 @@ MARKED = set("ad ads advert adverts advertisement advertising adsense banner spo
 COMMENTS = set("comment comments reply replies respond response responses disqus discussion".split())
 WHOLE = {"html", "body", "main", "article"}
 #: Elements whose texts are content even where they recur.
-_CONTENT = re.compile(r"/(?:p|h[1-6]|li|blockquote|td|pre)(?:/|$)")
+_CONTENT = re.compile(r"/(?:p|h[1-6]|li|blockquote|td|th|dt|dd|caption|figcaption|pre)(?:/|$)")
 
 _TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
                     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S | re.I)
@@ -158,6 +159,11 @@ class Page:
         """The element of the main text, of this page alone."""
         return region_of([(path, len(text.strip())) for text, path, _, out, _ in self.texts if not out])
 
+    def longest(self) -> str:
+        """The longest text of the page's region, by which pages with the same main text are told."""
+        region = self.region()
+        return max((text.strip() for text, path, _, out, _ in self.texts if not out and within(path, region)), key=lambda t: (len(t), t), default="")
+
     def main_text(self, region: str | None, places: list[int] | None, constants: set[tuple[int, object]], key=lambda text: text) -> str:
         """The texts that places other than constants capture inside the region, a line a block."""
         blocks: dict[int, list[str]] = {}
@@ -190,7 +196,12 @@ def region_of(texts: list[tuple[str, int]]) -> str | None:
 
 def droppable(path: str) -> bool:
     """Whether a constant at this path may be the template's own."""
-    return not _CONTENT.search(path)
+    if _CONTENT.search(path):
+        return False
+    parts = path.split("/")
+    if "article" not in parts and "main" not in parts:
+        return True
+    return next((x for x in reversed(parts) if x not in INLINE), "") == "div"
 
 
 def fold(symbols: list) -> list:
@@ -350,17 +361,17 @@ class Places:
 
 
 class Tally:
-    """What each place of a wrapper captures: path, slot text, constants, and different pages.
+    """What each place of a wrapper captures: path, slot text, constants, and different main texts.
 
     Two tallies of the same place are one by adding lengths, intersecting the texts found on
-    all pages, and uniting the pages' digests (only whether there are ``TEMPLATE_PAGES`` matters).
+    all pages, and uniting the main texts (only whether there are ``TEMPLATE_PAGES`` matters).
     """
 
     def __init__(self, key=lambda text: text):
         self.key, self.places = key, {}
 
     def add(self, wrapper: int, page: Page, places: list[int]) -> None:
-        main, found = self.key("\n".join(t[0] for t in page.texts)), {}
+        main, found = self.key(page.longest()), {}
         for text, path, _, out, at in page.texts:
             if at >= 0:
                 text = text.strip()

@@ -111,3 +111,13 @@ def test_constants_are_told_by_their_place_on_all_pages(spark):
     page = "<body><div>{1}<div>{0}</div></div></body>"
     got = texts_by_id(spark, [page.format(f"some words that differ {i}", "" if i == 7 else "<section>Legal</section>") for i in range(12)])
     assert all(got[i] == f"some words that differ {i}" for i in range(12))
+
+
+def test_copies_and_headings_are_not_the_templates(spark):
+    body = "<article><div>The whole body set in a div</div>and bare text<br>after it<section>and a section</section></article>"
+    copies = texts_by_id(spark, [f"<body><div class=ad>{i}</div>{body}<div class=comments>c {i}</div></body>" for i in range(15)])
+    assert set(copies.values()) == {"The whole body set in a div\nand bare text after it\nand a section"}
+    page = ("<body><article><h1>Title {0}</h1><table><tr><th>Size<td>{0}</table><dl><dt>Term<dd>Same</dl><figure><figcaption>Photo</figcaption></figure>"
+            "<section>Summary</section>bare</article></body>")
+    got = texts_by_id(spark, [page.format(i) for i in range(8)])
+    assert got[3] == "Title 3\nSize\n3\nTerm\nSame\nPhoto\nSummary\nbare"
