@@ -23,11 +23,8 @@ KEYS = ("source", "lang", "tokenizer")
 _SUMS = "source string, lang string, tokenizer string, documents long, tokens long"
 
 
-def counted(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Adds n_tokens: the tokens of the whole text under a byte-pair vocabulary of ranks.
-
-    A null or empty text has none; special tokens are ordinary text.
-    """
+def _counter(ranks_path: str, pattern: str):
+    """Makes, once a task, the function that counts a text's tokens."""
     with open(ranks_path, "rb") as file:
         lines = file.read()
 
@@ -36,11 +33,43 @@ def counted(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines())}
         encoding = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        return lambda batch: [pa.array([len(encoding.encode_ordinary(t)) if t else 0 for t in texts_of(batch)], pa.int64())]
+        return lambda text: len(encoding.encode_ordinary(text)) if text else 0
+
+    return make
+
+
+def counted(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Adds n_tokens: the tokens of the whole text under a byte-pair vocabulary of ranks.
+
+    A null or empty text has none; special tokens are ordinary text. Every row is counted by
+    itself, whether its id is null or repeated.
+    """
+    counter = _counter(ranks_path, pattern)
+
+    def make():
+        count = counter()
+        return lambda batch: [pa.array([count(t) for t in texts_of(batch)], pa.int64())]
 
     return with_columns(documents, "text", [T.StructField("n_tokens", T.LongType(), False)], make)
 
 
+def counted_twice(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Adds n_tokens of text and new_tokens of corrected, and drops both texts.
+
+    Where corrected is null the count stands and new_tokens is null. Both counts are of one
+    row, so null and repeated ids are revised like any other.
+    """
+    counter = _counter(ranks_path, pattern)
+
+    def make():
+        count = counter()
+        return lambda batch: [pa.array([count(t) for t in texts_of(batch)], pa.int64()),
+                              pa.array([None if t is None else count(t) for t in batch.column("corrected").to_pylist()], pa.int64())]
+
+    added = [T.StructField("n_tokens", T.LongType(), False), T.StructField("new_tokens", T.LongType(), True)]
+    return with_columns(documents, "text", added, make, drop=("text", "corrected"))
+
+
 def inserted(counts: DataFrame) -> DataFrame:
     """Changes that insert rows of (source, lang, tokenizer, n_tokens)."""
     return counts.select(*KEYS, F.lit(1).cast("long").alias("documents"), F.col("n_tokens").alias("tokens"))
@@ -91,18 +120,18 @@ class Rollup:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of all documents after three batches: all are inserted; counts of texts that
     change when runs of spaces become one are revised; documents labelled toxic are deleted.
-    The second batch is committed twice, as after a failure."""
+    The second batch is committed twice, as after a failure. Each row of a repeated id is a
+    document of its own, and all of them are deleted if the id is toxic; a null id is inserted
+    and revised, and never deleted."""
     import public_tokenizers
 
     name = "byte_bpe_50k.tiktoken"
-    count = lambda df: counted(df, public_tokenizers.path(name), public_tokenizers.PATTERN)
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang").withColumn("tokenizer", F.lit("byte_bpe_50k/1"))
-    counts = saved(count(documents).drop("text"), "token-counts")
-    one_space = documents.where("text LIKE '%  %'").withColumn("text", F.regexp_replace("text", " {2,}", " "))
-    again = saved(count(one_space).select(F.col("doc_id").alias("id"), F.col("n_tokens").alias("new_tokens")), "token-counts")
-    changes = revised(counts.join(again, F.col("doc_id") == F.col("id")))
+    documents = documents.withColumn("corrected", F.when(F.expr("text LIKE '%  %'"), F.regexp_replace("text", " {2,}", " ")))
+    counts = saved(counted_twice(documents, public_tokenizers.path(name), public_tokenizers.PATTERN), "token-counts")
+    changes = revised(counts.where("new_tokens IS NOT NULL"))
     toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
-    gone = counts.join(again, F.col("doc_id") == F.col("id"), "left").withColumn("n_tokens", F.coalesce("new_tokens", "n_tokens")).join(toxic, "doc_id", "left_semi")
+    gone = counts.withColumn("n_tokens", F.coalesce("new_tokens", "n_tokens")).join(toxic, "doc_id", "left_semi")
 
     rollup = Rollup(spark, fresh_folder(spark, "token-totals"))
     rollup.commit("0", inserted(counts))

@@ -60,3 +60,14 @@ def test_query_equals_a_recount(spark):
             tokens[key] += len(other.encode(re.sub(" {2,}", " ", r["text"]), add_special_tokens=False).ids)
     got = {(r["source"], r["lang"], r["tokenizer"]): (r["documents"], r["tokens"]) for r in op8_token_counts(spark, folder).collect()}
     assert got == {k: (n, tokens[k]) for k, n in documents.items()}
+
+
+def test_repeated_and_null_ids_are_revised_row_by_row(spark, tmp_path):
+    rows = [(1, "a  b", "s"), (1, "c   d   e", "s"), (1, "f", "s"), (None, "g  h", "s"), (2, "x  y", "t"), (2, "z", "t"), (3, None, "t")]
+    spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(2, 1), (2, 1), (None, 1), (1, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    other.encode_special_tokens = True
+    size = sum(len(other.encode(re.sub(" {2,}", " ", t), add_special_tokens=False).ids) for i, t, _ in rows if t and i != 2)
+    got = {(r["source"], r["documents"], r["tokens"]) for r in op8_token_counts(spark, str(tmp_path)).collect()}
+    assert got == {("s", 4, size), ("t", 1, 0)}
