@@ -18,8 +18,8 @@ from millrace.llm.frames import table
 CELLS = 1 << 14
 #: Added to every cell of both multinomials.
 SMOOTHING = 1.0
-#: Trusted texts that the target multinomial is made of, about, at most.
-TRUSTED_TEXTS = 20_000
+#: Trusted ids broadcast to the count of all texts; more of them are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 #: Texts below this mean log ratio are rejected.
 THRESHOLD = -0.4
 FEWEST_WORDS = 50
@@ -49,15 +49,12 @@ def _tokens(text: Column) -> Column:
 def cell_weights(documents: DataFrame, trusted: DataFrame) -> list[float]:
     """For each cell the log of its share in trusted texts over that in all texts.
 
-    ``trusted`` holds the ids (doc_id) of trusted texts; of more than ``TRUSTED_TEXTS`` an
-    even selection by a hash of the id is used. The corpus side counts every text.
+    ``trusted`` holds the ids (doc_id) of trusted texts. Both sides count every text.
     """
     trusted = trusted.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__id")).distinct()
-    share = TRUSTED_TEXTS / max(1, trusted.count())
-    if share < 1:
-        trusted = trusted.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    flagged = documents.select("doc_id", "text").join(
-        F.broadcast(trusted.withColumn("__trusted", F.lit(1))), F.col("doc_id") == F.col("__id"), "left")
+    few = trusted.count() <= BROADCAST_IDS
+    trusted = trusted.withColumn("__trusted", F.lit(1))
+    flagged = documents.select("doc_id", "text").join(F.broadcast(trusted) if few else trusted, F.col("doc_id") == F.col("__id"), "left")
     cells = (flagged.select(_tokens(F.col("text")).alias("t"), F.coalesce("__trusted", F.lit(0)).alias("__trusted"))
              .select("__trusted", F.explode(_cells("t")).alias("cell")))
     counts = cells.groupBy("cell").agg(F.count("*").alias("n"), F.sum("__trusted").alias("m")).collect()  # CELLS rows at most

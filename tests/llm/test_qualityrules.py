@@ -5,7 +5,10 @@ from collections import Counter
 import regex
 import xxhash
 
-from millrace.llm.qualityrules import CELLS, apply_rules, base_counts
+from pyspark.sql import functions as F
+
+from millrace.llm import qualityrules
+from millrace.llm.qualityrules import CELLS, apply_rules, base_counts, cell_weights
 
 MASK = (1 << 64) - 1
 
@@ -76,3 +79,13 @@ def test_nothing_trusted_and_nothing_given(spark):
     none = spark.createDataFrame([], "doc_id long")
     assert {r["score"] for r in apply_rules(frame, none).collect()} == {0.0}
     assert apply_rules(frame.where("false"), none).count() == 0
+
+
+def test_every_trusted_text_counts(spark, monkeypatch):
+    documents = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
+    # With all texts trusted the two multinomials are the same.
+    assert cell_weights(documents, documents) == [0.0] * CELLS
+    some = documents.where("doc_id % 3 = 0")
+    near = cell_weights(documents, some)
+    monkeypatch.setattr(qualityrules, "BROADCAST_IDS", 0)
+    assert cell_weights(documents, some) == near
