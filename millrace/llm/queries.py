@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import decontamination, langid, languagemodel, linededup, neardup, qualitynet, qualityrules, subwords, tokencounts, wrappers
+from millrace.llm import decontamination, filteraudit, langid, languagemodel, linededup, neardup, qualitynet, qualityrules, subwords, tokencounts, wrappers
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,10 +17,12 @@ QUERIES = {
     "op8_token_counts": tokencounts.op8_token_counts,
     "op6_language_model": languagemodel.op6_language_model,
     "op7_subwords": subwords.op7_subwords,
+    "op11_filter_audit": filteraudit.op11_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontamination.OP1_SQL,
     "op3_near_duplicates": neardup.OP3_SQL,
     "op10_line_dedup": linededup.OP10_SQL,
+    "op11_filter_audit": filteraudit.OP11_SQL,
 }
