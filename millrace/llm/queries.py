@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from millrace.llm import decontamination, filteraudit, langid, languagemodel, linededup, neardup, qualitynet, qualityrules, subwords, tokencounts, wrappers
+from millrace.llm import (archives, decontamination, filteraudit, langid, languagemodel, linededup, neardup, qualitynet, qualityrules,
+                          subwords, tokencounts, turntrie, wrappers)
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +19,8 @@ QUERIES = {
     "op6_language_model": languagemodel.op6_language_model,
     "op7_subwords": subwords.op7_subwords,
     "op11_filter_audit": filteraudit.op11_filter_audit,
+    "op12_warc": archives.op12_warc,
+    "op13_conversation_trie": turntrie.op13_conversation_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -25,4 +28,6 @@ ORACLES: dict[str, str] = {
     "op3_near_duplicates": neardup.OP3_SQL,
     "op10_line_dedup": linededup.OP10_SQL,
     "op11_filter_audit": filteraudit.OP11_SQL,
+    "op12_warc": archives.OP12_SQL,
+    "op13_conversation_trie": turntrie.OP13_SQL,
 }
