@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from millrace.session import fresh_folder
 
-#: Text handled at once inside a task, in bytes; one longer text forms a slice of its own.
-SLICE_BYTES = 2 << 20
+#: Text handled at once inside a task, in bytes; one longer text forms a slice of its own. What
+#: a slice needs beside its text is a multiple of it that a worker keeps for later tasks.
+SLICE_BYTES = 256 << 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +48,7 @@ def with_columns(df: DataFrame, text: str, added: list[T.StructField],
 
     ``make`` runs once a task and returns the function; that gets slices of a bounded
     number of bytes of ``text``. An input column with the name of an added one is replaced.
+    When the task ends the function's ``close`` is called, if it has one.
     """
     names = {f.name.lower() for f in added} | {d.lower() for d in drop}
     kept = [f.name for f in df.schema if f.name.lower() not in names]
@@ -54,10 +56,13 @@ def with_columns(df: DataFrame, text: str, added: list[T.StructField],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            for part in slices(batch, text):
-                columns = [part.column(name) for name in kept] + work(part)
-                yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
+        try:
+            for batch in batches:
+                for part in slices(batch, text):
+                    columns = [part.column(name) for name in kept] + work(part)
+                    yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
+        finally:
+            getattr(work, "close", lambda: None)()
 
     return df.mapInArrow(run, schema)
 

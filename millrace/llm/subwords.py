@@ -11,7 +11,6 @@ from __future__ import annotations
 import codecs
 import re
 from array import array
-from functools import partial
 
 import ahocorasick
 import numpy as np
@@ -24,9 +23,9 @@ from pyspark.sql import types as T
 from millrace.llm.frames import table, texts_of, with_columns
 
 SPACE_MARK = "▁"
-#: Encoded runs kept in a worker; the store is emptied when it is full.
+#: Encoded runs kept in a task; the store is emptied when it is full.
 CACHE_RUNS = 200_000
-#: Tested pairs of pieces kept in a worker, likewise.
+#: Tested pairs of pieces kept in a task, likewise.
 COMPATIBLE_PAIRS = 400_000
 
 
@@ -77,6 +76,8 @@ class Codec:
         self.edges: dict[tuple[str, int], list[tuple[str, float]] | None] = {}
         self.compatible: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
+        # Runs that are one piece, which the table would give back as they are.
+        self.whole = {p: array("i", [i]).tobytes() for p, i in self.ids.items() if p in self.automaton}
 
     def merged(self, text: str) -> tuple[int, ...]:
         """Plain merging of known characters, best score first and leftmost of equals."""
@@ -200,7 +201,7 @@ class Codec:
         for r in runs:
             ids = cache.get(r)
             if ids is None:
-                ids = self.encode_run(r)
+                ids = self.whole.get(r) or self.encode_run(r)
                 if len(r) <= 64:
                     cache[r] = ids
             out.append(ids)
@@ -225,18 +226,27 @@ _codecs: dict[int, Codec] = {}
 
 
 def codec_for(model: bytes) -> Codec:
-    """One codec a worker, kept with its store of encoded runs over tasks."""
+    """One codec a worker, kept over tasks without its stores."""
     key = hash(model)
     if key not in _codecs:
         _codecs[key] = Codec(model)
     return _codecs[key]
 
 
-def _encode_batch(codec: Codec, batch: pa.RecordBatch) -> list[pa.Array]:
-    ids = [codec.encode(t) for t in texts_of(batch)]
-    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-    values = pa.array(np.concatenate([*ids, np.empty(0, np.int32)]))
-    return [pa.ListArray.from_arrays(pa.array(ends), values), pa.array([codec.decode(i) for i in ids], pa.string())]
+class _Encoder:
+    """The function of one task; what it has stored is given up with the task."""
+
+    def __init__(self, codec: Codec):
+        self.codec = codec
+
+    def __call__(self, batch: pa.RecordBatch) -> list[pa.Array]:
+        ids = [self.codec.encode(t) for t in texts_of(batch)]
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        values = pa.array(np.concatenate([*ids, np.empty(0, np.int32)]))
+        return [pa.ListArray.from_arrays(pa.array(ends), values), pa.array([self.codec.decode(i) for i in ids], pa.string())]
+
+    def close(self) -> None:
+        self.codec.cache, self.codec.compatible = {}, {}
 
 
 def encode_documents(documents: DataFrame, model_path: str) -> DataFrame:
@@ -249,7 +259,7 @@ def encode_documents(documents: DataFrame, model_path: str) -> DataFrame:
     with open(model_path, "rb") as file:  # a vocabulary file of the installed package
         model = file.read()
     added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.StringType(), False)]
-    return with_columns(documents, "text", added, lambda: partial(_encode_batch, codec_for(model)))
+    return with_columns(documents, "text", added, lambda: _Encoder(codec_for(model)))
 
 
 def op7_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
