@@ -31,13 +31,16 @@ LEAST_REVISIT = 0
 PIECE_BYTES = 4 << 20
 #: Parts of the rows of one payload when they are joined with what is known of it.
 SALT = 32
+#: Rows of ids (at most 200 bytes each) that are sent to the tasks that hold the payloads; more
+#: of them are joined by a shuffle of the payloads.
+SENT_ROWS = 50_000
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _START = re.compile(rb"^WARC/\d+\.\d+\r$", re.M)
 _FIELD = re.compile(rb"(?:WARC/\d+\.\d+|[!-9;-~]+:.*|[ \t].*)\r\n", re.S)
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-SCANNED = ("file string, block long, rel long, data binary, starts boolean, header binary, open boolean, "
+SCANNED = ("file string, block long, rel long, size long, data binary, starts boolean, header binary, open boolean, "
            "total long, lead binary, lead_done boolean")
 
 
@@ -55,6 +58,11 @@ def _salted(hot: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
             .join(known.withColumn("salt", salts), [*keys, "salt"], "left").drop("salt"))
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """Saved rows, marked for broadcast if they are few."""
+    return F.broadcast(rows) if rows.count() <= SENT_ROWS else rows
+
+
 def archive_records(pages: DataFrame, least: int = LEAST_REVISIT, date: str = "2000-01-01T00:00:00Z") -> DataFrame:
     """One WARC record for each row of pages (page_id, url, html), as text without its closing line ends.
 
@@ -67,9 +75,9 @@ def archive_records(pages: DataFrame, least: int = LEAST_REVISIT, date: str = "2
         {"identity": F.sha2("html", 256), "size": F.octet_length("html").cast("long")})
     ids = rows.where((F.col("size") >= least) & F.col("page_id").isNotNull()).select("page_id", "identity")
     several = ids.groupBy("identity").agg(F.max("page_id").alias("last"), F.min("page_id").alias("first")).where("first < last").select("identity", "last")
-    copies = _salted(ids, several, ["identity"]).where("page_id < last").select(
-        "page_id", "identity", F.col("last").alias("refers_to")).distinct()
-    rows = rows.join(copies, ["page_id", "identity"], "left")
+    copies = saved(_salted(ids, several, ["identity"]).where("page_id < last").select(
+        "page_id", "identity", F.col("last").alias("refers_to")).distinct(), "copies")
+    rows = rows.join(_few(copies), ["page_id", "identity"], "left")
     url = F.expr(r"""array_join(transform(split(url, ''), c -> CASE WHEN c RLIKE '[\\x00-\\x20\\x7F]'
         THEN concat('%', lpad(hex(ascii(c)), 2, '0')) ELSE c END), '')""")
     revisit = F.col("refers_to").isNotNull()
@@ -144,7 +152,7 @@ class _Block:
         if self.held:
             data = b"".join(self.data)
             header, open_ = self.header(data) if self.starts else (None, False)
-            self.out.append((self.file, self.block, self.rel, data, self.starts, header, open_, None, None, None))
+            self.out.append((self.file, self.block, self.rel, len(data), data, self.starts, header, open_, None, None, None))
             self.rel += self.held
         self.data, self.held, self.starts = [], 0, False
 
@@ -152,11 +160,11 @@ class _Block:
         self.send()
         lead = b"".join(self.lead) if self.lead_done or self.leading else None
         # Only the last piece of a block can have a header that goes on.
-        self.out = [(*row[:6], row[6] and i == len(self.out) - 1, *row[7:]) for i, row in enumerate(self.out)]
-        return [*self.out, (self.file, self.block, None, None, False, None, False, self.rel, lead, self.lead_done)]
+        self.out = [(*row[:7], row[7] and i == len(self.out) - 1, *row[8:]) for i, row in enumerate(self.out)]
+        return [*self.out, (self.file, self.block, None, None, None, False, None, False, self.rel, lead, self.lead_done)]
 
 
-_KINDS = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.bool_()]
+_KINDS = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.bool_()]
 _NAMES = [f.split()[0] for f in SCANNED.split(",")]
 
 
@@ -181,8 +189,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block.add(b"\n".join(lines[start:stop]) + b"\n")
             start = stop
         # All but the last piece, which may yet prove to be the one with an open header.
-        if sum(len(row[3]) for row in block.out[:-1]) >= PIECE_BYTES:
-            yield _sent([(*row[:6], False, *row[7:]) for row in block.out[:-1]])
+        if sum(row[3] for row in block.out[:-1]) >= PIECE_BYTES:
+            yield _sent([(*row[:7], False, *row[8:]) for row in block.out[:-1]])
             block.out = block.out[-1:]
     if block:
         yield _sent(block.end())
@@ -208,9 +216,14 @@ def candidates(scan: DataFrame, blocks: DataFrame) -> DataFrame:
                        .toDF("file", "at", "place", "so_far", "done"), "open-headers")
         known = known.unionAll(longer.where("done").select("file", "at", "so_far"))
         left = longer.where("NOT done").drop("done")
-    length = F.regexp_extract("header", r"(?imd)^Content-Length:[ \t]*(\d{1,18})[ \t]*\r$", 1)
     body = F.col("at") + F.octet_length("header")
-    return known.where(length != "").select("file", "at", (body + length.cast("long") + len(END)).alias("next"), "header", body.alias("body"))
+    return known.withColumn("length", _length()).where("length IS NOT NULL").select(
+        "file", "at", (body + F.col("length") + len(END)).alias("next"), "header", body.alias("body"))
+
+
+def _length() -> Column:
+    """The Content-Length of a header."""
+    return F.nullif(F.regexp_extract("header", r"(?imd)^Content-Length:[ \t]*(\d{1,18})[ \t]*\r$", 1), F.lit("")).cast("long")
 
 
 def reached(links: DataFrame) -> DataFrame:
@@ -231,13 +244,14 @@ def reached(links: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """(file, at, header, payload) for every record of the archives in ``folder``.
+    """(file, at, header, payload_bytes, payload_digest, payload) for every record of the archives in ``folder``.
 
     ``at`` is the record's offset, ``header`` its text up to the blank line, ``payload`` its
     block of Content-Length bytes. Files may have any size; a record of any type is read.
     Record starts inside payloads are no records. Where a successor is no record start, the
     chain of that file ends; what follows is left out, as is a record cut off at the end. A
-    record is one row, so its payload has to fit in a task; no folder of records gives no rows.
+    record is one row, so its payload has to fit in a task; no folder of records gives no
+    rows. Payloads are shuffled only if the caller uses them.
     """
     scan = saved(scanned(spark, folder), "pieces")
     by_file = Window.partitionBy("file").orderBy("block")
@@ -247,29 +261,45 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         "place": F.row_number().over(by_file)}), "blocks")
     links = saved(candidates(scan, blocks), "candidates")
     records = saved(links.join(reached(links), ["file", "at"]), "records")
-
-    index = scan.where("total IS NULL").select("file", "block", "rel").join(blocks.select("file", "block", "base"), ["file", "block"]).select(
-        "file", "block", "rel", (F.col("base") + F.col("rel")).alias("offset"))
-    index = index.join(records.select("file", F.col("at").alias("offset"), F.lit(True).alias("is_record")), ["file", "offset"], "left")
-    index = saved(index.withColumn("at", F.when(F.col("is_record"), F.col("offset"))), "piece-index")
-    # Sorted by block; the blocks before are looked at as one row each.
-    last = index.groupBy("file", "block").agg(F.max("at").alias("last")).withColumn(
-        "carried", F.last("last", True).over(by_file.rowsBetween(Window.unboundedPreceding, -1)))
+    owned = saved(owners(scan, blocks, records), "owners")
+
+    # Records that their first piece holds whole: everything is worked out beside the piece.
+    first = (F.col("offset") == F.col("at")) & (F.col("offset") + F.col("size") >= F.col("next") - len(END))
+    whole = owned.where(first).select("file", "block", "rel", "at")
+    starts = scan.where("header IS NOT NULL").withColumn("header", F.col("header").cast("string")).withColumn("length", _length())
+    payload = F.expr("substring(data, cast(octet_length(header) + 1 AS int), cast(length AS int))")
+    alone = starts.where("length IS NOT NULL").select("file", "block", "rel", "header", *_measured(payload)).join(whole, ["file", "block", "rel"])
+
+    # The others are put together from the pieces between their start and their successor.
+    parts = saved(owned.join(whole.select("file", "at"), ["file", "at"], "left_anti").select("file", "block", "rel", "offset", "at"), "parts")
+    pieces = scan.where("total IS NULL").select("file", "block", "rel", "data").join(_few(parts), ["file", "block", "rel"])
+    grouped = pieces.groupBy("file", "at").agg(F.sort_array(F.collect_list(F.struct("offset", "data"))).alias("parts"))
+    data = F.expr("cast(array_join(transform(parts, p -> cast(p.data AS string)), '') AS binary)")
+    joined = grouped.join(records, ["file", "at"]).withColumn("data", data).where(F.col("at") + F.octet_length("data") >= F.col("next") - len(END))
+    cut = F.expr("substring(data, cast(body - at + 1 AS int), cast(next - 4 - body AS int))")
+    columns = ["file", "at", "header", "payload_bytes", "payload_digest", "payload"]
+    return alone.select(*columns).unionAll(joined.select("file", "at", "header", *_measured(cut)).select(*columns))
+
+
+def _measured(payload: Column) -> list[Column]:
+    return [F.octet_length(payload).cast("long").alias("payload_bytes"), base32_sha1(payload).alias("payload_digest"), payload.alias("payload")]
+
+
+def owners(scan: DataFrame, blocks: DataFrame, records: DataFrame) -> DataFrame:
+    """(file, block, rel, size, offset, at, next) of the pieces that lie in a record: the last one
+    that starts before the piece. Only places are read here, no data."""
+    index = scan.where("total IS NULL").select("file", "block", "rel", "size").join(blocks.select("file", "block", "base"), ["file", "block"]).select(
+        "file", "block", "rel", "size", (F.col("base") + F.col("rel")).alias("offset"))
+    starts = records.select("file", F.col("at").alias("offset"), F.col("at").alias("own"))
+    index = index.join(starts, ["file", "offset"], "left")
+    # Sorted by block; of the blocks before, one row each is looked at.
+    by_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    last = index.groupBy("file", "block").agg(F.max("own").alias("last")).withColumn("carried", F.last("last", True).over(by_file))
     in_block = Window.partitionBy("file", "block").orderBy("rel")
-    owned = index.withColumn("own", F.last("at", True).over(in_block)).join(last.select("file", "block", "carried"), ["file", "block"]).select(
-        "file", "block", "rel", "offset", F.coalesce("own", "carried").alias("at"))
-    owned = owned.join(records, ["file", "at"]).where("offset < next")
-
-    pieces = scan.where("total IS NULL").select("file", "block", "rel", "data").join(owned, ["file", "block", "rel"])
-    end = F.col("next") - len(END)
-    whole = (F.col("offset") == F.col("at")) & (F.col("offset") + F.octet_length("data") >= end)
-    cut = F.expr("substring(data, cast(body - at + 1 AS int), cast(next - 4 - body AS int))").alias("payload")
-    alone = pieces.where(whole).select("file", "at", "header", cut)
-    parts = pieces.where(~whole).groupBy("file", "at").agg(
-        F.first("header").alias("header"), F.first("body").alias("body"), F.first("next").alias("next"),
-        F.sort_array(F.collect_list(F.struct("offset", "data"))).alias("parts"))
-    joined = parts.withColumn("data", F.expr("cast(array_join(transform(parts, p -> cast(p.data AS string)), '') AS binary)"))
-    return alone.unionAll(joined.where(F.col("at") + F.octet_length("data") >= end).select("file", "at", "header", cut))
+    placed = index.withColumn("at", F.last("own", True).over(in_block)).join(last.select("file", "block", "carried"), ["file", "block"]).withColumn(
+        "at", F.coalesce("at", "carried"))
+    return placed.join(records.select("file", "at", "next"), ["file", "at"]).where("offset < next").select(
+        "file", "block", "rel", "size", "offset", "at", "next")
 
 
 def field(name: str) -> Column:
@@ -288,8 +318,7 @@ def described(records: DataFrame) -> DataFrame:
     null if that is not among the records.
     """
     rows = saved(records.select(
-        _page("WARC-Record-ID").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest"), field("WARC-Type").alias("record_type"), _page("WARC-Refers-To").alias("refers_to"),
+        _page("WARC-Record-ID").alias("page_id"), "payload_bytes", "payload_digest", field("WARC-Type").alias("record_type"), _page("WARC-Refers-To").alias("refers_to"),
         F.regexp_extract(field("WARC-Payload-Digest"), "^sha1:(.*)$", 1).alias("named")), "described")
     revisits = rows.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to", "named")
     wanted = revisits.select("refers_to", "named").distinct()
