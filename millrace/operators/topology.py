@@ -2,74 +2,85 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import LINE_PRECEDENCE
-
-# Rows a chunk that the bounds between chunks are taken from, about.
-SAMPLE_PER_CHUNK = 1000
+from ..session import fresh_folder
 
 
 def neighbours(df: DataFrame, group: str, order: Sequence[str], column: str, chunks: int | None = None) -> DataFrame:
     """``prev_<column>`` and ``next_<column>`` of each row within its group.
 
-    ``order`` must be unique within a group. All rows are cut by group and order at fixed
-    bounds into as many chunks as the session has shuffle partitions (or ``chunks``), so no
-    task sorts more than its share however large a group is. Neighbours are found inside
-    chunks; the rows at chunk ends, two per chunk and group, then find their outer
-    neighbours among themselves: in order, a chunk's head follows the tail before it.
+    ``order`` must be unique within a group. One range shuffle deals the rows by group and order,
+    so no task sorts more than its share however large a group is; each task walks its sorted
+    rows once. The rows at the ends of the tasks' shares, two a task, are a small table in which they
+    find their outer neighbours: in order, a share's first row follows the last one before it.
+    The rows are written below ``spark.checkpoint.dir`` in between, so that both parts see the same
+    shares. ``chunks`` fixes the number of shares; else the engine chooses.
     """
-    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    before, after = F.lag(column), F.lead(column)
-    cut = df.withColumn("_chunk", _chunk_number(df, [group, *order], chunks))
-    inside = Window.partitionBy(group, "_chunk").orderBy(*order)
-    local = cut.select(
-        "*", before.over(inside).alias("_prev"), after.over(inside).alias("_next"),
-        F.lag(F.lit(False), 1, True).over(inside).alias("_head"), F.lead(F.lit(False), 1, True).over(inside).alias("_tail"))
+    keys = [group, *order]
+    dealt = df.repartitionByRange(chunks, *keys) if chunks else df.repartitionByRange(*keys)
+    added = [T.StructField("_prev", df.schema[column].dataType), T.StructField("_next", df.schema[column].dataType),
+             T.StructField("_share", T.IntegerType()), T.StructField("_head", T.BooleanType()), T.StructField("_tail", T.BooleanType())]
+    walked = dealt.sortWithinPartitions(*keys).mapInArrow(_walker(group, column), T.StructType([*df.schema.fields, *added]))
+    path = fresh_folder(df.sparkSession, "neighbours")
+    walked.write.parquet(path)
+    rows = df.sparkSession.read.schema(walked.schema).parquet(path)
+    across = Window.partitionBy(group).orderBy("_share", "_tail")
+    outer = F.when(F.col("_head"), F.lag(column).over(across)).otherwise(F.col("_prev")), \
+        F.when(F.col("_tail"), F.lead(column).over(across)).otherwise(F.col("_next"))
     at_end = F.col("_head") | F.col("_tail")
-    across = Window.partitionBy(group).orderBy(*order)
-    ends = local.where(at_end).select(
-        *df.columns, F.when(F.col("_head"), before.over(across)).otherwise(F.col("_prev")).alias(f"prev_{column}"),
-        F.when(F.col("_tail"), after.over(across)).otherwise(F.col("_next")).alias(f"next_{column}"))
-    middle = local.where(~at_end).select(
-        *df.columns, F.col("_prev").alias(f"prev_{column}"), F.col("_next").alias(f"next_{column}"))
+    names = [f"prev_{column}", f"next_{column}"]
+    middle = rows.where(~at_end).select(*df.columns, F.col("_prev").alias(names[0]), F.col("_next").alias(names[1]))
+    ends = rows.where(at_end).select(*df.columns, outer[0].alias(names[0]), outer[1].alias(names[1]))
     return middle.unionByName(ends)
 
 
-def _chunk_number(df: DataFrame, order: Sequence[str], chunks: int) -> Column:
-    """Number of bounds below a row.
-
-    The bounds are the tops of a range partitioning, collected once (one row per chunk),
-    so every later use gives a row the same chunk. They are taken from a sample: where
-    they fall decides only how even the chunks are.
-    """
-    total = max(1, df.count())
-    some = df.select(*order).sample(min(1.0, chunks * SAMPLE_PER_CHUNK / total), seed=1)
-    tops = (some.repartitionByRange(chunks, *order)
-            .groupBy(F.spark_partition_id().alias("_p")).agg(F.max(F.struct(*order)).alias("top"))
-            .select("top.*").collect())
-    kinds = {f.name: f.dataType for f in df.schema if f.name in order}
-    bounds = sorted(tops, key=lambda row: [(row[c] is not None, row[c]) for c in order])[:-1]
-
-    def after(bound) -> Column:
-        """Whether a row comes after ``bound``; nulls come first."""
-        beyond, level = F.lit(False), F.lit(True)
-        for c in order:
-            value = F.lit(bound[c]).cast(kinds[c])
-            larger = F.col(c).isNotNull() if bound[c] is None else F.coalesce(F.col(c) > value, F.lit(False))
-            beyond, level = beyond | (level & larger), level & F.col(c).eqNullSafe(value)
-        return beyond
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(after(bounds[middle]), search(middle + 1, high)).otherwise(search(low, middle))
-
-    return search(0, len(bounds))
+def _walker(group: str, column: str):
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share = TaskContext.get().partitionId()
+        held, before = None, None  # the last row so far, and the row before it
+
+        def shown(rows: pa.Table, before: pa.Table | None, after: pa.Table | None) -> Iterator[pa.RecordBatch]:
+            n = rows.num_rows
+            around = pa.concat_tables([t for t in (before, rows, after) if t is not None]).combine_chunks()
+            start = 0 if before is None else 1
+            here = around.slice(start, n)
+
+            def beside(step: int) -> pa.Array:
+                at = pa.array([i if 0 <= i < around.num_rows else None for i in range(start + step, start + step + n)], pa.int64())
+                other, own = around.column(group).take(at), here.column(group)
+                same = pc.or_(pc.fill_null(pc.equal(other, own), False), pc.and_(pc.is_null(other), pc.is_null(own)))
+                return pc.if_else(same, around.column(column).take(at), pa.scalar(None, around.schema.field(column).type))
+
+            flags = [[before is None and i == 0 for i in range(n)], [after is None and i == n - 1 for i in range(n)]]
+            full = here
+            for name, values in (("_prev", beside(-1)), ("_next", beside(1)), ("_share", pa.array([share] * n, pa.int32())),
+                                 ("_head", pa.array(flags[0])), ("_tail", pa.array(flags[1]))):
+                full = full.append_column(name, values)
+            yield from full.to_batches()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows])
+            if rows.num_rows > 1:
+                yield from shown(rows.slice(0, rows.num_rows - 1), before, rows.slice(rows.num_rows - 1))
+                before = rows.slice(rows.num_rows - 2, 1)
+            held = rows.slice(rows.num_rows - 1)
+        if held is not None:
+            yield from shown(held, before, None)
+
+    return walk
 
 
 def line_topology(stations: DataFrame, chunks: int | None = None) -> DataFrame:
