@@ -5,14 +5,13 @@ from __future__ import annotations
 import argparse
 
 from .plans.ingest import ingest_writer
-from .plans.programs import BOARD_KEYS, PROGRAMS, board_stream, board_writer, build_program, program_writer, weather_stream
+from .plans.programs import PROGRAMS, board_stream, board_writer, build_program, program_split, program_writer, weather_stream
 from .plans.transit import TransitTopics
 from .session import build_session
 from .sources.increments import POLL_SECONDS
 from .sources.topics import Broker
-from .streaming.run import checkpoint_for, replay_checkpoint, run_available, run_forever
+from .streaming.run import checkpoint_for, kept_split, replay_checkpoint, run_available, run_forever
 from .streaming.sinks import console, print_rows
-from .streaming.tables import ChangeTable
 
 BOARD = "status-board"
 INGEST = "table-ingest"
@@ -33,6 +32,7 @@ def main() -> None:
     parser.add_argument("--space", default="", help="name space of the transit topics, such as org.example.")
     parser.add_argument("--json", action="store_true", help="transit topics hold JSON instead of Avro")
     parser.add_argument("--split", type=int, help="groups that each key of a join is spread over")
+    parser.add_argument("--hot-share", type=float, help="spread only keys with more than this share of the records that are there at the first start")
     parser.add_argument("--watermark", help="drop window state so long behind the newest event, such as '1 hour'")
     parser.add_argument("--delay", help="how late a record of a bounded join may come, such as '10 minutes'")
     parser.add_argument("--within", help="how far apart the records of a bounded join may be, such as '30 days'")
@@ -58,10 +58,8 @@ def main() -> None:
                                allowed=args.allow, seconds=args.seconds)
     elif args.program == BOARD:
         names = TransitTopics(args.space)
-        changes = board_stream(spark, broker, names, not args.json, **reading)
-        # The table belongs to the checkpoint: a replay from a new one starts an empty table.
-        table = ChangeTable.of(changes, f"{checkpoint}-table", BOARD_KEYS)
-        writer = board_writer(changes, table, checkpoint, print_rows)
+        # The board is in the checkpoint's state: a replay from a new one starts an empty board.
+        writer = board_writer(board_stream(spark, broker, names, not args.json, **reading), checkpoint, print_rows)
         weather = console(weather_stream(spark, broker, names, not args.json, **reading), "update") \
             .option("checkpointLocation", f"{checkpoint}-weather")
         if args.once:
@@ -72,8 +70,10 @@ def main() -> None:
         options = {"split": args.split, "watermark": args.watermark, "delay": args.delay, "within": args.within,
                    "avro": False if args.json else None}
         options = {name: value for name, value in options.items() if value is not None}
+        if args.hot_share:
+            options["split"] = kept_split(spark, checkpoint, lambda: program_split(spark, args.program, broker, args.topics, args.hot_share))
         result = build_program(spark, args.program, broker, args.topics, space=args.space, options=options, **reading)
-        writer = program_writer(result, args.program, broker, checkpoint, args.out, args.space)
+        writer = program_writer(result, args.program, broker, checkpoint, args.out, args.space, options)
     if args.once:
         run_available(writer, args.program)
     else:

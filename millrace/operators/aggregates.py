@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from .keyed import KeyedTable
 from .latest import latest_by_key
 
 
@@ -18,8 +19,13 @@ def count_containing(df: DataFrame, column: str, texts: Mapping[str, str]) -> Da
 
 def running_sum(df: DataFrame, key: str, value: str | Column, name: str = "total") -> DataFrame:
     """Sum per key from zero; on a stream every change of a sum is a row."""
+    return running_sum_table(df, key, value, name).rows()
+
+
+def running_sum_table(df: DataFrame, key: str, value: str | Column, name: str = "total") -> KeyedTable:
     column = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(key).agg(F.coalesce(F.sum(column), F.lit(0)).alias(name))
+    return KeyedTable(df.groupBy(key).agg(F.sum(column).alias(name)),
+                      lambda sums: sums.withColumn(name, F.coalesce(F.col(name), F.lit(0))))
 
 
 # Seconds per unit in window lengths; other units go the general way.
@@ -34,21 +40,50 @@ def windowed_sum(df: DataFrame, time: str, key: str, value: str, size: str, slid
 
     Without ``slide`` windows tumble; with it each row counts in every window it falls in.
     Without ``watermark`` no row is ever too late and the state keeps growing; with it a
-    stream drops windows older than the watermark.
+    stream drops windows older than the watermark. On a stream with a watermark hopping
+    windows are a second aggregate over sums of one hop, so a row changes one state row
+    and not one for each window; such a stream gives each window once, in append mode.
     """
-    if watermark is not None:
-        df = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
-    window = F.window(time, size, slide) if slide else F.window(time, size)
-    summed = df.groupBy(window.alias("_window"), key).agg(F.sum(value).alias(name))
-    whole = summed.select(key, F.col("_window.start").alias("window_start"),
-                          F.col("_window.end").alias("window_end"), name)
     length, step = _seconds(size), _seconds(slide)
-    if (df.isStreaming or not length or not step or length % step or length == step
-            or not isinstance(df.schema[time].dataType, TimestampType)):
+    by_panes = bool(slide and length and step and length % step == 0 and length != step)
+    if not by_panes or not isinstance(df.schema[time].dataType, TimestampType) or df.isStreaming and watermark is None:
+        return _summed(df, time, key, value, size, slide, watermark, name).rows()
+    if df.isStreaming:
+        panes = _watermarked(df, time, watermark).groupBy(F.window(time, slide).alias("_pane"), key).agg(F.sum(value).alias("_sum"))
+        hops = panes.groupBy(F.window(F.window_time("_pane"), size, slide).alias("_window"), key).agg(F.sum("_sum").alias(name))
+        return _shown(hops, key, name)
+    return windowed_sum_table(df, time, key, value, size, slide, name).rows()
+
+
+def windowed_sum_table(df: DataFrame, time: str, key: str, value: str, size: str, slide: str | None = None,
+                       name: str = "total", watermark: str | None = None) -> KeyedTable:
+    """``windowed_sum`` as a table that a stream keeps. Hopping windows are kept as sums of one hop
+    and put together when the table is read; with a ``watermark`` windows have to tumble."""
+    length, step = _seconds(size), _seconds(slide)
+    if not slide or length == step:
+        return _summed(df, time, key, value, size, None, watermark, name)
+    if watermark is not None:
+        raise ValueError("hopping windows behind a watermark are a stream, not a table: use windowed_sum")
+    whole = _summed(df, time, key, value, size, slide, None, name)
+    if not length or not step or length % step or not isinstance(df.schema[time].dataType, TimestampType):
         return whole
-    panes = windowed_sum(df, time, key, value, slide, name="_sum")
-    return _hops_from_panes(panes, key, length, step, name).select(
-        key, "window_start", "window_end", F.col(name).cast(whole.schema[name].dataType))
+    kind = whole.grouped.schema[name].dataType
+    return _summed(df, time, key, value, slide, None, None, "_sum").then(
+        lambda panes: _hops_from_panes(panes, key, length, step, name).withColumn(name, F.col(name).cast(kind)))
+
+
+def _watermarked(df: DataFrame, time: str, watermark: str | None) -> DataFrame:
+    return df if watermark is None else df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
+
+
+def _summed(df, time, key, value, size, slide, watermark, name) -> KeyedTable:
+    window = F.window(time, size, slide) if slide else F.window(time, size)
+    grouped = _watermarked(df, time, watermark).groupBy(window.alias("_window"), key).agg(F.sum(value).alias(name))
+    return KeyedTable(grouped, lambda sums: _shown(sums, key, name))
+
+
+def _shown(sums: DataFrame, key: str, name: str) -> DataFrame:
+    return sums.select(key, F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"), name)
 
 
 def _hops_from_panes(panes: DataFrame, key: str, length: int, step: int, name: str) -> DataFrame:
@@ -91,7 +126,11 @@ def current_window(windowed: DataFrame, key: str) -> DataFrame:
 
 def keyed_count(df: DataFrame, key: str, counted: str | None = None, name: str = "count") -> DataFrame:
     """Rows per key whose ``counted`` column (the key by default) is not null."""
-    return df.groupBy(key).agg(F.count(counted or key).alias(name))
+    return keyed_count_table(df, key, counted, name).rows()
+
+
+def keyed_count_table(df: DataFrame, key: str, counted: str | None = None, name: str = "count") -> KeyedTable:
+    return KeyedTable(df.groupBy(key).agg(F.count(counted or key).alias(name)))
 
 
 def count_latest_by_key(df: DataFrame, record_key: Sequence[str], order: Sequence[str], group: str,

@@ -14,26 +14,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from .keyed import KeyedTable
+
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` of each key. ``order`` must be a total order."""
+    return latest_table(df, keys, order).rows()
+
+
+def latest_table(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> KeyedTable:
+    """``latest_by_key`` as a table that a stream keeps."""
     return _pick(df, keys, order, F.max, F.max_by)
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order`` of each key."""
-    return _pick(df, keys, order, F.min, F.min_by)
+    return _pick(df, keys, order, F.min, F.min_by).rows()
 
 
-def _pick(df, keys, order, extreme, extreme_by):
+def _pick(df, keys, order, extreme, extreme_by) -> KeyedTable:
     rest = [c for c in df.columns if c not in keys and c not in order]
     if any(_has_map(df.schema[c].dataType) for c in rest):
         row = extreme_by(F.struct(*order, *rest), F.struct(*order))
     else:
         # One struct with the order in front: each value is carried and sent once.
         row = extreme(F.struct(*order, *rest))
-    picked = df.groupBy(*keys).agg(row.alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    names = df.columns
+    return KeyedTable(df.groupBy(*keys).agg(row.alias("_row")), lambda picked: picked.select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in names]))
 
 
 def _has_map(kind: DataType) -> bool:

@@ -20,6 +20,7 @@ from ..functions.scalars import (DEFAULT_TEMPERATURE, DEFAULT_WEATHER, NO_TRAIN,
                                  status_text, title_text, whole_number)
 from ..schemas import LINES
 from .filters import fan_out
+from .keyed import KeyedTable
 from .latest import latest_overall
 
 # At equal record time stations come before arrivals before counts.
@@ -83,6 +84,11 @@ def position_state(registrations: DataFrame, arrivals: DataFrame, counts: DataFr
 
 def state_of(messages: DataFrame) -> DataFrame:
     """The same from messages: line, station_id, kind, step, at, station_name, order, train_id, status, entries."""
+    return state_table(messages).rows()
+
+
+def state_table(messages: DataFrame) -> KeyedTable:
+    """The same as a table that a stream keeps."""
     def newest(kind: str, *fields: str) -> Column:
         # The order leads the struct, so the greatest struct is the newest message's.
         return F.max(F.when(F.col("kind") == kind, F.struct("at", "step", *fields)))
@@ -96,12 +102,12 @@ def state_of(messages: DataFrame) -> DataFrame:
     def shown(slot: str, field: str) -> Column:
         return F.when(F.col(f"{slot}.at") > F.col("_station.at"), F.col(f"{slot}.{field}"))
 
-    return state.where(F.col("_station").isNotNull()).select(
+    return KeyedTable(state, lambda kept: kept.where(F.col("_station").isNotNull()).select(
         "line", "station_id", F.col("_station.station_name").alias("station_name"),
         F.col("_station.order").alias("order"),
         shown("_a", "train_id").alias("train_a"), shown("_a", "status").alias("status_a"),
         shown("_b", "train_id").alias("train_b"), shown("_b", "status").alias("status_b"),
-        F.coalesce(shown("_count", "entries"), F.lit(0)).alias("entries"))
+        F.coalesce(shown("_count", "entries"), F.lit(0)).alias("entries")))
 
 
 def board_order() -> list[Column]:

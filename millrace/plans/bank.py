@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import as_text, flatten_json, json_value
 from ..operators.filters import above
-from ..operators.joins import bounded_join, inner_join, split_for
+from ..operators.joins import Split, bounded_join, inner_join, split_for
 from ..schemas import ATM_WITHDRAWAL, BANK_CUSTOMER, BANK_DEPOSIT, BANK_DEPOSIT_TEXT, BANK_WITHDRAWAL
 
 # Fixed value: deposits must be above this amount.
@@ -27,7 +27,7 @@ def bank_deposits(records: DataFrame) -> DataFrame:
 
 
 def large_deposits(deposit_records: DataFrame, customer_records: DataFrame,
-                   minimum: float = LARGE_DEPOSIT, split: int | None = None) -> DataFrame:
+                   minimum: float = LARGE_DEPOSIT, split: int | Split | None = None) -> DataFrame:
     """Deposits above ``minimum`` with the name of each customer of the account."""
     deposit_records, split, keep = split_for(deposit_records, split)
     deposits = above(flatten_json(deposit_records, BANK_DEPOSIT, keep=keep), "amount", minimum)
@@ -37,7 +37,7 @@ def large_deposits(deposit_records: DataFrame, customer_records: DataFrame,
                       split=split, split_by=keep)
 
 
-def withdrawal_locations(bank_records: DataFrame, atm_records: DataFrame, split: int | None = None) -> DataFrame:
+def withdrawal_locations(bank_records: DataFrame, atm_records: DataFrame, split: int | Split | None = None) -> DataFrame:
     """Bank withdrawals with the machine that served the same transaction."""
     bank_records, split, keep = split_for(bank_records, split)
     bank = flatten_json(bank_records, BANK_WITHDRAWAL, keep=keep)
@@ -46,7 +46,7 @@ def withdrawal_locations(bank_records: DataFrame, atm_records: DataFrame, split:
     return inner_join(bank, atm, "transactionId", "atmTransactionId", split=split, split_by=keep)
 
 
-def withdrawal_location_topic(bank_records: DataFrame, atm_records: DataFrame, split: int | None = None) -> DataFrame:
+def withdrawal_location_topic(bank_records: DataFrame, atm_records: DataFrame, split: int | Split | None = None) -> DataFrame:
     return json_value(withdrawal_locations(bank_records, atm_records, split), "transactionId")
 
 

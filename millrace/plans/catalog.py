@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from ..functions import decode, scalars
 from ..operators import aggregates, filters, joins, latest, positions, ridership, topology
-from ..schemas import (ATTRIBUTED_CLICK_AVRO, BANK_CUSTOMER, DOUBLE, ENTRY_SUMMARY, INT, PURCHASE, STATION_ROW, STRING, TURNSTILE,
+from ..schemas import (ATTRIBUTED_CLICK_AVRO, BANK_CUSTOMER, DOUBLE, ENTRY_SUMMARY, INT, LONG, PURCHASE, STATION_ROW, STRING, TURNSTILE,
                        record)
 from ..session import fresh_folder
-from ..sources import avro_files, files, increments, tables, topics
-from ..streaming import polling, run, sinks
-from ..streaming.tables import ChangeTable
+from ..sources import avro_files, files, growing, increments, tables, topics
+from ..streaming import polling, run, sinks, stateful
+from ..streaming.tables import current, keeper
 from . import bank, change_feed, clicks, ingest, lines_of_text, risk, transit, vehicles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -648,20 +648,19 @@ def csv_parts(spark, folder):
 
 @query
 def stream_uri_sums(spark, folder):
-    return run.keep_table(clicks.uri_sums(tables.click_records(_s(spark, folder, "events"))), ["uri"], "uri-sums")
+    return run.keep_table(clicks.uri_sums_table(tables.click_records(_s(spark, folder, "events"))), "uri-sums")
 
 
 @query
 def stream_tumbling_uri_sums(spark, folder):
-    sums = clicks.tumbling_uri_sums(tables.click_records(_s(spark, folder, "events")))
-    kept = run.keep_table(sums, ["uri", "window_start", "window_end"], "tumbling")
+    kept = run.keep_table(clicks.tumbling_uri_sums_table(tables.click_records(_s(spark, folder, "events"))), "tumbling")
     return _plain_time(kept, "window_start", "window_end")
 
 
 @query
 def stream_hopping_uri_sums(spark, folder):
-    sums = clicks.hopping_uri_sums(tables.click_records(_s(spark, folder, "events")))
-    kept = run.keep_table(sums, ["uri", "window_start", "window_end"], "hopping")
+    """The state holds sums of one hop; the windows are put together when it is read."""
+    kept = run.keep_table(clicks.hopping_uri_sums_table(tables.click_records(_s(spark, folder, "events"))), "hopping")
     return _plain_time(kept, "window_start", "window_end")
 
 
@@ -672,6 +671,15 @@ def stream_large_deposit_join(spark, folder):
     return _as_double(run.keep_rows(joined, "large-deposits"), "amount")
 
 
+@query
+def stream_deposits_of_hot_accounts(spark, folder):
+    """The same join with the accounts split that hold more than a thousandth of the orders."""
+    hot = joins.measured_split(_t(spark, folder, "orders"), "o_custkey", 0.001)
+    joined = bank.large_deposits(tables.deposit_records(_s(spark, folder, "orders")),
+                                 tables.customer_records(_s(spark, folder, "customer")), HALF_OF_ORDERS, split=hot)
+    return _as_double(run.keep_rows(joined, "hot-deposits"), "amount")
+
+
 @query
 def stream_country_now_and_home(spark, folder):
     feed = tables.feed_records(*[_s(spark, folder, n) for n in ("orders", "lineitem", "customer", "events")])
@@ -681,69 +689,97 @@ def stream_country_now_and_home(spark, folder):
 @query
 def stream_station_table(spark, folder):
     rows = transit.station_rows(tables.station_records(_s(spark, folder, "events"), TOPICS.stations))
-    return run.keep_table(transit.station_table(rows), ["station_id"], "stations")
+    return run.keep_table(transit.kept_stations(rows), "stations")
 
 
 @query
 def stream_turnstile_summary(spark, folder):
     records = tables.turnstile_records(_s(spark, folder, "events"), TOPICS.turnstile)
-    return run.keep_table(transit.turnstile_summary(transit.turnstile_rows(records)), ["station_id"], "turnstile")
+    return run.keep_table(transit.turnstile_summary_table(transit.turnstile_rows(records)), "turnstile")
 
 
 @query
 def stream_status_board(spark, folder):
     records = tables.board_records(_s(spark, folder, "events"), TOPICS)
-    return positions.status_board(run.keep_table(transit.board_state(records, TOPICS), ["line", "station_id"], "board"))
+    return positions.status_board(run.keep_table(transit.board_table(records, TOPICS), "board"))
 
 
-@query
-def stream_tumbling_bounded(spark, folder):
-    """Tumbling sums whose state is dropped behind a watermark, over events that come in time
-    order in four slices, each a run of its own; none is late, which the engine's count shows."""
-    kept, late = _in_slices(spark, folder, lambda records: clicks.tumbling_uri_sums(records, watermark="1 hour"),
-                            ["uri", "window_start", "window_end"], "tumbling-bounded")
-    return _plain_time(kept.withColumn("late_rows", F.lit(late).cast("long")), "window_start", "window_end")
-
-
-def _in_slices(spark, folder, build, keys, label, slices=4):
-    """The table that a stream over the click records keeps when the events arrive in ``slices``
-    slices of time, with a restart from the checkpoint before each; and the rows dropped as late."""
+def _slices(spark, folder, label, slices=4):
+    """The click events as a topic that gets one more slice of time with each step."""
     records = tables.click_records(_t(spark, folder, "events"))
     bounds = records.select(F.unix_micros("timestamp").alias("t")).approxQuantile("t", [i / slices for i in range(1, slices)], 0.01)
     part = sum((F.unix_micros("timestamp") > F.lit(b)).cast("int") for b in bounds)
-    source, checkpoint = fresh_folder(spark, "slices"), fresh_folder(spark, f"checkpoints/{label}")
-    broker, late, table = topics.Broker(folder=source), 0, None
+    broker = topics.Broker(folder=fresh_folder(spark, f"slices-{label}"))
     for i in range(slices):
-        records.where(part == i).write.parquet(f"{source}/clicks/slice{i}")
-        sums = build(topics.read_topic(spark, broker, "clicks"))
-        table = table or ChangeTable.of(sums, fresh_folder(spark, f"{label}-table"), keys)
-        late += run.late_rows(run.run_available(table.writer(sums, checkpoint)))
-    return table.current(spark), late
+        records.where(part == i).write.parquet(f"{broker.folder}/clicks/slice{i}")
+        yield topics.read_topic(spark, broker, "clicks")
+
+
+@query
+def stream_tumbling_bounded(spark, folder):
+    """Tumbling sums whose state is dropped behind a watermark, over events that come in time
+    order in four slices, each a run of its own; none is late, which the engine's count shows."""
+    windows, late, table = run.ClosingWindows(spark, "tumbling-bounded"), 0, None
+    for records in _slices(spark, folder, "bounded"):
+        table = clicks.tumbling_uri_sums_table(records, watermark="1 hour")
+        late += run.late_rows(windows.run(table))
+    return _plain_time(windows.rows(table).withColumn("late_rows", F.lit(late).cast("long")), "window_start", "window_end")
 
 
 @query
 def restarted_sums(spark, folder):
     """Running sums of a stream that is stopped and started again before each of four slices."""
-    return _in_slices(spark, folder, clicks.uri_sums, ["uri"], "restarted")[0]
+    checkpoint, table = fresh_folder(spark, "checkpoints/restarted"), None
+    for records in _slices(spark, folder, "restarted"):
+        table = clicks.uri_sums_table(records)
+        run.run_available(keeper(table, checkpoint))
+    return current(table, checkpoint)
 
 
 @query
 def stream_current_uri_sums(spark, folder):
-    """The newest window of each uri, from the windows that a stream keeps in a table."""
-    sums = clicks.hopping_uri_sums(tables.click_records(_s(spark, folder, "events")))
-    windows = run.keep_table(sums, ["uri", "window_start", "window_end"], "windows")
-    return _plain_time(clicks.current_uri_sums(windows), "window_start", "window_end")
+    """The newest window of each uri, from the windows in a stream's state."""
+    sums = clicks.hopping_uri_sums_table(tables.click_records(_s(spark, folder, "events")))
+    return _plain_time(run.keep_table(sums.then(clicks.current_uri_sums), "windows"), "window_start", "window_end")
 
 
 @query
 def stream_turnstile_table_summary(spark, folder):
-    """Entries per station where a later row of a key replaces the earlier one: a stream keeps
-    the latest row of each key in a table, and the table is counted."""
+    """Entries per station where a later row of a key replaces the earlier one, as a running count."""
     records = tables.turnstile_records(_s(spark, folder, "events"), TOPICS.turnstile)
     rows = filters.present(transit.turnstile_rows(records, keep=["offset"]), "station_id")
-    keys = ["line", "station_id"]
-    kept = run.keep_table(latest.latest_by_key(rows, keys, ["offset"]), keys, "turnstile-rows")
-    return aggregates.keyed_count(kept, "station_id")
+    changes = stateful.running_table_count(rows, ["line", "station_id"], ["offset"], "station_id")
+    return stateful.latest_counts(run.keep_rows(changes, "turnstile-counts"), "station_id")
+
+
+@query
+def stream_users_by_latest_event(spark, folder):
+    """Users by the type of their latest event: each event may take its user from one count to another."""
+    rows = _s(spark, folder, "events").select("user_id", "event_type", "ts", "event_id")
+    changes = stateful.running_table_count(rows, ["user_id"], ["ts", "event_id"], "event_type")
+    return stateful.latest_counts(run.keep_rows(changes, "event-counts"), "event_type")
+
+
+@query
+def stream_current_per_event(spark, folder):
+    """Every click with the sum of its uri in the newest and the oldest hopping window it is in."""
+    timed = clicks.timed_clicks(tables.click_records(_s(spark, folder, "events")), keep=["offset"])
+    return _plain_time(run.keep_rows(clicks.current_hopping(timed), "current").select("offset", "uri", F.col("_time").alias("at"), "current", "oldest"), "at")
+
+
+@query
+def stream_tumbling_current_per_event(spark, folder):
+    """Every click with the sum of its uri in its tumbling window so far."""
+    timed = clicks.timed_clicks(tables.click_records(_s(spark, folder, "events")), keep=["offset"])
+    return run.keep_rows(clicks.current_tumbling(timed), "current").select("offset", "uri", "current")
+
+
+@query
+def stream_message_outcomes(spark, folder):
+    """What each message of the board's topics does to its station when it is applied."""
+    records = tables.board_records(_s(spark, folder, "events"), TOPICS)
+    outcomes = run.keep_rows(stateful.message_outcomes(transit.board_messages(records, TOPICS)), "outcomes")
+    return outcomes.select("line", "station_id", "offset", "kind", "step", "outcome", "train_a", "status_a", "train_b", "status_b", "entries")
 
 
 @query
@@ -810,8 +846,8 @@ def split_clicks(spark, folder):
 @query
 def stream_newest_orders(spark, folder):
     """The newest row of every customer's orders, kept by a stream."""
-    newest = latest.latest_by_key(_s(spark, folder, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    return run.keep_table(newest, ["o_custkey"], "newest-orders")
+    newest = latest.latest_table(_s(spark, folder, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return run.keep_table(newest, "newest-orders")
 
 
 @query
@@ -822,6 +858,45 @@ def stream_text_lines(spark, folder):
     return lines_of_text.letter_counts(run.keep_rows(files.appended_lines(spark, path), "lines"))
 
 
+@query
+def stream_growing_lines(spark, folder):
+    """Text files followed as they grow, counted line by line."""
+    path = fresh_folder(spark, "growing-lines")
+    _t(spark, folder, "documents").select("text").write.text(path)
+    return lines_of_text.letter_counts(run.keep_rows(growing.growing_lines(spark, path).select("value"), "growing"))
+
+
+@query
+def stream_topic_pattern(spark, folder):
+    """All topics that fit a pattern, half of which come when the stream has already run."""
+    records = tables.board_records(_t(spark, folder, "events"), TOPICS)
+    broker, out = topics.Broker(folder=fresh_folder(spark, "later-topics")), fresh_folder(spark, "later-rows")
+    for half in (0, 1):
+        records.where(F.pmod(F.hash("topic"), F.lit(2)) == half).write.parquet(f"{broker.folder}/org.example.arrival.half{half}")
+        stream = topics.read_topic(spark, broker, pattern=TOPICS.arrival_pattern)
+        run.run_available(run.row_writer(stream.select("topic", "offset"), out, f"{out}-checkpoint"))
+    return spark.read.schema("topic string, offset long").parquet(out)
+
+
+@query
+def stream_sums_and_late_rows(spark, folder):
+    """Clicks of which some come after the watermark: every row is in a sum or among the late ones."""
+    records = tables.click_records(_t(spark, folder, "events"))
+    bounds = records.select(F.unix_micros("timestamp").alias("t")).approxQuantile("t", [0.25, 0.5, 0.75], 0.01)
+    part = sum((F.unix_micros("timestamp") > F.lit(b)).cast("int") for b in bounds)
+    part = F.when(F.col("offset") % 50 == 0, 3).otherwise(part)
+    broker = topics.Broker(folder=fresh_folder(spark, "late"))
+    checkpoint = fresh_folder(spark, "checkpoints/late")
+    for i in range(4):
+        records.where(part == i).write.parquet(f"{broker.folder}/clicks/slice{i}")
+        timed = clicks.timed_clicks(topics.read_topic(spark, broker, "clicks"))
+        run.run_available(sinks.late_writer(timed, "_time", "1 hour", clicks.TUMBLING, "uri", broker, "in-time", "late", checkpoint))
+    read = {topic: decode.flatten_json(topics.read_topic(spark, broker, topic, streaming=False), record(uri=STRING, number=LONG)) for topic in ("in-time", "late")}
+    sums = aggregates.running_sum(read["in-time"], "uri", "number").select("total", F.lit(False).alias("late"))
+    both = sums.unionAll(read["late"].select("number", F.lit(True)))
+    return both.agg(F.sum("total").alias("total"), F.bool_or("late").alias("some_late"))
+
+
 def _published(spark: SparkSession, start: Callable[[topics.Broker, str], object], topic: str) -> DataFrame:
     """What a stream has published to a topic kept as files, as text."""
     broker = topics.Broker(folder=fresh_folder(spark, "topics"))
@@ -886,9 +961,9 @@ def polled_ingest(spark, folder):
     broker = topics.Broker(folder=fresh_folder(spark, "topics"))
     marks = polling.Marks(fresh_folder(spark, "marks"))
     middle = orders.agg(F.floor(F.avg("o_orderkey")).alias("m")).first()["m"]
-    for visible in (orders.where(F.col("o_orderkey") <= middle), orders):
-        polling.poll_once(spark, "orders", lambda last, rows=visible: increments.next_increment(rows, "o_orderkey", last),
-                          "o_orderkey", broker, increments.topic_for("orders", "connect-"), marks)
+    for batch, visible in enumerate((orders.where(F.col("o_orderkey") <= middle), orders)):
+        polling.poll_once(spark, "orders", lambda low, high, rows=visible: increments.next_increment(rows, "o_orderkey", low, high),
+                          "o_orderkey", broker, increments.topic_for("orders", "connect-"), marks, batch)
     return decode.as_text(topics.read_topic(spark, broker, "connect-orders", streaming=False))
 
 

@@ -140,6 +140,34 @@ STATUS_BOARD = f"""{BOARD}
            CAST(station_id AS INTEGER) AS station_id, "order", station_name, coalesce(train_a, '---') AS direction_a,
            coalesce(train_b, '---') AS direction_b, CAST(entries AS BIGINT) AS entries FROM state"""
 
+# Each message of the board beside the registration and the slot changes before it.
+OUTCOMES = f"""{BOARD},
+    messages AS (
+        SELECT *, row_number() OVER (ORDER BY ts, rank, topic, "offset", step) AS seq FROM (
+            SELECT {_LINE.format('event_id')} AS line, user_id AS station_id, event_id AS "offset", 'station' AS kind, 0 AS step, ts, 0 AS rank,
+                   '' AS topic, NULL AS train_id, NULL AS status, NULL AS entries FROM e WHERE event_type = 'signup'
+            UNION ALL SELECT line, station_id, event_id, direction, step, ts, 1, topic, train_id, status, NULL FROM slots
+            UNION ALL SELECT unnest(['blue', 'green', 'red']), user_id, event_id, 'count', 0, ts, 2, '', NULL, NULL, k FROM e WHERE event_type = 'purchase')
+        WHERE line IS NOT NULL),
+    marked AS (
+        SELECT *, max(CASE WHEN kind = 'station' THEN seq END) OVER w AS reg, min(CASE WHEN kind = 'station' THEN seq END) OVER w AS first_reg,
+               max(CASE WHEN kind = 'a' THEN seq END) OVER w AS a_seq, max(CASE WHEN kind = 'b' THEN seq END) OVER w AS b_seq,
+               max(CASE WHEN kind = 'count' THEN seq END) OVER w AS c_seq
+        FROM messages WINDOW w AS (PARTITION BY line, station_id ORDER BY seq))
+    SELECT m.line, CAST(m.station_id AS INTEGER) AS station_id, m."offset", m.kind, CAST(m.step AS INTEGER) AS step,
+           CASE WHEN m.kind = 'station' THEN CASE WHEN m.first_reg = m.seq THEN 'registered' ELSE 'reset' END WHEN m.reg IS NULL THEN 'unknown'
+                WHEN m.kind = 'count' THEN 'counted' WHEN m.step = 1 THEN 'applied' ELSE 'cleared' END AS outcome,
+           CASE WHEN a_seq > reg THEN a.train_id END AS train_a, CASE WHEN a_seq > reg THEN a.status END AS status_a,
+           CASE WHEN b_seq > reg THEN b.train_id END AS train_b, CASE WHEN b_seq > reg THEN b.status END AS status_b,
+           CAST(CASE WHEN reg IS NOT NULL THEN CASE WHEN c_seq > reg THEN c.entries ELSE 0 END END AS BIGINT) AS entries
+    FROM marked m LEFT JOIN messages a ON a.seq = m.a_seq LEFT JOIN messages b ON b.seq = m.b_seq LEFT JOIN messages c ON c.seq = m.c_seq"""
+
+CURRENT = f"""
+    SELECT event_id AS "offset", uri, ts AS at, CAST(own AS BIGINT) AS current,
+           CAST(own + coalesce(sum(coalesce(number, 0)) OVER (PARTITION BY uri ORDER BY pane RANGE BETWEEN 5 PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS oldest
+    FROM (SELECT *, sum(coalesce(number, 0)) OVER (PARTITION BY uri, pane ORDER BY ts, event_id) AS own
+          FROM (SELECT *, epoch_us(ts) // 10000000 AS pane FROM ({CLICK})))"""
+
 TOPOLOGY = """
     WITH s AS (
         SELECT c_custkey AS stop_id, c_custkey // 2 AS station_id, c_custkey % 997 AS "order", c_nationkey AS n,
@@ -380,6 +408,7 @@ ORACLES |= {
     "stream_tumbling_uri_sums": ORACLES["tumbling_uri_sums"],
     "stream_hopping_uri_sums": ORACLES["hopping_uri_sums"],
     "stream_large_deposit_join": ORACLES["large_deposit_join"],
+    "stream_deposits_of_hot_accounts": ORACLES["large_deposit_join"],
     "stream_country_now_and_home": ORACLES["country_now_and_home"],
     "stream_station_table": ORACLES["station_table"],
     "stream_turnstile_summary": """
@@ -389,6 +418,12 @@ ORACLES |= {
     "restarted_sums": ORACLES["uri_sums"],
     "stream_current_uri_sums": ORACLES["current_uri_sums"],
     "stream_turnstile_table_summary": ORACLES["turnstile_table_summary"],
+    "stream_users_by_latest_event": f"""
+        SELECT event_type, count(*) AS count FROM ({_latest("SELECT * FROM events", "user_id, event_type", "user_id", "ts DESC, event_id DESC")})
+        GROUP BY event_type""",
+    "stream_current_per_event": CURRENT,
+    "stream_tumbling_current_per_event": f'SELECT "offset", uri, current FROM ({CURRENT})',
+    "stream_message_outcomes": OUTCOMES,
     "stream_bounded_deposit_join": """
         SELECT CAST(o_orderkey AS VARCHAR) AS "accountNumber", CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) AS amount,
                'line ' || l_linenumber AS "customerName", o_orderdate AS "depositTime", l_shipdate AS "customerTime"
@@ -408,6 +443,11 @@ ORACLES |= {
         "SELECT * FROM orders", "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority",
         "o_custkey", "o_orderdate DESC, o_orderkey DESC"),
     "stream_text_lines": ORACLES["line_letter_counts"],
+    "stream_growing_lines": """
+        SELECT count(*) FILTER (WHERE contains(line, 'd')) AS num_d, count(*) FILTER (WHERE contains(line, 's')) AS num_s
+        FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)""",
+    "stream_topic_pattern": ORACLES["topic_pattern"],
+    "stream_sums_and_late_rows": f"SELECT CAST(sum(number) AS BIGINT) AS total, true AS some_late FROM ({CLICK})",
     "published_withdrawals": ORACLES["withdrawal_location_topic"],
     "published_gears": "SELECT CAST(l_suppkey AS VARCHAR) AS key, l_returnflag AS value FROM lineitem",
     "published_summary": """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import change_feed_text, decode_change_feed, flatten_json, json_value, part_of
 from ..operators.filters import contains, lacks, present
-from ..operators.joins import inner_join, split_for
+from ..operators.joins import Split, inner_join, split_for
 from ..schemas import BANK_CUSTOMER, CUSTOMER_LOCATION, FITNESS_CUSTOMER, PAYMENT, RESERVATION
 
 
@@ -33,7 +33,7 @@ def payment_topic(records: DataFrame) -> DataFrame:
     return json_value(payments(records), "reservationId")
 
 
-def country_now_and_home(records: DataFrame, split_entities: bool = False, split: int | None = None) -> DataFrame:
+def country_now_and_home(records: DataFrame, split_entities: bool = False, split: int | Split | None = None) -> DataFrame:
     """Locations of each account beside its home country and holder's birth year.
 
     Both sides come from one feed. By default customer messages also count as locations,

@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from ..functions.decode import (as_text, counted_rejects, flatten_json, json_value, judged_records, map_entries, pretty_json,
                                 required_faults, required_split, typed_split)
 from ..functions.scalars import random_score
-from ..operators.aggregates import current_window, running_sum, windowed_sum
+from ..operators.aggregates import current_window, running_sum_table, windowed_sum, windowed_sum_table
 from ..operators.filters import at_least
+from ..operators.keyed import KeyedTable
 from ..schemas import ATTRIBUTED_CLICK, CLICK, CLICK_PLAIN, SANITIZED_CLICK
+from ..streaming.stateful import current_values
 
 # Popularity bound, window length and hop.
 POPULAR = 100
-TUMBLING = "10 seconds"
-HOPPING, HOP = "60 seconds", "10 seconds"
+TUMBLING_SECONDS, HOPPING_SECONDS, HOP_SECONDS = 10, 60, 10
+TUMBLING, HOPPING, HOP = (f"{n} seconds" for n in (TUMBLING_SECONDS, HOPPING_SECONDS, HOP_SECONDS))
 
 
 def click_text(records: DataFrame) -> DataFrame:
@@ -68,7 +70,11 @@ def scored_clicks(records: DataFrame, seed: int = 0) -> DataFrame:
 
 def uri_sums(records: DataFrame) -> DataFrame:
     """Running sum of ``number`` per uri."""
-    return running_sum(flatten_json(records, CLICK), "uri", "number")
+    return uri_sums_table(records).rows()
+
+
+def uri_sums_table(records: DataFrame) -> KeyedTable:
+    return running_sum_table(flatten_json(records, CLICK), "uri", "number")
 
 
 def tumbling_uri_sums(records: DataFrame, time: str = "timestamp", watermark: str | None = None) -> DataFrame:
@@ -80,10 +86,30 @@ def hopping_uri_sums(records: DataFrame, time: str = "timestamp", watermark: str
 
 
 def _window_sums(records, time, size, slide, watermark):
-    # The click has a text field of the same name as the broker's record time.
-    timed = records.withColumn("_time", F.col(time))
-    clicks = flatten_json(timed, CLICK, keep=["_time"])
-    return windowed_sum(clicks, "_time", "uri", "number", size, slide, watermark)
+    return windowed_sum(timed_clicks(records, time), "_time", "uri", "number", size, slide, watermark)
+
+
+def tumbling_uri_sums_table(records: DataFrame, time: str = "timestamp", watermark: str | None = None) -> KeyedTable:
+    return windowed_sum_table(timed_clicks(records, time), "_time", "uri", "number", TUMBLING, watermark=watermark)
+
+
+def hopping_uri_sums_table(records: DataFrame, time: str = "timestamp") -> KeyedTable:
+    return windowed_sum_table(timed_clicks(records, time), "_time", "uri", "number", HOPPING, HOP)
+
+
+def timed_clicks(records: DataFrame, time: str = "timestamp", keep: Sequence[str] = ()) -> DataFrame:
+    """Clicks with the record's time as ``_time``: the click has a text field of the same name."""
+    return flatten_json(records.withColumn("_time", F.col(time)), CLICK, keep=["_time", *keep])
+
+
+def current_tumbling(timed: DataFrame, wait: str | None = None) -> DataFrame:
+    """Clicks of ``timed_clicks`` with ``offset``, each with its uri's sum in its window so far."""
+    return current_values(timed, "uri", "number", ["offset"], TUMBLING_SECONDS, wait=wait)
+
+
+def current_hopping(timed: DataFrame, wait: str | None = None) -> DataFrame:
+    """The same for hopping windows, of which each click is in six: the newest and the oldest."""
+    return current_values(timed, "uri", "number", ["offset"], HOP_SECONDS, HOPPING_SECONDS // HOP_SECONDS, wait=wait)
 
 
 def current_uri_sums(windowed: DataFrame) -> DataFrame:

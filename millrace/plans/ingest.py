@@ -23,19 +23,19 @@ def ingest_increment(table: DataFrame, column: str, last: int | None = None,
 def jdbc_reader(spark: SparkSession, url: str, table: str, column: str, allowed: Sequence[str],
                 options: dict[str, str] | None = None, partitions: int = 8) -> Reader:
     """Reader of a database table for ``polling.poll_once``."""
-    return lambda last: jdbc_increment(spark, url, table, column, last, allowed=allowed, options=options,
-                                       partitions=partitions)
+    return lambda last, upto: jdbc_increment(spark, url, table, column, last, upto, allowed=allowed, options=options,
+                                             partitions=partitions)
 
 
 def ingest_writer(spark: SparkSession, table: str, column: str, broker: Broker, prefix: str, checkpoint: str, *, path: str = "",
                   url: str = "", allowed: Sequence[str] = (), seconds: int = POLL_SECONDS) -> DataStreamWriter:
     """Publish the rows added to a table, of parquet files or of a database, every so many seconds.
 
-    The mark is kept beside the checkpoint, so a replay from a new one publishes all rows again.
+    The ranges are kept beside the checkpoint, so a replay from a new one publishes all rows again.
     """
     if not table or not column or bool(path) == bool(url):
         raise ValueError("ingest needs a table, its growing column, and either files or a database")
     read = jdbc_reader(spark, url, table, column, allowed) if url else \
-        lambda last: next_increment(spark.read.parquet(f"{path}/{table}.parquet"), column, last)
+        lambda last, upto: next_increment(spark.read.parquet(f"{path}/{table}.parquet"), column, last, upto)
     marks = Marks(f"{checkpoint}-marks")
-    return polling_writer(spark, lambda: poll_once(spark, table, read, column, broker, topic_for(table, prefix), marks), checkpoint, seconds)
+    return polling_writer(spark, lambda batch: poll_once(spark, table, read, column, broker, topic_for(table, prefix), marks, batch), checkpoint, seconds)

@@ -10,13 +10,17 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
-from ..functions.decode import json_value
+from ..functions.decode import flatten_json, json_value
+from ..operators.joins import HOT_SHARE, Split, measured_split
+from ..operators.keyed import KeyedTable
 from ..operators.positions import status_board, weather_line
+from ..schemas import BANK_DEPOSIT, BANK_WITHDRAWAL, RISK_EVENT, VEHICLE_STATUS, VEHICLE_STATUS_TEXT
 from ..sources.topics import Broker, merge_topics, read_topic
 from ..streaming import sinks
-from ..streaming.tables import COMPACT_EVERY, ChangeTable
 from . import bank, change_feed, clicks, risk, transit, vehicles
 
 
@@ -37,6 +41,10 @@ class Program:
     takes: tuple[str, ...] = ()
     rejects: str = ""
     key: str = ""
+    # The option with which results are final and come once.
+    final_with: str = ""
+    # The join key of the first topic's records, for measuring hot keys.
+    joined_by: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _gear_updates(records: DataFrame) -> DataFrame:
@@ -54,6 +62,10 @@ def _summary_changes(records: DataFrame, avro: bool = True) -> DataFrame:
     return json_value(summary, "STATION_ID")
 
 
+def _key_of(layout: StructType, key: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda records: flatten_json(records, layout).select(F.col(key).alias("key"))
+
+
 PROGRAMS = {
     "fuel-level": Program(("fuel-level",), vehicles.fuel_level),
     "balance-updates": Program(("balance-updates",), bank.balance_updates),
@@ -61,20 +73,20 @@ PROGRAMS = {
     "atm-visits": Program(("atm-visits",), bank.atm_visits, "atm-visit-updates"),
     "vehicle-status": Program(("vehicle-status",), vehicles.vehicle_status),
     "bank-deposits": Program(("bank-deposits",), bank.bank_deposits),
-    "vehicle-check-in": Program(("vehicle-status", "check-in"), vehicles.vehicle_check_in, takes=("split",)),
-    "large-deposits": Program(("bank-deposits", "bank-customers"), bank.large_deposits, takes=("split",)),
+    "vehicle-check-in": Program(("vehicle-status", "check-in"), vehicles.vehicle_check_in, takes=("split",), joined_by=_key_of(VEHICLE_STATUS, "truckNumber")),
+    "large-deposits": Program(("bank-deposits", "bank-customers"), bank.large_deposits, takes=("split",), joined_by=_key_of(BANK_DEPOSIT, "accountNumber")),
     "large-deposits-within": Program(("bank-deposits", "bank-customers"), bank.bounded_deposits, takes=("delay", "within")),
     "check-in-status": Program(("vehicle-status", "check-in"), vehicles.vehicle_check_in_topic, "checkin-status",
-                               takes=("split",)),
+                               takes=("split",), joined_by=_key_of(VEHICLE_STATUS_TEXT, "truckNumber")),
     "withdrawal-locations": Program(("bank-withdrawals", "atm-withdrawals"), bank.withdrawal_location_topic,
-                                    "withdrawals-location", takes=("split",)),
+                                    "withdrawals-location", takes=("split",), joined_by=_key_of(BANK_WITHDRAWAL, "transactionId")),
     "truck-reservations": Program(("redis-server",), change_feed.truck_reservations),
     "customer-locations": Program(("redis-server",), change_feed.customer_locations),
     "payments": Program(("redis-server",), change_feed.payment_topic, "payment-json"),
     "current-country": Program(("redis-server",), change_feed.country_now_and_home, takes=("split",)),
     "customer-risk": Program(("risk-events",), risk.customer_risk),
     "email-birth-year": Program(("redis-server",), change_feed.email_and_birth_year),
-    "risk-metrics": Program(("risk-events", "redis-server"), risk.risk_topic, "risk-metrics", takes=("split",)),
+    "risk-metrics": Program(("risk-events", "redis-server"), risk.risk_topic, "risk-metrics", takes=("split",), joined_by=_key_of(RISK_EVENT, "customer")),
     "click-text": Program(("clickevents",), clicks.click_text),
     "click-print": Program(("clickevents",), clicks.click_print),
     "click-sanitize": Program(("clickevents",), clicks.sanitized_clicks, "clickevents.sanitized"),
@@ -87,7 +99,7 @@ PROGRAMS = {
     "click-attributes": Program(("clickevents",), clicks.click_attributes),
     "uri-sums": Program(("clickevents",), clicks.uri_sums, mode="update"),
     "uri-sums-tumbling": Program(("clickevents",), clicks.tumbling_uri_sums, mode="update", takes=("watermark",)),
-    "uri-sums-hopping": Program(("clickevents",), clicks.hopping_uri_sums, mode="update", takes=("watermark",)),
+    "uri-sums-hopping": Program(("clickevents",), clicks.hopping_uri_sums, mode="update", takes=("watermark",), final_with="watermark"),
     "station-table": Program(("{space}v3.stations",), _station_changes, "{space}station.table.v3", "update"),
     "turnstile-summary": Program(("{space}turnstile.v3",), _summary_changes, "TURNSTILE_SUMMARY", "update", ("avro",)),
 }
@@ -110,29 +122,35 @@ def build_program(spark: SparkSession, name: str, broker: Broker, topics: Sequen
     return program.build(*[read_topic(spark, broker, topic, **reading) for topic in names], **(options or {}))
 
 
-def program_writer(result: DataFrame, name: str, broker: Broker, checkpoint: str, out: str = "", space: str = "") -> DataStreamWriter:
-    """Writer of a program's result: to ``out``, its own topic, or the console."""
+def program_split(spark: SparkSession, name: str, broker: Broker, topics: Sequence[str] = (), share: float = HOT_SHARE) -> Split:
+    """The hot keys among the records that the first topic of a join holds now."""
+    program = PROGRAMS[name]
+    if program.joined_by is None:
+        raise ValueError(f"{name} has no measured join key")
+    return measured_split(program.joined_by(read_topic(spark, broker, (topics or program.topics)[0], streaming=False)), "key", share)
+
+
+def program_writer(result: DataFrame, name: str, broker: Broker, checkpoint: str, out: str = "", space: str = "",
+                   options: Mapping[str, object] | None = None) -> DataStreamWriter:
+    """Writer of a program's result, built with ``options``: to ``out``, its own topic, or the console."""
     program = PROGRAMS[name]
+    mode = "append" if program.final_with in (options or ()) else program.mode
     topic = out or program.out.format(space=space)
     if program.rejects:
         return sinks.split_writer(result, broker, topic, program.rejects, program.key, checkpoint)
     if not topic:
-        return sinks.console(result, program.mode).option("checkpointLocation", checkpoint)
+        return sinks.console(result, mode).option("checkpointLocation", checkpoint)
     if not program.out:
         result = json_value(result, result.columns[0])
-    return sinks.topic_writer(result, broker, topic, checkpoint, program.mode)
-
-
-# Key of the board's state table.
-BOARD_KEYS = ("line", "station_id")
+    return sinks.topic_writer(result, broker, topic, checkpoint, mode)
 
 
 def board_stream(spark: SparkSession, broker: Broker, topics: transit.TransitTopics, avro: bool = True,
-                 **reading: object) -> DataFrame:
-    """Changes of the board's state from its live topics; each topic is read once."""
+                 **reading: object) -> KeyedTable:
+    """The board's state over its live topics; each topic is read once."""
     records = merge_topics(read_topic(spark, broker, [topics.station_table, topics.summary], **reading),
                            read_topic(spark, broker, pattern=topics.arrival_pattern, **reading))
-    return transit.board_state(records, topics, avro)
+    return transit.board_table(records, topics, avro)
 
 
 def weather_stream(spark: SparkSession, broker: Broker, topics: transit.TransitTopics, avro: bool = True,
@@ -141,15 +159,9 @@ def weather_stream(spark: SparkSession, broker: Broker, topics: transit.TransitT
     return weather_line(transit.weather_now(read_topic(spark, broker, topics.weather, **reading), topics, avro))
 
 
-def board_writer(changes: DataFrame, table: ChangeTable, checkpoint: str, show: Callable[[DataFrame], object],
-                 every: int = COMPACT_EVERY) -> DataStreamWriter:
-    """Store each micro-batch of changes and hand the lines that changed, in display order, to ``show``.
+def board_writer(board: KeyedTable, checkpoint: str, show: Callable[[DataFrame], object]) -> DataStreamWriter:
+    """Hand the lines that each micro-batch changes, in display order, to ``show``.
 
-    A micro-batch costs as much as it changes: the stored board is neither read nor sorted
-    but for the compaction every so many batches. Its whole is ``table.current``.
+    The whole board is ``tables.current(board, checkpoint)``, from the stream's own state.
     """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        table.append_and_compact(batch, batch_id, every)
-        show(status_board(batch))
-
-    return sinks.for_each_batch(changes, handle, checkpoint, "update")
+    return sinks.for_each_batch(board.rows(), lambda batch, batch_id: show(status_board(batch)), checkpoint, "update")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions.decode import flatten_json, json_value
-from ..operators.joins import inner_join, split_for
+from ..operators.joins import Split, inner_join, split_for
 from ..schemas import RISK_EVENT
 from .change_feed import email_and_birth_year
 
@@ -14,7 +14,7 @@ def customer_risk(records: DataFrame) -> DataFrame:
     return flatten_json(records, RISK_EVENT).select("customer", "score")
 
 
-def risk_by_birth_year(risk_records: DataFrame, feed_records: DataFrame, split: int | None = None) -> DataFrame:
+def risk_by_birth_year(risk_records: DataFrame, feed_records: DataFrame, split: int | Split | None = None) -> DataFrame:
     """Every score of a customer with every feed record of the same e-mail."""
     risk_records, split, keep = split_for(risk_records, split)
     scores = flatten_json(risk_records, RISK_EVENT, keep=keep).select("customer", "score", *keep)
@@ -22,6 +22,6 @@ def risk_by_birth_year(risk_records: DataFrame, feed_records: DataFrame, split:
                       split=split, split_by=keep)
 
 
-def risk_topic(risk_records: DataFrame, feed_records: DataFrame, split: int | None = None) -> DataFrame:
+def risk_topic(risk_records: DataFrame, feed_records: DataFrame, split: int | Split | None = None) -> DataFrame:
     """The join as JSON keyed by customer; ``score`` is a JSON number."""
     return json_value(risk_by_birth_year(risk_records, feed_records, split), "customer")

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import avro_record, counted_rejects, decode_avro, flatten_json, judged_records, typed_faults, typed_split
 from ..functions.scalars import line_color, topic_name
-from ..operators.aggregates import count_latest_by_key, keyed_count
+from ..operators.aggregates import count_latest_by_key, keyed_count_table
 from ..operators.filters import present, topic_between
-from ..operators.latest import latest_by_key
+from ..operators.keyed import KeyedTable
+from ..operators.latest import latest_table
 from ..operators.positions import (ARRIVAL_RANK, COUNT_RANK, STATION_RANK, arrival_changes, current_weather, message_order,
-                                   position_state, state_of)
+                                   position_state, state_table)
 from ..schemas import (ARRIVAL, ARRIVAL_AVRO, ENTRY_SUMMARY, LINES, STATION, STATION_ROW, TURNSTILE, TURNSTILE_AVRO,
                        WEATHER, WEATHER_AVRO)
 
@@ -86,8 +87,13 @@ def station_rows(records: DataFrame, keep: Sequence[str] = PLACE) -> DataFrame:
 def station_table(rows: DataFrame, by_line: bool = False) -> DataFrame:
     """Latest row of each station. Keyed by id alone a station on two lines keeps only its
     last line; ``by_line`` keeps one row per station and line."""
+    return kept_stations(rows, by_line).rows()
+
+
+def kept_stations(rows: DataFrame, by_line: bool = False) -> KeyedTable:
+    """``station_table`` as a table that a stream keeps."""
     keys = ["station_id", "line"] if by_line else ["station_id"]
-    return latest_by_key(rows, keys, PLACE).select(*STATION_ROW.names)
+    return latest_table(rows, keys, PLACE).then(lambda stations: stations.select(*STATION_ROW.names))
 
 
 def turnstile_rows(records: DataFrame, avro: bool = False, keep: Sequence[str] = ()) -> DataFrame:
@@ -96,7 +102,11 @@ def turnstile_rows(records: DataFrame, avro: bool = False, keep: Sequence[str] =
 
 def turnstile_summary(rows: DataFrame) -> DataFrame:
     """Entries per station; on a stream each change of a count is a row."""
-    return keyed_count(present(rows, "station_id"), "station_id")
+    return turnstile_summary_table(rows).rows()
+
+
+def turnstile_summary_table(rows: DataFrame) -> KeyedTable:
+    return keyed_count_table(present(rows, "station_id"), "station_id")
 
 
 def turnstile_table_summary(rows: DataFrame, record_key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -165,7 +175,12 @@ def board_state(records: DataFrame, topics: TransitTopics, avro: bool = False) -
 
     Each kind of message is picked by topic name. Show the state with ``status_board``.
     """
-    return state_of(board_messages(records, topics, avro))
+    return board_table(records, topics, avro).rows()
+
+
+def board_table(records: DataFrame, topics: TransitTopics, avro: bool = False) -> KeyedTable:
+    """The same as a table that a stream keeps."""
+    return state_table(board_messages(records, topics, avro))
 
 
 def board_state_of(station_records: DataFrame, arrival_records: DataFrame, summary_records: DataFrame,

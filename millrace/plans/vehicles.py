@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.decode import as_text, flatten_json, json_value
-from ..operators.joins import inner_join, split_for
+from ..operators.joins import Split, inner_join, split_for
 from ..schemas import CHECK_IN, VEHICLE_STATUS, VEHICLE_STATUS_TEXT
 
 
@@ -25,7 +25,7 @@ def vehicle_status(records: DataFrame, schema: StructType = VEHICLE_STATUS) -> D
 
 
 def vehicle_check_in(status_records: DataFrame, check_in_records: DataFrame,
-                     schema: StructType = VEHICLE_STATUS, split: int | None = None) -> DataFrame:
+                     schema: StructType = VEHICLE_STATUS, split: int | Split | None = None) -> DataFrame:
     """Every status of a truck with every check-in of the same truck."""
     status_records, split, keep = split_for(status_records, split)
     status = flatten_json(status_records, schema, keep=keep).withColumnRenamed("truckNumber", "statusTruckNumber")
@@ -35,6 +35,6 @@ def vehicle_check_in(status_records: DataFrame, check_in_records: DataFrame,
                       split=split, split_by=keep)
 
 
-def vehicle_check_in_topic(status_records: DataFrame, check_in_records: DataFrame, split: int | None = None) -> DataFrame:
+def vehicle_check_in_topic(status_records: DataFrame, check_in_records: DataFrame, split: int | Split | None = None) -> DataFrame:
     """``vehicle_check_in`` with all fields as text, as JSON keyed by the truck."""
     return json_value(vehicle_check_in(status_records, check_in_records, VEHICLE_STATUS_TEXT, split), "statusTruckNumber")

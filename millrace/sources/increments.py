@@ -19,12 +19,14 @@ def rows_after(table: DataFrame, column: str, last: int | None, upto: int | None
     return bounded if last is None else bounded.where(F.col(column) > F.lit(last))
 
 
-def next_increment(table: DataFrame, column: str, last: int | None = None) -> tuple[DataFrame, int | None]:
+def next_increment(table: DataFrame, column: str, last: int | None = None, upto: int | None = None) -> tuple[DataFrame, int | None]:
     """The new rows and the mark to pass next time.
 
-    The upper bound is taken once before the rows are read, so rows that arrive in
-    between are left for the next call. Save the mark after the rows are published.
+    The upper bound is taken once before the rows are read (or given as ``upto``), so rows that
+    arrive in between are left for the next call.
     """
+    if upto is not None:
+        return rows_after(table, column, last, upto), upto
     fresh = table if last is None else table.where(F.col(column) > F.lit(last))
     top = fresh.agg(F.max(column).alias("top")).first()["top"]
     if top is None:
@@ -43,7 +45,7 @@ def jdbc_rows_query(table: str, column: str, last: int | None, upto: int) -> str
     return f"(SELECT * FROM {table} WHERE {newer}{column} <= {int(upto)}) increment"
 
 
-def jdbc_increment(spark: SparkSession, url: str, table: str, column: str, last: int | None = None, *,
+def jdbc_increment(spark: SparkSession, url: str, table: str, column: str, last: int | None = None, upto: int | None = None, *,
                    allowed: Sequence[str], options: Mapping[str, str] | None = None,
                    partitions: int = 8) -> tuple[DataFrame | None, int | None]:
     """New rows of a database table and the next mark; ``None`` rows when nothing is new.
@@ -62,6 +64,8 @@ def jdbc_increment(spark: SparkSession, url: str, table: str, column: str, last:
         "query", jdbc_bounds_query(table, column, last)).load().toDF("low", "high").first()
     if bounds["high"] is None:
         return None, last
+    if upto is not None:
+        bounds = {"low": bounds["low"], "high": upto}
     rows = spark.read.format("jdbc").options(**base).option(
         "dbtable", jdbc_rows_query(table, column, last, bounds["high"]))
     if partitions > 1:

@@ -71,21 +71,23 @@ def read_topic(spark: SparkSession, broker: Broker, topics: str | Sequence[str]
     if streaming and max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     if pattern:
-        found = topic_folders(spark, broker, pattern)
-        if not found:
-            raise ValueError(f"no topic in {broker.folder} fits {pattern}")
-        return topics_like(reader.load(f"{broker.folder}/{{{','.join(found)}}}"), pattern)
+        # A path pattern is looked up anew for each micro-batch, so topics that come later are read too.
+        return topics_like(reader.load(f"{broker.folder}/{folder_pattern(pattern)}"), pattern)
     names = [topics] if isinstance(topics, str) else list(topics)
     return reader.load(f"{broker.folder}/{names[0]}" if len(names) == 1
                        else f"{broker.folder}/{{{','.join(names)}}}")
 
 
-def topic_folders(spark: SparkSession, broker: Broker, pattern: str) -> list[str]:
-    """Topics of the folder whose name starts with a match of ``pattern``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(broker.folder)
-    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    names = [entry.getPath().getName() for entry in entries if entry.isDirectory()]
-    return sorted(name for name in names if re.match(pattern.removeprefix("^"), name))
+def folder_pattern(pattern: str) -> str:
+    """A path pattern for the folders of all topics whose name starts with a match of ``pattern``, and
+    perhaps of others: its literal beginning, in which a dot is any one character."""
+    start = re.match(r"(?:[A-Za-z0-9_-]|\.|\\\.)*", pattern.removeprefix("^"))
+    body, rest = start.group(), pattern.removeprefix("^")[start.end():]
+    if rest[:1] in ("*", "?", "{"):  # the last character may be missing
+        body = re.sub(r"(\\?.)$", "", body)
+    if "|" in rest:
+        body = ""
+    return re.sub(r"\\?\.", "?", body) + "*"
 
 
 def topics_like(df: DataFrame, pattern: str) -> DataFrame:

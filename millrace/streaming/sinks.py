@@ -43,10 +43,10 @@ def topic_writer(records: DataFrame, broker: Broker, topic: str, checkpoint: str
 
 def _file_writer(records: DataFrame, broker: Broker, topic: str, checkpoint: str, mode: str) -> DataStreamWriter:
     return records.writeStream.outputMode(mode).foreachBatch(
-        lambda batch, batch_id: _write_batch(batch, broker, topic, batch_id)).option("checkpointLocation", checkpoint)
+        lambda batch, batch_id: write_batch(batch, broker, topic, batch_id)).option("checkpointLocation", checkpoint)
 
 
-def _write_batch(batch: DataFrame, broker: Broker, topic: str, batch_id: int) -> None:
+def write_batch(batch: DataFrame, broker: Broker, topic: str, batch_id: int) -> None:
     """One micro-batch to a topic; in files a batch that is run again replaces its own folder."""
     if not broker.is_files:
         write_topic(batch, broker, topic)
@@ -55,6 +55,34 @@ def _write_batch(batch: DataFrame, broker: Broker, topic: str, batch_id: int) ->
     rows.write.mode("overwrite").format(broker.file_format).save(f"{broker.folder}/{topic}/batch-{batch_id}")
 
 
+def late_writer(rows: DataFrame, time: str, delay: str, size: str, key: str, broker: Broker, topic: str, late: str,
+                checkpoint: str) -> DataStreamWriter:
+    """Rows as JSON to ``topic``, but those whose window of ``size`` has passed the watermark to ``late``.
+
+    The watermark of a micro-batch is the greatest time of the ones before it less ``delay``, as the
+    engine has it. Sums over ``topic`` with that delay then drop nothing: every row is in a sum
+    or in ``late``. The greatest time of each micro-batch is kept beside the checkpoint, so that a
+    micro-batch that is run again is cut at the same place.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            spark.createDataFrame(batch.agg(F.lit(batch_id).cast("long").alias("batch"), F.max(time).cast("timestamp").alias("top")).collect(),
+                                  "batch long, top timestamp").coalesce(1).write.mode("overwrite").parquet(f"{checkpoint}-times/batch-{batch_id}")
+            tops = spark.read.schema("batch long, top timestamp").option("recursiveFileLookup", "true").parquet(f"{checkpoint}-times")
+            top = tops.where(F.col("batch") < batch_id).agg(F.max("top")).first()[0]
+            passed = F.lit(False) if top is None else F.coalesce(
+                F.window(time, size)["end"] <= F.lit(top) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+            marked = batch.withColumn("_late", passed)
+            write_batch(json_value(marked.where("NOT _late").drop("_late"), key), broker, topic, batch_id)
+            write_batch(json_value(marked.where("_late").drop("_late"), key), broker, late, batch_id)
+        finally:
+            batch.unpersist()
+
+    return for_each_batch(rows, handle, checkpoint)
+
+
 def split_writer(judged: DataFrame, broker: Broker, topic: str, rejects: str, key: str, checkpoint: str) -> DataStreamWriter:
     """One pass over ``judged_records``: valid records as JSON to ``topic``, the others with their reason to ``rejects``.
 
@@ -64,9 +92,9 @@ def split_writer(judged: DataFrame, broker: Broker, topic: str, rejects: str, ke
         batch.persist()
         try:
             valid = batch.where(F.col("reason").isNull()).select("_record.*")
-            _write_batch(json_value(valid, key), broker, topic, batch_id)
+            write_batch(json_value(valid, key), broker, topic, batch_id)
             bad = batch.where(F.col("reason").isNotNull()).select(F.col("reason").alias("key"), F.col("_text").alias("value"))
-            _write_batch(bad, broker, rejects, batch_id)
+            write_batch(bad, broker, rejects, batch_id)
         finally:
             batch.unpersist()
 

@@ -1,98 +1,43 @@
-"""Tables kept up to date by a stream.
+"""Tables kept up to date by a stream, read from the stream's own state.
 
-A keyed aggregate in update mode emits the new row of each key that changed. A
-``ChangeTable`` stores those rows, one folder per micro-batch, and its current content is
-the row of the latest batch for each key. A keyed table is compacted every so many batches:
-the rows up to a batch become one row per key, the base, and the folders behind the base
-before it are deleted, so neither files nor the cost of a read grow with uptime.
+The state store of a grouped stream holds one row for each key and commits it with the
+checkpoint. Nothing is stored a second time: a table is read as of the last committed
+micro-batch by the engine's state reader, while the stream runs or after it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import StructType
-
-from ..operators.latest import latest_by_key
-
-# Stored with the rows: the micro-batch that wrote them.
-BATCH = "_batch"
-# Micro-batches between compactions.
-COMPACT_EVERY = 50
-
-
-@dataclass(frozen=True)
-class ChangeTable:
-    """A stored table of changes in ``folder``, keyed by ``keys``; without keys all rows are kept."""
-
-    folder: str
-    keys: tuple[str, ...]
-    schema: StructType
-
-    @classmethod
-    def of(cls, changes: DataFrame, folder: str, keys: Sequence[str]) -> ChangeTable:
-        """The table for the rows ``changes`` will emit."""
-        return cls(folder, tuple(keys), changes.schema)
-
-    def append(self, batch: DataFrame, batch_id: int) -> None:
-        """Store the changes of one micro-batch; storing it again replaces them."""
-        batch.write.mode("overwrite").parquet(f"{self.folder}/changes/{BATCH}={batch_id}")
-
-    def append_and_compact(self, batch: DataFrame, batch_id: int, every: int = COMPACT_EVERY) -> None:
-        self.append(batch, batch_id)
-        if self.keys and batch_id % every == every - 1:
-            self.compact(batch.sparkSession, batch_id)
-
-    def changes(self, spark: SparkSession) -> DataFrame:
-        """The base and all changes since, with the micro-batch of each row in ``_batch``."""
-        bases, since = self._batches(spark, "base"), self._batches(spark, "changes")
-        base = max(bases, default=-1)
-        fields = StructType(list(self.schema.fields)).add(BATCH, "long")
-        rows = spark.createDataFrame([], fields)
-        if bases:
-            rows = spark.read.schema(self.schema).parquet(f"{self.folder}/base/{BATCH}={base}").withColumn(BATCH, F.lit(base).cast("long"))
-        newer = [f"{self.folder}/changes/{BATCH}={n}" for n in since if n > base]
-        if not newer:
-            return rows
-        changed = spark.read.schema(fields).option("basePath", f"{self.folder}/changes").parquet(*newer)
-        return rows.unionByName(changed) if bases else changed
-
-    def current(self, spark: SparkSession) -> DataFrame:
-        """The latest row of each key."""
-        return latest_by_key(self.changes(spark), self.keys, [BATCH]).drop(BATCH)
-
-    def compact(self, spark: SparkSession, through: int) -> None:
-        """Make one row per key of the changes up to batch ``through`` the new base.
-
-        A base counts once it is complete. What the base before it has replaced is deleted,
-        so a reader that began before this compaction still finds its files.
-        """
-        before = max((n for n in self._batches(spark, "base") if n < through), default=-1)
-        merged = latest_by_key(self.changes(spark).where(F.col(BATCH) <= through), self.keys, [BATCH]).drop(BATCH)
-        merged.write.mode("overwrite").parquet(f"{self.folder}/base/{BATCH}={through}")
-        for kind in ("base", "changes"):
-            for number in self._batches(spark, kind):
-                if number < before or number == before and kind == "changes":
-                    path, files = self._files(spark, f"{kind}/{BATCH}={number}")
-                    files.delete(path, True)
-
-    def _files(self, spark: SparkSession, below: str):
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{below}")
-        return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _batches(self, spark: SparkSession, kind: str) -> list[int]:
-        """The complete micro-batches stored as ``kind``, in order."""
-        path, files = self._files(spark, kind)
-        if not files.exists(path):
-            return []
-        names = [entry.getPath() for entry in files.listStatus(path)]
-        done = [n for n in names if files.exists(spark._jvm.org.apache.hadoop.fs.Path(n, "_SUCCESS"))]
-        return sorted(int(n.getName().removeprefix(f"{BATCH}=")) for n in done)
 
-    def writer(self, changes: DataFrame, checkpoint: str, mode: str = "update", every: int = COMPACT_EVERY) -> DataStreamWriter:
-        return changes.writeStream.outputMode(mode).foreachBatch(
-            lambda batch, batch_id: self.append_and_compact(batch, batch_id, every)).option("checkpointLocation", checkpoint)
+from ..operators.keyed import KeyedTable
+
+
+def keeper(table: KeyedTable, checkpoint: str) -> DataStreamWriter:
+    """A writer that keeps the table in the checkpoint's state and publishes nothing."""
+    return table.grouped.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
+
+
+def current(table: KeyedTable, checkpoint: str, operator: int = 0) -> DataFrame:
+    """The table that a stream of it has under ``checkpoint``, whatever its sink is.
+
+    ``operator`` is the number of the stateful operator, if the stream has more than one. Groups
+    that a watermark has dropped are not in it. Before the first micro-batch it has no rows.
+    """
+    spark, kinds = table.grouped.sparkSession, table.grouped.schema
+    try:
+        state = spark.read.format("statestore").option("operatorId", str(operator)).load(checkpoint)
+    except PySparkException as error:
+        if (error.getCondition() or "") in ("STDS_COMMITTED_BATCH_UNAVAILABLE", "PATH_NOT_FOUND"):
+            return table.finish(spark.createDataFrame([], kinds))
+        raise
+    halves = [state.schema[side].dataType.fields for side in ("key", "value")]
+    if [f.dataType.simpleString() for half in halves for f in half] != [f.dataType.simpleString() for f in kinds]:
+        raise TypeError(f"the state holds {state.schema.simpleString()}, not the rows {kinds.simpleString()}")
+    # The engine names fields by function, several alike; a struct is cast field by field.
+    key, value = T.StructType(kinds.fields[:len(halves[0])]), T.StructType(kinds.fields[len(halves[0]):])
+    nullable = lambda fields: T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    return table.finish(state.select(F.col("key").cast(nullable(key)), F.col("value").cast(nullable(value))).select("key.*", "value.*"))

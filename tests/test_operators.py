@@ -101,7 +101,7 @@ def test_a_hot_key_in_tables_is_split_at_run_time(spark):
 def test_all_groups_of_a_split_are_used(spark, maker, name):
     records = maker(spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet"))
     spread, groups, keep = joins.split_for(records, 4)
-    sizes = [r["count"] for r in spread.groupBy(F.pmod(F.xxhash64(*keep), F.lit(groups))).count().collect()]
+    sizes = [r["count"] for r in spread.groupBy(F.pmod(F.xxhash64(*keep), F.lit(groups.groups))).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
 
 

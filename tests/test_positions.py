@@ -10,7 +10,7 @@ from millrace.plans import programs, transit
 from millrace.sources.topics import Broker
 from millrace.streaming.run import keep_table, run_available
 from millrace.streaming.sinks import console
-from millrace.streaming.tables import ChangeTable
+from millrace.streaming.tables import current
 from pyspark.sql import functions as F
 
 TOPICS = transit.TransitTopics("org.example.")
@@ -79,7 +79,7 @@ def test_state_matches_the_simulation(spark, seed):
 def test_state_on_a_stream(spark, tmp_path):
     log = message_log(9, 300)
     stream = stream_of(spark, frame(spark, log), tmp_path, "all", batches=4)
-    kept = keep_table(transit.board_state(stream, TOPICS), ["line", "station_id"], "board")
+    kept = keep_table(transit.board_table(stream, TOPICS), "board")
     assert state_rows(kept) == simulate(log)
 
 
@@ -134,11 +134,10 @@ def test_board_follows_its_topics(spark, tmp_path):
     everything = frame(spark, log)
     for topic in {t for t, _ in log}:
         folder_of(everything.where(F.col("topic") == topic), tmp_path, topic, 1)
-    changes = programs.board_stream(spark, Broker(folder=str(tmp_path)), TOPICS, avro=False)
-    table = ChangeTable.of(changes, f"{tmp_path}-table", programs.BOARD_KEYS)
+    table = programs.board_stream(spark, Broker(folder=str(tmp_path)), TOPICS, avro=False)
     boards = []
-    run_available(programs.board_writer(changes, table, f"{tmp_path}-ckpt", lambda board: boards.append(bag(board))))
-    assert state_rows(table.current(spark)) == simulate(log)
+    run_available(programs.board_writer(table, f"{tmp_path}-ckpt", lambda board: boards.append(bag(board))))
+    assert state_rows(current(table, f"{tmp_path}-ckpt")) == simulate(log)
     assert boards[-1] == bag(status_board(transit.board_state(everything, TOPICS)))
 
 
@@ -150,17 +149,6 @@ def test_one_pass_equals_one_frame_a_kind(spark):
     assert plan.count("REPARTITION_BY_NUM") <= 2  # once in each of the initial and current plan
 
 
-def test_a_long_run_keeps_few_files(spark, tmp_path):
-    rows = spark.createDataFrame([("blue", 1, 0), ("red", 2, 0)], "line string, station_id int, n int")
-    table = ChangeTable.of(rows, f"{tmp_path}/table", ("line", "station_id"))
-    files = []
-    for batch in range(60):
-        table.append_and_compact(rows.withColumn("n", F.lit(batch)).where(F.lit(batch) % 2 == F.col("station_id") % 2).coalesce(1), batch, 10)
-        files.append(len(table._batches(spark, "changes")) + len(table._batches(spark, "base")))
-    assert max(files) <= 23 and files[-1] <= files[29] + 1
-    assert {tuple(r) for r in table.current(spark).collect()} == {("blue", 1, 59), ("red", 2, 58)}
-
-
 def test_weather_is_on_the_live_board(spark, tmp_path):
     folder_of(frame(spark, [(TOPICS.weather, {"temperature": 12.5, "status": "sunny"})]), tmp_path, TOPICS.weather, 1)
     shown = []

@@ -9,6 +9,7 @@ from millrace.plans.ingest import ingest_increment, ingest_writer
 from millrace.plans.lines_of_text import letter_counts
 from millrace.session import shared_folder
 from millrace.sources import avro_files, files, increments, tables, topics
+from millrace.sources.growing import growing_lines
 from millrace.streaming import polling, run, sinks
 from pyspark.sql import functions as F
 
@@ -164,12 +165,14 @@ def test_a_table_is_ingested_by_name(spark, tmp_path):
     broker = topics.Broker(folder=f"{tmp_path}/topics")
     writer = ingest_writer(spark, "things", "id", broker, "connect-", f"{tmp_path}/ckpt", path=f"{tmp_path}/in", seconds=1)
     query = writer.start()
+    stored = lambda: topics.read_topic(spark, broker, "connect-things", streaming=False)
     for _ in range(150):
-        if polling.Marks(f"{tmp_path}/ckpt-marks").last(spark, "things") == 4:
+        if list((tmp_path / "topics").glob("*/*/_SUCCESS")):
             break
         time.sleep(0.2)
     query.stop()
-    assert topics.read_topic(spark, broker, "connect-things", streaming=False).count() == 5
+    assert stored().count() == 5
+    assert polling.Marks(f"{tmp_path}/ckpt-marks").last(spark, "things") == 4
 
 
 def test_bytes_are_published_as_they_are(spark, tmp_path):
@@ -191,28 +194,62 @@ def test_program_topics_can_be_replaced(spark, tmp_path):
 
 def test_polling_publishes_each_row_once(spark, tmp_path):
     broker, marks = topics.Broker(folder=str(tmp_path)), polling.Marks(f"{tmp_path}/marks")
-    rows = spark.createDataFrame([(i, f"r{i}") for i in range(6)], "id long, v string")
-
-    def poll(upto):
-        visible = rows.where(F.col("id") < upto)
-        return polling.poll_once(spark, "purchases", lambda last: increments.next_increment(visible, "id", last), "id",
-                                 broker, increments.topic_for("purchases", "connect-"), marks)
-
-    assert [poll(3), poll(3), poll(6), poll(6)] == [2, 2, 5, 5]
-    stored = topics.read_topic(spark, broker, "connect-purchases", streaming=False)
-    assert sorted(bytes(r["key"]).decode() for r in stored.collect()) == list("012345")
+    rows = spark.createDataFrame([(i, f"r{i}") for i in range(9)], "id long, v string")
+    keys = lambda: sorted(bytes(r["key"]).decode() for r in topics.read_topic(spark, broker, "connect-purchases", streaming=False).collect())
+
+    def poll(visible, batch, fail=False):
+        def read(low, high):
+            if fail and high is not None:
+                raise OSError("the table is gone")
+            return increments.next_increment(rows.where(F.col("id") < visible), "id", low, high)
+        return polling.poll_once(spark, "purchases", read, "id", broker, increments.topic_for("purchases", "connect-"), marks, batch)
+
+    assert [poll(3, 0), poll(3, 1), poll(6, 2)] == [2, 2, 5]
+    # A failure between the range and its rows: the same micro-batch has the same range when it runs again.
+    with pytest.raises(OSError):
+        poll(7, 3, fail=True)
+    assert keys() == list("012345") and marks.last(spark, "purchases") == 6
+    assert [poll(9, 3), poll(9, 4)] == [6, 8]
+    assert keys() == list("012345678")
+    # A failure after the rows: the micro-batch replaces what it wrote.
+    assert [poll(9, 4), poll(9, 2)] == [8, 5]
+    assert keys() == list("012345678")
     assert marks.last(spark, "other") is None
 
 
 def test_polling_runs_on_a_clock(spark, tmp_path):
     calls = []
-    query = polling.polling_writer(spark, lambda: calls.append(1), f"{tmp_path}/ckpt", seconds=1).start()
+    query = polling.polling_writer(spark, calls.append, f"{tmp_path}/ckpt", seconds=1).start()
     for _ in range(100):
         if len(calls) >= 2:
             break
         time.sleep(0.2)
     query.stop()
-    assert len(calls) >= 2
+    assert calls[:2] == [0, 1]
+
+
+@pytest.mark.parametrize("pattern, folders", [
+    ("^org.x.arrival.*.v3", "org?x?arrival*"), ("org\\.x", "org?x*"), ("^ab*c", "a*"), ("a|b", "*"), ("x(y|z)", "*"), ("x[yz]", "x*"), (".*", "*")])
+def test_folders_of_a_topic_pattern(pattern, folders):
+    assert topics.folder_pattern(pattern) == folders
+
+
+def test_topics_that_come_later_are_read(spark, tmp_path):
+    broker = topics.Broker(folder=f"{tmp_path}/topics")
+    write = lambda name: records(spark, [name], f"org.x.{name}").write.parquet(f"{broker.folder}/org.x.{name}")
+    write("other")
+
+    def seen():
+        stream = topics.read_topic(spark, broker, pattern="^org.x.arrival.*")
+        run.run_available(run.row_writer(stream, f"{tmp_path}/out", f"{tmp_path}/ckpt"))
+        return sorted(r["topic"] for r in spark.read.schema(S.ENVELOPE).parquet(f"{tmp_path}/out").collect())
+
+    assert seen() == []
+    write("arrival.a")
+    assert seen() == ["org.x.arrival.a"]
+    write("arrival.b")
+    write("third")
+    assert seen() == ["org.x.arrival.a", "org.x.arrival.b"]
 
 
 def test_batch_sizes_and_replay(spark, tmp_path):
@@ -227,3 +264,32 @@ def test_batch_sizes_and_replay(spark, tmp_path):
     assert sizes(first) == [2, 2, 2]
     assert sizes(first) == []
     assert sizes(run.replay_checkpoint(spark, "sizes")) == [2, 2, 2]
+
+
+@pytest.mark.parametrize("task_bytes", [7, 1 << 20])
+def test_a_growing_file_gives_each_line_once(spark, tmp_path, task_bytes):
+    folder, out = tmp_path / "logs", f"{tmp_path}/out"
+    folder.mkdir()
+
+    def grow(name, text):
+        with open(folder / name, "a", newline="") as file:
+            file.write(text)
+
+    def read():
+        lines = growing_lines(spark, str(folder), task_bytes)
+        run.run_available(run.row_writer(lines, out, f"{tmp_path}/ckpt"))
+        return sorted((r["file"].split("/")[-1], r["offset"], r["value"]) for r in spark.read.parquet(out).collect())
+
+    grow("a.log", "first\nsecond é\r\n\nunfin")
+    grow("_hidden", "no\n")
+    assert read() == [("a.log", 0, "first"), ("a.log", 6, "second é"), ("a.log", 17, "")]
+    grow("a.log", "ished\n")
+    grow("b.log", "".join(f"line {i}\n" for i in range(40)))
+    got = read()
+    assert ("a.log", 18, "unfinished") in got and len(got) == 44
+    long = "x" * (200_000 if task_bytes > 7 else 300)
+    grow("a.log", long + "\nlast\n")
+    got = read()
+    assert len(got) == 46 and got == read()
+    assert [v for f, _, v in got if f == "a.log"] == ["first", "second é", "", "unfinished", long, "last"]
+    assert len(set(got)) == len(got)

@@ -8,11 +8,12 @@ import pytest
 from helpers import bag, folder_of, records, stream_of
 from millrace import schemas as S
 from millrace.operators import joins
-from millrace.operators.latest import latest_by_key
+from millrace.operators.aggregates import windowed_sum_table
+from millrace.operators.latest import latest_table
 from millrace.plans import bank, change_feed, clicks, risk, transit, vehicles
 from millrace.sources.topics import Broker, as_topic, merge_topics, read_topic
 from millrace.streaming import run, sinks
-from millrace.streaming.tables import ChangeTable
+from millrace.streaming.tables import current, keeper
 from pyspark.sql import functions as F
 
 CLICKS = [{"email": f"u{i % 3}@t.com", "timestamp": str(i), "uri": f"/{'hot' if i % 3 else i % 4}", "number": i} for i in range(40)] + ["oops"]
@@ -69,49 +70,75 @@ def test_both_entity_readings_of_the_feed(spark):
 
 
 UPDATE = {
-    "sums": (clicks.uri_sums, ["uri"]),
-    "tumbling": (clicks.tumbling_uri_sums, ["uri", "window_start", "window_end"]),
-    "hopping": (clicks.hopping_uri_sums, ["uri", "window_start", "window_end"]),
-    "latest": (lambda r: latest_by_key(clicks.click_events(r, keep=["offset"]), ["uri"], ["offset"]), ["uri"]),
+    "sums": (clicks.uri_sums_table, clicks.uri_sums),
+    "tumbling": (clicks.tumbling_uri_sums_table, clicks.tumbling_uri_sums),
+    "hopping": (clicks.hopping_uri_sums_table, clicks.hopping_uri_sums),
+    "latest": (lambda r: latest_table(clicks.click_events(r, keep=["offset"]), ["uri"], ["offset"]), None),
 }
 
 
 @pytest.mark.parametrize("name", UPDATE)
 def test_tables_match_the_table_run(spark, tmp_path, name):
-    build, keys = UPDATE[name]
+    build, plain = UPDATE[name]
     frame = records(spark, CLICKS, "in")
-    kept = run.keep_table(build(stream_of(spark, frame, tmp_path, "in")), keys, name)
-    assert bag(kept) == bag(build(frame))
+    kept = run.keep_table(build(stream_of(spark, frame, tmp_path, "in")), name)
+    assert bag(kept) == bag(plain(frame) if plain else build(frame).rows())
 
 
 def test_every_change_of_a_sum_is_emitted(spark, tmp_path):
     frame = records(spark, [{"uri": "/a", "number": n} for n in (1, 2, 3)], "in")
-    changes = clicks.uri_sums(stream_of(spark, frame, tmp_path, "in"))
-    table = ChangeTable.of(changes, f"{tmp_path}/table", ["uri"])
-    run.run_available(table.writer(changes, f"{tmp_path}/ckpt"))
-    assert sorted(r["total"] for r in table.changes(spark).collect())[-1] == 6
-    assert table.changes(spark).count() == 3
-    assert [r["total"] for r in table.current(spark).collect()] == [6]
+    table, totals = clicks.uri_sums_table(stream_of(spark, frame, tmp_path, "in")), []
+    keep = lambda batch, _: totals.extend(r["total"] for r in batch.collect())
+    run.run_available(sinks.for_each_batch(table.rows(), keep, f"{tmp_path}/ckpt", "update"))
+    assert len(totals) == 3 and totals[-1] == 6
+    # The table is in the state, whatever the sink was.
+    assert [r["total"] for r in current(table, f"{tmp_path}/ckpt").collect()] == [6]
 
 
 def test_restart_continues_from_the_checkpoint(spark, tmp_path):
     frame = records(spark, CLICKS, "in")
     broker = folder_of(frame.where("offset < 20"), tmp_path, "in")
-    changes = clicks.uri_sums(read_topic(spark, broker, "in"))
-    table = ChangeTable.of(changes, f"{tmp_path}/table", ["uri"])
-    run.run_available(table.writer(changes, f"{tmp_path}/ckpt"))
+    table = clicks.uri_sums_table(read_topic(spark, broker, "in"))
+    assert current(table, f"{tmp_path}/ckpt").count() == 0
+    run.run_available(keeper(table, f"{tmp_path}/ckpt"))
+    assert bag(current(table, f"{tmp_path}/ckpt")) == bag(clicks.uri_sums(frame.where("offset < 20")))
     frame.where("offset >= 20").write.parquet(f"{tmp_path}/in/late")
-    run.run_available(table.writer(clicks.uri_sums(read_topic(spark, broker, "in")), f"{tmp_path}/ckpt"))
-    want = bag(clicks.uri_sums(frame))
-    assert bag(table.current(spark)) == want
-    # A micro-batch that is stored again changes nothing.
-    last = table.changes(spark).agg(F.max("_batch")).first()[0]
-    again = table.changes(spark).where(F.col("_batch") == last).drop("_batch")
-    table.append(spark.createDataFrame(again.collect(), again.schema), last)
-    assert bag(table.current(spark)) == want
-    table.compact(spark, last)
-    assert bag(table.current(spark)) == want
-    assert table.changes(spark).count() == sum(want.values())
+    run.run_available(keeper(clicks.uri_sums_table(read_topic(spark, broker, "in")), f"{tmp_path}/ckpt"))
+    assert bag(current(table, f"{tmp_path}/ckpt")) == bag(clicks.uri_sums(frame))
+
+
+def test_tables_need_no_success_files(spark, tmp_path):
+    frame = records(spark, CLICKS, "in")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        stream = stream_of(spark, frame, tmp_path, "in")
+        assert bag(run.keep_table(clicks.uri_sums_table(stream), "sums")) == bag(clicks.uri_sums(frame))
+        assert bag(run.keep_rows(clicks.click_events(stream), "rows")) == bag(clicks.click_events(frame))
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_a_state_of_other_rows_is_refused(spark, tmp_path):
+    frame = records(spark, CLICKS, "in")
+    table = clicks.uri_sums_table(stream_of(spark, frame, tmp_path, "in"))
+    run.run_available(keeper(table, f"{tmp_path}/ckpt"))
+    with pytest.raises(TypeError):
+        current(clicks.tumbling_uri_sums_table(frame), f"{tmp_path}/ckpt")
+
+
+def test_hopping_sums_behind_a_watermark_keep_a_fifth_of_the_state(spark, tmp_path):
+    rows = [{"uri": f"/{i % 40}", "number": i} for i in range(400)] + [{"uri": "/end", "number": 0}]
+    frame = records(spark, rows, "in", times=[(i * 370) % 30_000 for i in range(400)] + [90_000])
+    plain = run.run_available(sinks.for_each_batch(clicks.hopping_uri_sums(stream_of(spark, frame, tmp_path / "a", "in", 1)), lambda b, _: b.count(),
+                                                   f"{tmp_path}/plain", "update"))
+    panes = run.run_available(keeper(clicks.hopping_uri_sums_table(stream_of(spark, frame, tmp_path / "b", "in", 1)), f"{tmp_path}/panes"))
+    assert 5 * run.state_rows(panes)[0] <= run.state_rows(plain)[0]
+    chained = clicks.hopping_uri_sums(stream_of(spark, frame, tmp_path / "c", "in", 1), watermark="1 minute")
+    closed = run.keep_rows(chained, "closed")
+    want = clicks.hopping_uri_sums(frame)
+    assert bag(closed) == bag(want.where("uri <> '/end'"))
+    assert bag(current(clicks.hopping_uri_sums_table(frame), f"{tmp_path}/panes")) == bag(want)
 
 
 def test_watermark_drops_only_what_is_late(spark, tmp_path):
@@ -122,24 +149,22 @@ def test_watermark_drops_only_what_is_late(spark, tmp_path):
         frame.where(f"offset = {i}").coalesce(1).write.parquet(f"{tmp_path}/in/p{i}")
     broker = Broker(folder=str(tmp_path))
     source = lambda: read_topic(spark, broker, "in", max_files=1)
-    bounded = clicks.tumbling_uri_sums(source(), watermark="1 minute")
-    keys = ["uri", "window_start", "window_end"]
+    bounded, windows = clicks.tumbling_uri_sums_table(source(), watermark="1 minute"), run.ClosingWindows(spark, "bounded")
     totals = lambda df: sorted(r["total"] for r in df.collect())
-    assert totals(run.keep_table(clicks.tumbling_uri_sums(source()), keys, "open")) == [1, 2, 2]
-    assert totals(run.keep_table(bounded, keys, "bounded")) == [1, 1, 2]
+    assert totals(run.keep_table(clicks.tumbling_uri_sums_table(source()), "open")) == [1, 2, 2]
+    windows.run(bounded)
+    assert totals(windows.rows(bounded)) == [1, 1, 2]
 
 
 @pytest.mark.parametrize("files", [1, 4, 16])
 def test_bounded_sums_in_time_order_lose_nothing(spark, tmp_path, files):
     frame = records(spark, [{"uri": f"/{i % 3}", "number": i} for i in range(64)], "in", times=[40 * i for i in range(64)])
-    changes = table = None
-    late = 0
+    windows, late = run.ClosingWindows(spark, "in-order"), 0
     for i in range(files):
         frame.where(f"offset DIV {64 // files} = {i}").coalesce(1).write.parquet(f"{tmp_path}/in/p{i}")
-        changes = clicks.tumbling_uri_sums(read_topic(spark, Broker(folder=str(tmp_path)), "in"), watermark="1 minute")
-        table = table or ChangeTable.of(changes, f"{tmp_path}/table", ["uri", "window_start", "window_end"])
-        late += run.late_rows(run.run_available(table.writer(changes, f"{tmp_path}/ckpt")))
-    assert bag(table.current(spark)) == bag(clicks.tumbling_uri_sums(frame)) and late == 0
+        table = clicks.tumbling_uri_sums_table(read_topic(spark, Broker(folder=str(tmp_path)), "in"), watermark="1 minute")
+        late += run.late_rows(windows.run(table))
+    assert bag(windows.rows(table)) == bag(clicks.tumbling_uri_sums(frame)) and late == 0
 
 
 def test_late_rows_are_counted(spark, tmp_path):
@@ -147,11 +172,50 @@ def test_late_rows_are_counted(spark, tmp_path):
     late = 0
     for i in range(3):
         frame.where(f"offset = {i}").coalesce(1).write.parquet(f"{tmp_path}/in/p{i}")
-        changes = clicks.tumbling_uri_sums(read_topic(spark, Broker(folder=str(tmp_path)), "in"), watermark="1 minute")
-        late += run.late_rows(run.run_available(ChangeTable.of(changes, f"{tmp_path}/t", ["uri"]).writer(changes, f"{tmp_path}/ckpt")))
+        table = clicks.tumbling_uri_sums_table(read_topic(spark, Broker(folder=str(tmp_path)), "in"), watermark="1 minute")
+        late += run.late_rows(run.run_available(keeper(table, f"{tmp_path}/ckpt")))
     assert late == 1
 
 
+def test_sums_and_late_rows_are_all_rows(spark, tmp_path):
+    from millrace.functions.decode import flatten_json
+
+    times = [0, 600, 601, 5, 700, 650, 595, 3]
+    frame = records(spark, [{"uri": f"/{i}", "number": 2 ** i} for i in range(8)], "in", times=times)
+    for i in range(8):
+        frame.where(f"offset = {i}").coalesce(1).write.parquet(f"{tmp_path}/in/p{i}")
+    broker = Broker(folder=str(tmp_path))
+    rows = clicks.timed_clicks(read_topic(spark, broker, "in", max_files=1))
+    for _ in range(2):  # a second run finds nothing new
+        run.run_available(sinks.late_writer(rows, "_time", "1 minute", "10 seconds", "uri", broker, "in-time", "late", f"{tmp_path}/ckpt"))
+    layout = S.record(uri=S.STRING, number=S.LONG, _time=S.STRING)
+    read = lambda topic, **how: flatten_json(read_topic(spark, broker, topic, **how), layout)
+    late = {r["number"] for r in read("late", streaming=False).collect()}
+    assert late == {8, 64, 128} - ({64} if 595 // 10 * 10 + 10 > 700 - 60 else set())
+    in_time = read("in-time", max_files=1).withColumn("_time", F.to_timestamp("_time"))
+    table = windowed_sum_table(in_time, "_time", "uri", "number", "10 seconds", watermark="1 minute")
+    windows = run.ClosingWindows(spark, "in-time")
+    assert run.late_rows(windows.run(table)) == 0
+    assert {r["total"] for r in windows.rows(table).collect()} | late == {2 ** i for i in range(8)}
+
+
+def test_only_hot_keys_are_copied(spark, tmp_path):
+    deposits = [{"accountNumber": "7" if i % 3 == 0 else str(100 + i), "amount": 900.0, "dateAndTime": "d"} for i in range(60)]
+    customers = [{"customerName": f"C{a}", "accountNumber": str(a)} for a in (7, *range(100, 160))]
+    left, right = records(spark, deposits, "l"), records(spark, customers, "r")
+    split = run.kept_split(spark, f"{tmp_path}/ckpt", lambda: joins.measured_split(spark.createDataFrame(deposits), "accountNumber"))
+    assert split == joins.Split(4, ("7",))
+    assert run.kept_split(spark, f"{tmp_path}/ckpt", lambda: None) == split
+    stored = {}
+    for name, how in (("none", None), ("hot", split), ("all", 4)):
+        joined = bank.large_deposits(stream_of(spark, left, tmp_path / name, "l"), stream_of(spark, right, tmp_path / name, "r"), split=how)
+        query = run.run_available(run.row_writer(joined, f"{tmp_path}/{name}-out", f"{tmp_path}/{name}-ckpt"))
+        assert bag(spark.read.parquet(f"{tmp_path}/{name}-out")) == bag(bank.large_deposits(left, right))
+        stored[name] = run.state_rows(query)[0]
+    # Both sides once; the right row of the hot key three times more; every right row three times more.
+    assert stored == {"none": 121, "hot": 124, "all": 304}
+
+
 def test_bounded_join_on_streams(spark, tmp_path):
     left = records(spark, [{"uri": "/a", "number": i} for i in range(3)], "l", times=[0, 100, 1000])
     right = records(spark, [{"uri": "/a", "number": i} for i in range(3)], "r", times=[50, 130, 5000])
