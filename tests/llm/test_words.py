@@ -36,4 +36,4 @@ def test_a_very_long_text_needs_a_few_times_its_bytes():
     peak = tracemalloc.get_traced_memory()[1]
     left = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
-    assert peak < 12 * len(text) and left < 1 << 20
+    assert peak < 15 * len(text) and left < 1 << 20
