@@ -20,6 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of the frame has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The frame written below ``spark.checkpoint.dir``, which all executors share, and read
     back: later uses neither recompute it nor depend on the executors that made it."""

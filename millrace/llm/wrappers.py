@@ -33,14 +33,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.frames import saved, table, with_columns
+from millrace.llm.frames import saved, table, unused, with_columns
 
 #: Shapes of a host that one task aligns, about; rounds and tasks grow until all are accepted.
 SHAPES = 400
 #: Share of common symbols from which two shapes are taken for one template.
 ALIKE = 0.5
-#: Elements of a wrapper, or of a shape, beyond which it is aligned with nothing more.
-LONGEST_WRAPPER = 600
+#: Elements of a shape from which long runs of siblings are written as one group, and so many siblings
+#: are a long run; elements of a wrapper from which the same is done with all that it is made of.
+LONG_SHAPE, LONG_RUN, LONG_WRAPPER = 200, 24, 600
+#: Elements aligned with each other in one go.
+ALIGNED = 400
 #: Hosts whose wrappers are broadcast at once; more of them are joined by a shuffle.
 BROADCAST_ROWS = 20_000
 #: Places and text counted in a task before they are passed on.
@@ -64,6 +67,8 @@ MARKED = set("ad ads advert adverts advertisement advertising adsense banner spo
              "share sharing social cookie cookies consent gdpr notice notices notification notifications alert popup modal overlay "
              "newsletter subscribe subscription signup login search form copyright pagination pager toolbar complementary contentinfo "
              "dialog".split())
+#: Whole class names that tell adverts, notices, sidebars and comments inside the article too.
+STRICT = set("ad ads advert adverts advertisement sponsored notice cookie-notice sidebar comment comments reader-comments".split())
 COMMENTS = set("comment comments reply replies respond response responses disqus discussion".split())
 WHOLE = {"html", "body", "main", "article"}
 #: Elements whose texts are content even where they recur.
@@ -95,12 +100,20 @@ def tokens_of(page: str) -> list[tuple[str, str, str]]:
     return out
 
 
-def left_out(name: str, marks: str) -> bool:
-    """Whether an element is marked as something else than main text."""
+def standing(name: str, marks: str, inside: bool) -> str:
+    """What an element's kind and marks say of it: "kind" (no main text), "word" (probably none) or "".
+
+    Inside the article only the kind and whole class names decide; a word in a name says there that
+    an equal text on all pages is the template's.
+    """
+    if name in NOT_MAIN:
+        return "kind"
     words = {w.lower() for w in _WORD.findall(marks)} if marks else set()
     if name in WHOLE:
-        return bool(words & COMMENTS) and name == "article"
-    return name in NOT_MAIN or bool(words & (MARKED | COMMENTS))
+        return "kind" if name == "article" and words & COMMENTS else ""
+    if inside and not STRICT.isdisjoint(marks.lower().split()):
+        return "kind"
+    return "word" if words & (MARKED | COMMENTS) else ""
 
 
 def symbol(kind: str, name: str, detail: str) -> str:
@@ -120,32 +133,50 @@ class Page:
 
     def __init__(self, page: str):
         self.symbols: list[str] = []
-        self.texts: list[tuple[str, str, int, bool, int]] = []
-        stack: list[tuple[str, bool, str]] = [("", False, "")]
-        block = 0
+        texts: list[tuple[str, str, int, bool, int, tuple[int, ...]]] = []
+        # Name, out by kind, path, and the elements around it that a word marks.
+        stack: list[tuple[str, bool, str, tuple[int, ...]]] = [("", False, "", ())]
+        block = marked = 0
         for kind, name, detail in tokens_of(page):
+            _, out, path, marks = stack[-1]
             if kind == "text":
                 at = -1
                 if detail and not detail.isspace():
                     at = len(self.symbols)
                     self.symbols.append("#")
-                self.texts.append((detail, stack[-1][2], block, stack[-1][1], at))
+                texts.append((detail, path, block, out, at, marks))
                 continue
             if name not in INLINE:
                 block += 1
             self.symbols.append(symbol(kind, name, detail))
             if kind == "open":
                 if name == "br":
-                    self.texts.append((" ", stack[-1][2], block, stack[-1][1], -1))
+                    texts.append((" ", path, block, out, -1, marks))
                 if name in VOID:
                     continue
                 while stack[-1][0] in CLOSED_BY.get(name, ()):
                     stack.pop()
                 if name not in INLINE and any(s[0] == "p" for s in stack[-4:]):
                     self._pop(stack, "p")
-                stack.append((name, stack[-1][1] or left_out(name, detail), f"{stack[-1][2]}/{name}"))
+                _, out, path, marks = stack[-1]
+                inside = _inside(path)
+                says = standing(name, detail, inside)
+                if says == "word" and not inside:
+                    marked += 1
+                    marks = (*marks, marked)
+                # Inside the article a marked element shows in the path.
+                path = f"{path}/{name}~" if says == "word" and inside else f"{path}/{name}"
+                stack.append((name, out or says == "kind", path, marks))
             elif any(s[0] == name for s in stack[1:]):
                 self._pop(stack, name)
+        # What holds most of a page's text is not beside the main text, whatever its name says.
+        mass: Counter = Counter()
+        for text, _, _, out, _, marks in texts:
+            if not out:
+                for mark in ("all", *marks):
+                    mass[mark] += len(text.strip())
+        beside = {m for m in range(1, marked + 1) if 2 * mass[m] <= mass["all"]}
+        self.texts = [(text, path, block, out or not beside.isdisjoint(marks), at) for text, path, block, out, at, marks in texts]
 
     @staticmethod
     def _pop(stack: list, name: str) -> None:
@@ -194,14 +225,14 @@ def region_of(texts: list[tuple[str, int]]) -> str | None:
     return max((p for p, n in inside.items() if n >= 0.6 * most), key=lambda p: (p.count("/"), p), default=None)
 
 
+def _inside(path: str) -> bool:
+    """Whether an element at this path is in an article or main element."""
+    return "/article" in path and "article" in path.split("/") or "/main" in path and "main" in path.split("/")
+
+
 def droppable(path: str) -> bool:
-    """Whether a constant at this path may be the template's own."""
-    if _CONTENT.search(path):
-        return False
-    parts = path.split("/")
-    if "article" not in parts and "main" not in parts:
-        return True
-    return next((x for x in reversed(parts) if x not in INLINE), "") == "div"
+    """Whether a constant at this path may be the template's own: inside the article only under a marked element."""
+    return "~" in path if _inside(path) else not _CONTENT.search(path)
 
 
 def fold(symbols: list) -> list:
@@ -244,6 +275,51 @@ def met(symbols: list, groups: set) -> list:
     return symbols
 
 
+def shape_of(symbols: list[str]) -> list:
+    """The folded symbols of a page; of a long page long runs of siblings are one group."""
+    folded = fold(symbols)
+    return folded if len(folded) <= LONG_SHAPE else loosened(folded)
+
+
+def loosened(elements: list, run: int = LONG_RUN) -> list:
+    """Runs of more than ``run`` siblings become ("*", members): a repeated group whose members are
+    all optional, so that it accepts the different members in any number and order."""
+    frames: list[tuple[str | None, list]] = [(None, [])]
+
+    def name(element: str) -> str:
+        return element.strip("</>").split(" ", 1)[0]
+
+    def up() -> None:  # an element without an end: its children are its siblings
+        opened, children = frames.pop()
+        frames[-1][1].extend([(opened,), *children])
+
+    for element in elements:
+        if isinstance(element, str) and element.startswith("</"):
+            if any(f[0] is not None and name(f[0]) == name(element) for f in frames):
+                while name(frames[-1][0]) != name(element):
+                    up()
+                opened, children = frames.pop()
+                frames[-1][1].append((opened, *_written(children, run), element))
+            else:
+                frames[-1][1].append((element,))
+        elif isinstance(element, str) and element.startswith("<") and name(element) not in VOID:
+            frames.append((element, []))
+        else:
+            frames[-1][1].append((element,))
+    while len(frames) > 1:
+        up()
+    return list(_written(frames[0][1], run))
+
+
+def _written(children: list[tuple], run: int) -> tuple:
+    if len(children) <= run:
+        return tuple(e for child in children for e in child)
+    members: set[tuple] = set()
+    for child in children:
+        members |= set(child[0][1]) if child[0][0] == "*" else {child}
+    return (("*", tuple(sorted(members, key=str))),)
+
+
 class Wrapper:
     """``elements`` are (symbol or repeated group, 0 or the number of its optional group)."""
 
@@ -264,21 +340,29 @@ class Wrapper:
             own = [(e, kinds.get(e, 0)) for e in flat]
         fresh = max((g for _, g in own), default=0)
         out: list[tuple] = []
-        for kind, a, b, c, d in SequenceMatcher(None, [e for e, _ in own], page, autojunk=False).get_opcodes():
-            if kind == "equal":
-                out += own[a:b]
-                continue
-            for part in (own[a:b], [(e, 0) for e in page[c:d]]):
-                fresh += 1
-                out += [(e, g or fresh) for e, g in part]
+        for low in range(0, max(len(own), len(page)), ALIGNED):
+            mine, other = own[low:low + ALIGNED], page[low:low + ALIGNED]
+            for kind, a, b, c, d in SequenceMatcher(None, [_face(e) for e, _ in mine], list(map(_face, other)), autojunk=False).get_opcodes():
+                if kind == "equal":
+                    out += [(_joined(e, x), g) for (e, g), x in zip(mine[a:b], other[c:d], strict=True)]
+                    continue
+                for part in (mine[a:b], [(e, 0) for e in other[c:d]]):
+                    fresh += 1
+                    out += [(e, g or fresh) for e, g in part]
         return Wrapper(out)
 
+    def loosened(self) -> Wrapper:
+        """A shorter wrapper that accepts all that this one accepts, if its long runs are of siblings."""
+        return Wrapper([(e, 0) for e in loosened([e for e, _ in self.elements], 2)])
+
     def pattern(self, codes: dict[str, str]) -> str:
         """The regular expression over one character a symbol."""
 
         def one(element) -> str:
             if element[0] == "+":
                 return "(?:" + "".join(map(one, element[1])) + ")++"
+            if element[0] == "*":
+                return "(?:" + "".join("(?:" + "".join(map(one, m)) + ")?" for m in element[1]) + ")*"
             return re.escape(codes.setdefault(element, chr(0xE000 + len(codes))))
 
         out, open_ = "", 0
@@ -291,6 +375,16 @@ class Wrapper:
         return out
 
 
+def _face(element):
+    """What an element shows in an alignment: groups of optional members are alike."""
+    return "*" if element[0] == "*" else element
+
+
+def _joined(mine, other):
+    """A group with the optional members of both."""
+    return ("*", tuple(sorted({*mine[1], *other[1]}, key=str))) if mine[0] == "*" else mine
+
+
 class Places:
     """A wrapper as an automaton whose states are its symbols' places (Glushkov's)."""
 
@@ -321,6 +415,12 @@ class Places:
             for p in last:
                 self.follow[p] += first
             return first, last, empty
+        if element[0] == "*":
+            parts = [self._sequence([self._one(e) for e in member]) for member in element[1]]
+            first, last = [p for f, _, _ in parts for p in f], [p for _, l, _ in parts for p in l]
+            for p in last:
+                self.follow[p] += first
+            return first, last, True
         self.symbols.append(element)
         self.follow.append([])
         return [len(self.symbols) - 1], [len(self.symbols) - 1], False
@@ -397,11 +497,13 @@ def settled(tallied: list[tuple]) -> tuple[str | None, set[tuple[int, object]]]:
 
 def spelled(shape: list) -> list[str]:
     """Symbols of a page with this folded shape: every repeated group three times."""
-    return [s for e in shape for s in (spelled(e[1]) * 3 if e[0] == "+" else [e])]
+    return [s for e in shape for s in (spelled(e[1]) * 3 if e[0] == "+" else [s for m in e[1] for s in spelled(m)] * 2 if e[0] == "*" else [e])]
 
 
 def tuples(element):
-    return element if isinstance(element, str) else ("+", tuple(map(tuples, element[1])))
+    if isinstance(element, str):
+        return element
+    return (element[0], tuple(map(tuples, element[1])) if element[0] == "+" else tuple(tuple(map(tuples, m)) for m in element[1]))
 
 
 def wrapped(shapes: list[list]) -> list[list[tuple]]:
@@ -412,10 +514,12 @@ def wrapped(shapes: list[list]) -> list[list[tuple]]:
         made = Wrapper([(e, 0) for e in first])
         places = Places(made.elements)
         for shape, symbols, page in left[1:]:
-            if len(look & symbols) < ALIKE * len(look | symbols) or len(shape) > LONGEST_WRAPPER or places.read(page) is not None:
+            if len(look & symbols) < ALIKE * len(look | symbols) or places.read(page) is not None:
                 continue
             wider = made.aligned(shape)
-            if len(wider.elements) <= LONGEST_WRAPPER and (then := Places(wider.elements)).read(page) is not None:
+            if len(wider.elements) > LONG_WRAPPER:
+                wider = wider.loosened()
+            if (then := Places(wider.elements)).read(page) is not None:
                 made, places = wider, then
         rejected = [x for x in left[1:] if places.read(x[2]) is None]
         if places.read(left[0][2]) is None:  # a repeated group met otherwise: the shape alone
@@ -428,9 +532,9 @@ def wrapped(shapes: list[list]) -> list[list[tuple]]:
 def infer(pages: list[str]) -> dict:
     """One wrapper of these pages, with its region and the template's own texts."""
     read = [Page(p) for p in dict.fromkeys(pages)]
-    wrapper = Wrapper([(e, 0) for e in fold(read[0].symbols)])
+    wrapper = Wrapper([(e, 0) for e in shape_of(read[0].symbols)])
     for page in read[1:]:
-        wrapper = wrapper.aligned(page.symbols)
+        wrapper = wrapper.aligned(shape_of(page.symbols))
     codes: dict[str, str] = {}
     pattern = wrapper.pattern(codes)
     reader, tally = Places(wrapper.elements), Tally()
@@ -507,7 +611,7 @@ def shapes_of(pages: DataFrame) -> DataFrame:
                 if symbols not in folded:
                     if len(folded) > 1000:
                         folded.clear()
-                    folded[symbols] = json.dumps(fold(list(symbols)))
+                    folded[symbols] = json.dumps(shape_of(list(symbols)))
                 key = (host, folded[symbols])
                 size += 0 if key in found else len(key[1])
                 found[key] += 1
@@ -627,15 +731,16 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     few = wrappers.count() <= BROADCAST_ROWS
     near = lambda df: F.broadcast(df) if few else df
     counts = tallied(keyed.join(near(wrappers), "host"))
-    made = saved(wrappers.join(counts, "host", "left"), "tallied").withColumnsRenamed({"host": "__host", "wrappers": "__wrappers", "known": "__known"})
-    joined = pages.join(near(made), host == F.col("__host"), "left")
+    names = unused(pages, "host", "wrappers", "known")
+    made = saved(wrappers.join(counts, "host", "left"), "tallied").toDF(*names)
+    joined = pages.join(near(made), host == F.col(names[0]), "left")
 
     def make():
         get = _extractors()
 
         def extract(batch: pa.RecordBatch) -> list[pa.Array]:
             texts, matched = [], []
-            hosts, wrappers, settled_ = (batch.column(c) for c in ("__host", "__wrappers", "__known"))
+            hosts, wrappers, settled_ = (batch.column(c) for c in names)
             known: dict[str | None, Extractor] = {}
             for i, (page, name) in enumerate(zip(batch.column("html").to_pylist(), hosts.to_pylist(), strict=True)):
                 if name not in known:
@@ -647,7 +752,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
         return extract
 
-    return with_columns(joined, "html", EXTRACTED, make, drop=("__host", "__wrappers", "__known"))
+    return with_columns(joined, "html", EXTRACTED, make, drop=tuple(names))
 
 
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

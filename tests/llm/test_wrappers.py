@@ -2,7 +2,7 @@ import html
 import random
 import re
 
-from millrace.llm.wrappers import Page, Wrapper, extract_main_text, fold, infer, op5_main_text
+from millrace.llm.wrappers import Page, Places, Wrapper, extract_main_text, fold, infer, loosened, op5_main_text, wrappers_of
 
 
 def accepts(pages):
@@ -41,7 +41,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{{}}</style
  {0} &eacute;&#33; a&nbsp;b<p>Two<br>lines<div class="share-buttons">Share</div><ul><li>x<li>y</ul><table><tr><td>c1<td>c2</table>
 <noscript>no</noscript><div>Same on all pages</div></article>
 <section class="comments"><article class="comment"><p>First!</p></article></section><footer>&copy; me</footer></body></html>"""
-WANT = "{0}\nOne bold {0} é! a b\nTwo lines\nx\ny\nc1\nc2"
+WANT = "{0}\nOne bold {0} é! a b\nTwo lines\nx\ny\nc1\nc2\nSame on all pages"
 
 
 def test_what_is_left_out(spark):
@@ -121,3 +121,48 @@ def test_copies_and_headings_are_not_the_templates(spark):
             "<section>Summary</section>bare</article></body>")
     got = texts_by_id(spark, [page.format(i) for i in range(8)])
     assert got[3] == "Title 3\nSize\n3\nTerm\nSame\nPhoto\nSummary\nbare"
+
+
+def test_constants_and_marked_names_inside_the_article_stay(spark):
+    page = ("<body><nav>m</nav><article><div class=post-header><h1>Dish {0}</h1></div><div>Ingredients</div><p>flour {0}</p><div>Method</div><p>stir {0} times</p>"
+            "<p class=response-text>Answer {0}</p><div class='related-work'>Chapter {0}</div><div class=ad>Buy {0}</div><div class='share-buttons'>Share</div>"
+            "<div class=comments><p>First {0}</p></div></article></body>")
+    got = texts_by_id(spark, [page.format(i) for i in range(8)])
+    for i, text in got.items():
+        assert text == f"Dish {i}\nIngredients\nflour {i}\nMethod\nstir {i} times\nAnswer {i}\nChapter {i}"
+
+
+def test_a_marked_name_does_not_hide_most_of_a_page(spark):
+    page = "<body><div class=menu>Menu</div><div>x</div><div id=search-results-study><p>a long study of things, number {0}</p><div class=ad>buy {0}</div></div></body>"
+    got = texts_by_id(spark, [page.format(i) for i in range(6)])
+    assert all(f"a long study of things, number {i}" in got[i] and "Menu" not in got[i] and "buy" not in got[i] for i in got)
+
+
+def test_long_pages_of_a_template_have_few_wrappers(spark):
+    pick = random.Random(8)
+    blocks = ["<p>{0}</p>", "<h2>{0}</h2>", "<ul><li>{0}</li><li>{0}</li></ul>", "<p>{0} <b>{0}</b></p>", "<pre>{0}</pre>", "<blockquote><p>{0}</p></blockquote>"]
+    pages, want = [], []
+    for i in range(120):
+        body = [pick.choice(blocks) for _ in range(pick.choice((5, 100, 400)))]
+        pages.append("<html><body><nav><a>m</a></nav><article>" + "".join(b.format(f"w{i}") for b in body) + "</article><footer>f</footer></body></html>")
+        want.append("\n".join("\n".join([f"w{i}"] * 2) if "<ul>" in b else f"w{i} w{i}" if "<b>" in b else f"w{i}" for b in body))
+    frame = spark.createDataFrame([("h", p) for p in pages], "host string, html string")
+    made = wrappers_of(frame).first()["wrappers"]
+    assert len(made) <= 4 and max(map(len, made)) < 20_000
+    assert [t for _, t in sorted(texts_by_id(spark, pages).items())] == want
+
+
+def test_helper_names_may_be_taken(spark):
+    frame = spark.createDataFrame([(1, "http://a.example/", "<article><p>x</p></article>", "h", "w", "k", "m")],
+                                  "page_id long, url string, html string, host string, wrappers string, known string, host_ string")
+    row = extract_main_text(frame).first()
+    assert (row["text"], row["host"], row["wrappers"], row["known"], row["host_"]) == ("x", "h", "w", "k", "m")
+
+
+def test_loosened_runs_accept_any_order():
+    shape = loosened(["<article>", *["<p>", "#", "</p>", "<hr>", "<h2>", "#", "</h2>"] * 3, "</article>", "</div>"], 4)
+    assert shape[0] == "<article>" and shape[1][0] == "*" and shape[2:] == ["</article>", "</div>"]
+    reader = Places([(e, 0) for e in shape])
+    assert reader.read(["<article>", "<h2>", "#", "</h2>", "<hr>", "<hr>", "<p>", "#", "</p>", "</article>", "</div>"]) is not None
+    assert reader.read(["<article>", "</article>", "</div>"]) is not None
+    assert reader.read(["<article>", "<p>", "</p>", "</article>", "</div>"]) is None
