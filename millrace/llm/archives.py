@@ -91,9 +91,12 @@ def archive_records(pages: DataFrame, least: int = LEAST_REVISIT, date: str = "2
     return rows.select(F.concat(F.concat_ws("\r\n", *fields), F.lit(END), F.when(revisit, "").otherwise(F.col("html"))).alias("value"))
 
 
-def write_archives(records: DataFrame, folder: str) -> None:
-    """Writes records as uncompressed archives, one file for each partition."""
-    records.write.option("lineSep", END).text(folder)
+def write_archives(records: DataFrame, folder: str, compression: str = "gzip") -> None:
+    """Writes records as archives, one file for each partition.
+
+    A compressed archive is read by one task, as a stream; with ``none`` it is read in blocks.
+    """
+    records.write.option("lineSep", END).option("compression", compression).text(folder)
 
 
 class _Block:
@@ -253,7 +256,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     record is one row, so its payload has to fit in a task; no folder of records gives no
     rows. Payloads are shuffled only if the caller uses them.
     """
-    scan = saved(scanned(spark, folder), "pieces")
+    scan = saved(scanned(spark, folder), "pieces", "zstd")
     by_file = Window.partitionBy("file").orderBy("block")
     sums = scan.where("total IS NOT NULL").select("file", "block", "total", "lead", "lead_done")
     blocks = saved(sums.withColumns({

@@ -32,11 +32,11 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The frame written below ``spark.checkpoint.dir``, which all executors share, and read
     back: later uses neither recompute it nor depend on the executors that made it."""
     path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -84,14 +84,15 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-def test_round_trip_equals_brute_force(spark, tmp_path):
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_round_trip_equals_brute_force(spark, tmp_path, compression):
     html = ["<p>é</p>\r\n\r\n", "", None, "same", "same", "WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n", "same", "x" * 400_000, "퟿ \U0001f600\x00 nul", "tail\r\n"]
     rows = [(i, f"http://h/{i}", t) for i, t in enumerate(html)]
     rows += [(20, "http://h/a b\r\nWARC-Type: fake\r\n\r\n", "u"), (21, None, "same"), (21, None, "same"), (3, "x", "same"), (None, "y", "same"), (-7, "z", ""), (None, None, None)]
     rows += [(1000 + i, "copy", "a page that many others repeat") for i in range(300)]
     pages = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, identity string, size int")
     folder = str(tmp_path / "w")
-    write_archives(archive_records(pages), folder)
+    write_archives(archive_records(pages), folder, compression)
     got = described(read_archives(spark, folder)).collect()
     assert sorted((tuple(r[c] for c in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")) for r in got), key=str) == brute(rows)
 
