@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.frames import saved, slices, table, texts_of, with_columns
+from millrace.llm.frames import saved, slices, table, texts_of, unused, with_columns
 from millrace.llm.words import mix
 
 #: Code points of the shortest key that counts.
@@ -180,6 +180,7 @@ def drop_repeated_lines(documents: DataFrame) -> DataFrame:
     and gives the empty text; a row with a null id neither counts nor loses lines. Other
     columns stay, ``n_lines`` and ``n_dropped`` are replaced. An empty table gives no rows.
     """
+    owner, hashes = unused(documents, "__doc", "__lost")
     lines = saved(line_hashes(documents), "lines")
     stats = saved(lines.groupBy("hash", "fingerprint").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")), "line-stats")
@@ -192,9 +193,9 @@ def drop_repeated_lines(documents: DataFrame) -> DataFrame:
     lost = (cold.withColumn("shard", _shard_of(shards)).groupBy("shard")
             .cogroup(line_index(stats, shards).groupBy("shard"))
             .applyInPandas(_probe_or_nothing, "doc_id long, hash long")
-            .groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("hash").alias("__lost")))
-    joined = documents.join(lost, documents["doc_id"] == lost["__doc"], "left").drop("__doc")
-    return with_columns(joined, "text", KEPT, _keeper(hot_lines), drop=("__lost",)).select(
+            .groupBy(F.col("doc_id").alias(owner)).agg(F.collect_list("hash").alias(hashes)))
+    joined = documents.join(lost, documents["doc_id"] == lost[owner], "left").drop(owner)
+    return with_columns(joined, "text", KEPT, _keeper(hot_lines, hashes), drop=(hashes,)).select(
         *[c for c in documents.columns if c.lower() not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
 
 
@@ -202,13 +203,13 @@ def _probe_or_nothing(probes: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame
     return _probe_shard(probes, index) if len(probes) else pd.DataFrame({"doc_id": pd.Series(dtype="int64"), "hash": pd.Series(dtype="int64")})
 
 
-def _keeper(hot_lines):
+def _keeper(hot_lines, hashes: str):
     def make():
         hot = hot_lines.value
 
         def keep(batch: pa.RecordBatch) -> list[pa.Array]:
             texts, totals, drops = [], [], []
-            for doc, text, lost in zip(batch.column("doc_id").to_pylist(), texts_of(batch), batch.column("__lost").to_pylist(), strict=True):
+            for doc, text, lost in zip(batch.column("doc_id").to_pylist(), texts_of(batch), batch.column(hashes).to_pylist(), strict=True):
                 lines, keys = line_keys(text)
                 lost = set(lost or ())
                 stay = [line for line, key in zip(lines, keys, strict=True)
@@ -235,7 +236,9 @@ WITH lines AS (
   SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS k
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
 keyed AS (
-  SELECT doc_id, line, k, translate(regexp_replace(line, '^[ 	-]+|[ 	-]+$', '', 'g'),
+  SELECT doc_id, line, k, translate(regexp_replace(line, '^[ 	-
+]+|[ 	-
+]+$', '', 'g'),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
 often AS (
   SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2)

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import table
+from millrace.llm.frames import table, unused
 
 #: Cells of the hashed multinomials; a fixed number, so that their table can be sent along.
 CELLS = 1 << 14
@@ -71,6 +71,9 @@ def cell_weights(documents: DataFrame, trusted: DataFrame) -> list[float]:
 
 def base_counts(documents: DataFrame) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (long)."""
+    odd = [c for c in documents.columns if c.startswith("__")]  # may be names of helpers below
+    aside = unused(documents, *(f"aside_{i}" for i in range(len(odd))))
+    documents = documents.withColumnsRenamed(dict(zip(odd, aside, strict=True)))
     text = F.coalesce("text", F.lit(""))
     held = documents.select(
         "*", F.filter(F.split(text, _SPACE), lambda w: w != "").alias("__words"),
@@ -100,7 +103,8 @@ def base_counts(documents: DataFrame) -> DataFrame:
               F.length(text) - F.length(F.translate(text, "#*$%&|<>", "")),
               F.size("__lines") - F.size(F.array_distinct("__lines")), covered)
     kept = [c for c in documents.columns if c.lower() not in names]
-    return held.select(*kept, *(v.cast("long").alias(n) for n, v in zip(names, values, strict=True)))
+    counted = held.select(*kept, *(v.cast("long").alias(n) for n, v in zip(names, values, strict=True)))
+    return counted.withColumnsRenamed(dict(zip(aside, odd, strict=True)))
 
 
 def apply_rules(documents: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -115,11 +119,12 @@ def apply_rules(documents: DataFrame, trusted: DataFrame, threshold: float = THR
     weight = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")  # folded to one constant
     named = ("base_failed", "score", "kept")
     base = base_counts(documents.select(*[c for c in documents.columns if c.lower() not in named]))
-    cells = base.withColumn("__tokens", _tokens(F.col("text"))).withColumn("__cells", _cells("__tokens"))
-    total = F.aggregate("__cells", F.lit(0.0), lambda a, c: a + weight[c])
-    return (cells.withColumn("score", F.when(F.size("__cells") > 0, total / F.size("__cells")).otherwise(0.0))
+    tokens, held = unused(base, "__tokens", "__cells")
+    cells = base.withColumn(tokens, _tokens(F.col("text"))).withColumn(held, _cells(tokens))
+    total = F.aggregate(held, F.lit(0.0), lambda a, c: a + weight[c])
+    return (cells.withColumn("score", F.when(F.size(held) > 0, total / F.size(held)).otherwise(0.0))
             .withColumn("base_failed", (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
-            .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("__tokens", "__cells"))
+            .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop(tokens, held))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,6 +41,12 @@ def test_equals_brute_force(spark, monkeypatch, hot):
     assert sorted(((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in got.collect()), key=str) == brute(rows)
 
 
+def test_helper_names_may_be_taken(spark):
+    frame = spark.createDataFrame([(1, "the very same line", 1, "a"), (2, "the very same line\nown line here", 2, "b")], "doc_id long, text string, __lost int, __doc string")
+    got = {r["doc_id"]: tuple(r) for r in drop_repeated_lines(frame).collect()}
+    assert got == {1: (1, "the very same line", 1, "a", 1, 0), 2: (2, "own line here", 2, "b", 2, 1)}
+
+
 def test_empty_table(spark):
     assert drop_repeated_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

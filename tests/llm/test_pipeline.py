@@ -1,6 +1,7 @@
 """Every stage of the pipeline on all that its predecessor kept, against brute force."""
 
 import public_tokenizers
+import pytest
 import sentencepiece
 
 import corpus_pipeline
@@ -58,3 +59,24 @@ def test_stages(spark):
 def test_run_is_all_stages(spark):
     rows = corpus_pipeline.run(spark, FOLDER).collect()
     assert rows and all(len(r["ids"]) == r["n_tokens"] for r in rows)
+
+
+@pytest.mark.parametrize("rows", [0, 1])
+def test_stages_take_odd_tables(spark, rows):
+    text = "a line of some length here\n" + " ".join(f"word{i}" for i in range(80))
+    docs = [(1, text), (1, text), (None, text), (2, None), (3, ""), (4, "x" * 300_000), (None, None), (5, text + " more")] if rows else []
+    frame = spark.createDataFrame([(d, t, None, None, len(t or ""), "x", 1) for d, t in docs],
+                                  "doc_id long, text string, lang string, source string, n_chars long, hash string, __lost int")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, frame, FOLDER)
+        if name != "subwords":
+            assert out.columns == list(corpus_pipeline.COLUMNS)
+        got = sorted(((r["doc_id"], r["n_chars"]) for r in out.collect()), key=str)
+        if not rows:
+            assert got == []
+        elif name == "near_duplicates":
+            assert [d for d, _ in got] == [1, 1, 2, 3, 4, None, None]
+        elif name == "lines":
+            assert (5, len(text) + 5 - 27) in got and (2, 0) in got and len(got) == len(docs)
+        elif name in ("decontamination", "subwords"):
+            assert len(got) == len(docs)

@@ -89,3 +89,28 @@ def test_every_trusted_text_counts(spark, monkeypatch):
     near = cell_weights(documents, some)
     monkeypatch.setattr(qualityrules, "BROADCAST_IDS", 0)
     assert cell_weights(documents, some) == near
+
+
+def test_helper_names_may_be_taken(spark):
+    names = ["__words", "__lines", "__hashes", "__sorted", "__twice", "__windows", "__places", "__tokens", "__cells", "__id", "__trusted", "aside_0"]
+    rows = [(i, f"some words {i} " * 30, *(f"{n} {i}" for n in names)) for i in range(3)]
+    frame = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    trusted = spark.createDataFrame([(1,)], "doc_id long")
+    plain = {r["doc_id"]: r for r in apply_rules(frame.select("doc_id", "text"), trusted).collect()}
+    got = apply_rules(frame, trusted)
+    assert got.columns[:2 + len(names)] == frame.columns
+    for r in got.collect():
+        assert [r[n] for n in names] == [f"{n} {r['doc_id']}" for n in names]
+        assert all(r[c] == plain[r["doc_id"]][c] for c in ("n_words", "n_repeat_words", "score", "kept"))
+
+
+def test_the_registered_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = qualityrules.op9_quality_rules(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        counts = brute_counts(texts[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == counts
+        assert r["base_failed"] == (counts[0] < 50 or 100 * counts[4] > 50 * counts[0])
+        assert r["kept"] == (not r["base_failed"] and r["score"] >= qualityrules.THRESHOLD)

@@ -21,6 +21,20 @@ def test_ids_and_texts_equal_the_library(spark):
         assert row["decoded"] == library.decode(ids)
 
 
+def test_the_registered_query_equals_the_library(spark):
+    import hashlib
+
+    from millrace.llm.subwords import op7_subwords
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = op7_subwords(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r["doc_id"]] or "")
+        want = (len(ids), ",".join(map(str, ids)), library.decode(ids))
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (want[0], *(hashlib.sha256(t.encode()).hexdigest() for t in want[1:]))
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert encode_documents(frame, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
