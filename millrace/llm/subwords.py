@@ -24,9 +24,9 @@ from millrace.llm.frames import table, texts_of, with_columns
 
 SPACE_MARK = "▁"
 #: Encoded runs kept in a task; the store is emptied when it is full.
-CACHE_RUNS = 200_000
+CACHE_RUNS = 600_000
 #: Tested pairs of pieces kept in a task, likewise.
-COMPATIBLE_PAIRS = 400_000
+COMPATIBLE_PAIRS = 1_000_000
 
 
 def _replaced(error: UnicodeError) -> tuple[str, int]:
