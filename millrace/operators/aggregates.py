@@ -124,6 +124,28 @@ def current_window(windowed: DataFrame, key: str) -> DataFrame:
     return latest_by_key(windowed, [key], ["window_start"])
 
 
+def current_window_table(df: DataFrame, time: str, key: str, value: str, size: str, slide: str,
+                         name: str = "total") -> KeyedTable:
+    """``current_window`` of a ``windowed_sum_table``, as a table that a stream keeps.
+
+    The latest-starting hopping window of a key starts in the key's last pane of one slide, and no
+    later pane of the key exists: its sum is that pane's. So only panes are summed and kept, and
+    a key's newest one is picked when the table is read; no pane is spread over its windows.
+    """
+    length, step = _seconds(size), _seconds(slide)
+    if not length or not step or length % step or not isinstance(df.schema[time].dataType, TimestampType):
+        return windowed_sum_table(df, time, key, value, size, slide, name).then(lambda sums: current_window(sums, key))
+    kind = _summed(df, time, key, value, size, slide, None, name).grouped.schema[name].dataType
+
+    def newest(panes: DataFrame) -> DataFrame:
+        begin = F.unix_seconds("window_start")
+        last = latest_by_key(panes.select(key, begin.alias("_start"), "_sum"), [key], ["_start"])
+        return last.select(key, F.timestamp_seconds("_start").alias("window_start"),
+                           F.timestamp_seconds(F.col("_start") + length).alias("window_end"), F.col("_sum").cast(kind).alias(name))
+
+    return _summed(df, time, key, value, slide, None, None, "_sum").then(newest)
+
+
 def keyed_count(df: DataFrame, key: str, counted: str | None = None, name: str = "count") -> DataFrame:
     """Rows per key whose ``counted`` column (the key by default) is not null."""
     return keyed_count_table(df, key, counted, name).rows()

@@ -343,8 +343,7 @@ def hopping_uri_sums(spark, folder):
 
 @query
 def current_uri_sums(spark, folder):
-    windowed = clicks.hopping_uri_sums(_clicks(spark, folder))
-    return _plain_time(clicks.current_uri_sums(windowed), "window_start", "window_end")
+    return _plain_time(clicks.current_uri_sums_table(_clicks(spark, folder)).rows(), "window_start", "window_end")
 
 
 @query

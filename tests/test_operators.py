@@ -152,6 +152,21 @@ def test_windows_at_their_bounds(spark):
     assert seconds(aggregates.current_window(hopping, "uri")) == [(60, 1)]
 
 
+@pytest.mark.parametrize("size, slide", [(60, 10), (45, 15), (7, 7)])
+def test_current_window_from_panes_alone(spark, size, slide):
+    rng = random.Random(size)
+    data = [(rng.uniform(-400, 400), rng.choice(["hot", "hot", "a", "b", None]), rng.choice([None, 1, 2, 3])) for _ in range(300)]
+    data += [(None, "a", 5), (12.0, "c", None)]
+    df = spark.createDataFrame(data, "s double, uri string, n long").select(
+        F.timestamp_micros((F.col("s") * 1000000).cast("long")).alias("ts"), "uri", "n")
+    every = aggregates.windowed_sum(df, "ts", "uri", "n", f"{size} seconds", f"{slide} seconds")
+    current = aggregates.current_window_table(df, "ts", "uri", "n", f"{size} seconds", f"{slide} seconds").rows()
+    assert current.schema.simpleString() == every.schema.simpleString()
+    assert rows(current) == rows(aggregates.current_window(every, "uri"))
+    # Panes are not spread over the windows they are in.
+    assert "explode" not in current._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("size, slide", [(60, 10), (45, 15), (7, 1), (3000, 10)])
 def test_hopping_sums_over_blocks_and_before_the_epoch(spark, size, slide):
     rng = random.Random(size)
