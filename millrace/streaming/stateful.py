@@ -112,7 +112,8 @@ class _Station(Ordered):
         self.state = handle.getValueState("station", _STATION)
 
     def load(self, key):
-        return tuple(self.state.get()) if self.state.exists() else None
+        kept = self.state.get()  # one call to the state store: None when the key has no state
+        return None if kept is None else tuple(kept)
 
     def save(self, state) -> None:
         if state is not None:
@@ -162,7 +163,8 @@ class _Panes(Ordered):
         self.ring = handle.getValueState("panes", "newest long, sums array<long>")
 
     def load(self, key):
-        return (self.ring.get()[0], list(self.ring.get()[1])) if self.ring.exists() else None
+        kept = self.ring.get()
+        return None if kept is None else (kept[0], list(kept[1]))
 
     def save(self, state) -> None:
         if state is not None:
@@ -216,7 +218,8 @@ class _Replaced(Ordered):
         self.newest = handle.getValueState("newest", T.StructType([T.StructField(f"f{i}", f.dataType) for i, f in enumerate(fields)]))
 
     def load(self, key):
-        return tuple(self.newest.get()) if self.newest.exists() else None
+        kept = self.newest.get()
+        return None if kept is None else tuple(kept)
 
     def save(self, state) -> None:
         self.newest.update(state)
@@ -246,7 +249,7 @@ class _Count(StatefulProcessor):
         self.kept = handle.getValueState("count", "count long, change long")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        count, change = self.kept.get() if self.kept.exists() else (0, 0)
+        count, change = self.kept.get() or (0, 0)
         delta = sum(r["delta"] for r in rows)
         if delta:
             self.kept.update((count + delta, change + 1))
