@@ -351,34 +351,154 @@ def _score(blocks: pd.DataFrame, answers: pd.DataFrame, totals: dict) -> pd.Data
                          "n_known": seen.astype(np.int64), "train_tokens": int(n), "base_score": base, "score": score})
 
 
+#: The begin of a text as a context, and the end of a text as a word: values no word's hash takes
+#: but by chance (xxhash64 of a word never is the hash of a null, 42).
+BEGIN, END_WORD = -0x2545F4914F6CDD1D, 42
+_LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _tokens(documents: DataFrame) -> DataFrame:
+    """(row, held, toks): one row a document, its tokens as (prev, word) hashes.
+
+    ``row`` tells rows with equal or null ids apart. A word's hash is xxhash64 of the word
+    (A-Z lower-cased), the end of the text is one more token, and the first one follows BEGIN.
+    """
+    words = F.filter(F.split(F.translate(F.coalesce("text", F.lit("")), _LOWER.upper(), _LOWER), "[\\x20\\x09-\\x0d]+"),
+                     lambda w: w != "")
+    hashes = F.concat(F.transform(words, lambda w: F.xxhash64(w)), F.array(F.lit(END_WORD).cast("long")))
+    before = F.concat(F.array(F.lit(BEGIN).cast("long")), F.slice(hashes, 1, F.size(hashes) - 1))
+    return documents.select("row", "held", F.arrays_zip(before.alias("prev"), hashes.alias("word")).alias("toks"))
+
+
+def _appended(lists: pa.Array, values: np.ndarray) -> pa.Array:
+    """Lists of equal length, each with one more value at its end."""
+    k = len(lists[0]) if len(lists) else 0
+    old = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), k)
+    flat = np.concatenate([old, values.astype(np.int64)[:, None]], axis=1).ravel()
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k + 1, dtype=np.int32)), pa.array(flat))
+
+
+_PAIRS = "prev long, word long, c long, t long, held double, ts array<long>"
+
+
+def _reseat(d1: float, run: int, keep: bool):
+    """Seats again the customers of each restaurant (a previous word) that one word has."""
+
+    def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        pick = np.random.default_rng([run, TaskContext.get().partitionId()])
+        for batch in batches:
+            c = batch.column("c").to_numpy(zero_copy_only=False).astype(np.int64)
+            t = batch.column("t").to_numpy(zero_copy_only=False).astype(np.float64)
+            strength = batch.column("strength").to_numpy(zero_copy_only=False)
+            held = batch.column("held").to_numpy(zero_copy_only=False)
+            new, weight = seated(c, strength, d1, pick)
+            # The weight of the seating that is held is the one it had when it was made.
+            take = np.isnan(held) | (np.log(pick.random(len(c))) < weight - np.nan_to_num(held))
+            t, held = np.where(take, new, t).astype(np.int64), np.where(take, weight, held)
+            ts = _appended(batch.column("ts"), t) if keep else batch.column("ts")
+            yield pa.RecordBatch.from_arrays([batch.column("prev"), batch.column("word"), batch.column("c"), pa.array(t), pa.array(held), ts],
+                                             ["prev", "word", "c", "t", "held", "ts"])
+
+    return seat
+
+
+_TOPS = "word long, cu long, tu long, cus array<long>, tus array<long>"
+
+
+def _tops(d0: float, strength: float, run: int, keep: bool):
+    """Seats the unigram restaurant anew: its customers are the tables of a word below."""
+
+    def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        pick = np.random.default_rng([run, 1 << 20, TaskContext.get().partitionId()])
+        for batch in batches:
+            cu = batch.column("cu").to_numpy(zero_copy_only=False).astype(np.int64)
+            tu, _ = seated(cu, np.full(len(cu), strength), d0, pick) if len(cu) else (np.empty(0), None)
+            tu = tu.astype(np.int64)
+            cus, tus = batch.column("cus"), batch.column("tus")
+            if keep:
+                cus, tus = _appended(cus, cu), _appended(tus, tu)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(cu), pa.array(tu), cus, tus], ["word", "cu", "tu", "cus", "tus"])
+
+    return seat
+
+
 def score_texts(documents: DataFrame, held_out) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row a document.
 
+    A bigram hierarchical Pitman-Yor model: each previous word (or the begin of a text) is a
+    restaurant whose customers are the words seen after it; its tables are customers of the
+    unigram restaurant, whose parent is uniform over the known words and one unknown word.
+    Restaurants are rows of Spark tables, keyed by (previous word, word); each round of Gibbs
+    seating joins them with the unigram restaurant and their context's totals of that round.
+
     Learns from the rows where the column ``held_out`` is false (a null counts as false) and
     scores all. Needs ``doc_id`` and ``text``; a null or empty text is the end token alone.
     Rows with a null or repeated id are learned from and scored like any other. With nothing
     to learn from, every token is the unknown word, of probability one. An empty table gives
     no rows. The perplexity of a text is 10 ** (-score / n_tokens).
     """
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(size / PART_BYTES))
-    dealt = saved(blocks_of(documents, F.coalesce(held_out, F.lit(False)), parts), "lm-blocks")
-    questions = dealt.where("part >= 0").select("block", "part", "words", "firsts", "contexts", "counts")
-    state = saved(questions.drop("block").groupBy("part").applyInPandas(_merge, _STATE), "lm-counts")
-    first = _totals(state)
-    if not len(first):
-        return documents.sparkSession.createDataFrame([], _SCORES)
-    words, tokens, *seen = first[2 * CONTEXTS:]
-    types = first[CONTEXTS:2 * CONTEXTS]
-    totals = {"words": words, "tokens": tokens, "d1": _discount(*seen[:2]), "d0": _discount(*seen[2:]), "customers": first[:CONTEXTS],
-              "sums": np.array([[*types, types.sum(), words]])}
-    for run, rounds in enumerate((SETTLE, SAMPLES)):
-        state = saved(_seat(state, totals, rounds, run), "lm-tables")
-        totals = {**totals, "sums": _totals(state).reshape(rounds, CONTEXTS + 2)}
-    answers = questions.drop("counts").groupBy("part").cogroup(state.groupBy("part")).applyInPandas(
-        lambda q, s: _answer(q, s, totals), _ANSWERS)
-    blocks = dealt.where("part = -1").select("block", "doc_ids", "held_out", "lengths", "tokens", "words", "contexts")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(lambda b, a: _score(b, a, totals), _SCORES)
+    docs = saved(documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
+                                  F.coalesce(held_out, F.lit(False)).alias("held"), "text"), "lm-texts")
+    toks = _tokens(docs).select("row", "held", F.explode("toks").alias("tok")).select("row", "held", "tok.prev", "tok.word")
+    pairs = saved(toks.where(~F.col("held")).groupBy("prev", "word").agg(F.count(F.lit(1)).alias("c")), "lm-pairs")
+    one = F.when(F.col("c") == 1, 1).otherwise(0)
+    words = saved(pairs.groupBy("word").agg(F.sum("c").alias("n"), F.sum(one).alias("ones")), "lm-words")
+    contexts = saved(pairs.groupBy("prev").agg(F.sum("c").alias("cc"), F.sum(one).alias("ones")), "lm-contexts")
+    first = words.agg(F.count(F.lit(1)), F.sum("n"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)), F.sum(F.when(F.col("n") == 2, 1).otherwise(0))).first()
+    kinds = pairs.agg(F.count(F.lit(1)), F.sum(one), F.sum(F.when(F.col("c") == 2, 1).otherwise(0))).first()
+    v, n = float(first[0] or 0), float(first[1] or 0)
+    d1, d0 = _discount(float(kinds[1] or 0), float(kinds[2] or 0)), _discount(float(first[2] or 0), float(first[3] or 0))
+    # A word seen once after a previous word has one table there in every seating, so only the
+    # others are seated again; the ones are counted into the totals of the word and the context.
+    # To start, one table for each restaurant's word, and one in the unigram restaurant.
+    state = pairs.where("c > 1").select("prev", "word", "c", F.lit(1).cast("long").alias("t"), F.lit(None).cast("double").alias("held"),
+                                        F.array().cast("array<long>").alias("ts"))
+    tops = words.select("word", (F.col("ones") + 0).alias("cu"), F.lit(1).cast("long").alias("tu"),
+                        F.array().cast("array<long>").alias("cus"), F.array().cast("array<long>").alias("tus"))
+    tu_sum, cu_sum, sums = v, float(kinds[0] or 0), []
+    for run in range(SETTLE + SAMPLES):
+        keep = run >= SETTLE
+        if run == 0:
+            tops = tops.join(state.groupBy("word").agg(F.count(F.lit(1)).alias("more")), "word", "left").select(
+                "word", (F.col("cu") + F.coalesce("more", F.lit(0))).alias("cu"), "tu", "cus", "tus")
+        prior = tops.select("word", ((F.col("cu") - d0 * F.col("tu") + (STRENGTH + d0 * tu_sum) / (v + 1)) / (STRENGTH + cu_sum)).alias("p1"))
+        # A restaurant's tables, but for those of the word seated again.
+        others = state.groupBy("prev").agg(F.sum("t").alias("tables")).join(contexts.select("prev", "ones"), "prev")
+        asked = state.join(others, "prev").join(prior, "word").select(
+            "prev", "word", "c", "t", "held", "ts", ((STRENGTH + d1 * (F.col("ones") + F.col("tables") - F.col("t"))) * F.col("p1")).alias("strength"))
+        state = saved(asked.mapInArrow(_reseat(d1, run, keep), _PAIRS), "lm-tables")
+        customers = state.groupBy("word").agg(F.sum("t").alias("more"))
+        tops = saved(words.select("word", "ones").join(customers, "word", "left").join(tops.select("word", "cus", "tus"), "word").select(
+            "word", (F.col("ones") + F.coalesce("more", F.lit(0))).alias("cu"), "cus", "tus").mapInArrow(
+            _tops(d0, (STRENGTH + d0 * tu_sum) / (v + 1), run, keep), _TOPS), "lm-tops")
+        got = tops.agg(F.sum("tu"), F.sum("cu")).first()
+        tu_sum, cu_sum = float(got[0] or 0), float(got[1] or 0)
+        if keep:
+            sums.append((tu_sum, cu_sum))
+    more = state.groupBy("prev").agg(*[F.sum(F.col("ts")[s]).alias(f"more{s}") for s in range(len(sums))])
+    contexts = contexts.join(more, "prev", "left").select(
+        "prev", "cc", *[(F.col("ones") + F.coalesce(f"more{s}", F.lit(0))).alias(f"tt{s}") for s in range(len(sums))])
+    asked = toks.select("prev", "word").distinct()
+    joined = asked.join(pairs, ["prev", "word"], "left").join(state.select("prev", "word", "ts"), ["prev", "word"], "left").join(
+        tops.select("word", "cus", "tus"), "word", "left").join(words.select("word", "n"), "word", "left").join(contexts, "prev", "left")
+    mean = F.lit(0.0)
+    for s, (tu_s, cu_s) in enumerate(sums):
+        p1 = (F.coalesce(F.col("cus")[s], F.lit(0)) - d0 * F.coalesce(F.col("tus")[s], F.lit(0)) + (STRENGTH + d0 * tu_s) / (v + 1)) / (STRENGTH + cu_s)
+        # A pair that is not seated again has as many tables as customers: none or one.
+        tables = F.coalesce(F.col("ts")[s], F.col("c"), F.lit(0))
+        own = F.coalesce(F.col("c"), F.lit(0)) - d1 * tables
+        mean = mean + F.when(F.col("cc").isNull(), p1).otherwise((own + (STRENGTH + d1 * F.col(f"tt{s}")) * p1) / (STRENGTH + F.col("cc")))
+    known = F.coalesce(F.col("n"), F.lit(0))
+    probs = joined.select("prev", "word", (F.log10(mean / len(sums)) if sums else F.lit(0.0)).alias("lp"), (known > 0).cast("long").alias("k"),
+                          F.log10((known + 0.5) / (n + 0.5 * (v + 1))).alias("lb"))
+    per_row = toks.join(probs, ["prev", "word"]).groupBy("row").agg(
+        F.count(F.lit(1)).alias("n_tokens"), F.sum("lp").alias("score"), F.sum("k").alias("n_known"), F.sum("lb").alias("base_score"))
+    return docs.join(per_row, "row").select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known",
+                                            F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,3 +93,11 @@ def test_better_than_the_base_on_held_out_texts(spark):
     rows = [r for r in op6_language_model(spark, "/root/testdata/sf0.01").collect() if r["held_out"]]
     tokens_ = sum(r["n_tokens"] for r in rows)
     assert sum(r["score"] for r in rows) / tokens_ > sum(r["base_score"] for r in rows) / tokens_ + 0.1
+
+
+def test_previous_words_with_one_ending_are_contexts_apart(spark):
+    learned = [(i, "xabc p" if i % 2 else "yabc q", False) for i in range(80)]
+    asked = [(100, "xabc p", True), (101, "xabc q", True), (102, "yabc p", True), (103, "yabc q", True)]
+    frame = spark.createDataFrame(learned + asked, "doc_id long, text string, held boolean")
+    got = {r["doc_id"]: r["score"] for r in score_texts(frame, F.col("held")).collect()}
+    assert got[100] - got[101] > 1 and got[103] - got[102] > 1
