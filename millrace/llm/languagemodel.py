@@ -1,25 +1,20 @@
 """A hierarchical Pitman-Yor language model, learned and applied as Spark jobs.
 
-Each context is a restaurant whose customers are the words seen after it; a table serves one
-word, and every table is a customer of the context's parent. The contexts are classes of the
-previous word (by its ending; the begin of a text is one of them) and share one parent, the
-unigram restaurant, whose parent is uniform over the known words and one unknown word.
+Each previous word (or the begin of a text) is a restaurant whose customers are the words seen
+after it; a table serves one word, and every table is a customer of the unigram restaurant,
+whose parent is uniform over the known words and one unknown word. Restaurants are rows of
+Spark tables keyed by (previous word, word), so neither the corpus nor the vocabulary ever
+passes through one task or the driver.
 
 Seating is sampled by Gibbs: the customers of a word in a restaurant leave and sit down again
 one by one, each joining a table or opening one with the model's odds given all others, and
-the arrangement is taken with its Metropolis-Hastings chance. Words are dealt to parts by
-hash, so that all restaurants' customers of one word are in one place; a part needs only the
-restaurants' totals from the others, which are renewed between runs. The predictive
-probabilities of several samples are averaged.
-
-Texts are grouped into blocks. A block asks every part for the words and contexts it holds
-(its counts are learned from on the same way) and gets their probabilities back, so neither
-the corpus nor the vocabulary ever passes through one task or the driver.
+the arrangement is taken with its Metropolis-Hastings chance. The predictive probabilities of
+several samples are averaged. ``_Block``, ``_merge``, ``_Part`` and ``_answer`` are the same
+seating and prediction over numpy arrays of one part, with classes of words as contexts.
 """
 
 from __future__ import annotations
 
-import math
 import os
 from collections.abc import Iterator
 
@@ -29,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import saved, slices, table, texts_of
+from millrace.llm.frames import saved, table
 from millrace.llm.langid import remainder
 from millrace.llm.words import mix, words_of
 
@@ -144,26 +139,6 @@ def _part_bounds(parts: int) -> np.ndarray:
     return np.array([min(i * (1 << 64) // parts, (1 << 64) - 1) for i in range(parts)] + [(1 << 64) - 1], np.uint64)
 
 
-def blocks_of(documents: DataFrame, held_out, parts: int) -> DataFrame:
-    """Blocks (part -1) and their questions to the parts, from (doc_id, text)."""
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Block()
-        for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                block.add(part.column("doc_id").to_pylist(), part.column("held").to_pylist(), texts_of(part))
-                if block.size >= BLOCK_BYTES:
-                    yield from block.rows(parts)
-                    block = _Block()
-        if block.docs:
-            yield from block.rows(parts)
-
-    return documents.select(F.col("doc_id").cast("long"), "text", held_out.alias("held")).mapInArrow(gather, _BLOCKS)
-
-
-_STATE = "part int, words binary, firsts binary, contexts binary, counts binary, tables binary, sums array<double>"
-
-
 def _merge(rows: pd.DataFrame) -> pd.DataFrame:
     """One part's counts over all blocks, without words that were not learned from."""
     words, contexts, counts = [], [], []
@@ -191,15 +166,6 @@ def _merge(rows: pd.DataFrame) -> pd.DataFrame:
                          "contexts": [contexts.tobytes()], "counts": [_planes(counts)], "tables": [_planes(tables)], "sums": [sums.tolist()]})
 
 
-def _totals(state: DataFrame) -> np.ndarray:
-    """The sums over all parts: a fixed number of values."""
-    rows = state.select(F.posexplode("sums").alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value")).collect()
-    out = np.zeros(max((r["at"] + 1 for r in rows), default=0))
-    for r in rows:
-        out[r["at"]] = r["value"]
-    return out
-
-
 def _discount(ones: float, twos: float) -> float:
     return float(np.clip(ones / max(1.0, ones + 2 * twos), 0.1, 0.95))
 
@@ -279,21 +245,6 @@ def _sums_of(part: _Part, tables: np.ndarray) -> list[float]:
     return np.concatenate([np.concatenate([np.bincount(part.contexts, row[:n], CONTEXTS), [row[:n].sum(), row[n:].sum()]]) for row in tables]).tolist()
 
 
-def _seat(state: DataFrame, totals: dict, rounds: int, run: int) -> DataFrame:
-    def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                part = _Part(row, totals)
-                tables = part.sampled(rounds, [row["part"], run])
-                row |= {"tables": _planes(tables.astype(np.uint32)), "sums": _sums_of(part, tables)}
-                yield pa.RecordBatch.from_pylist([row], batch.schema)
-
-    return state.mapInArrow(seat, _STATE)
-
-
-_ANSWERS = "block binary, part int, probabilities binary, known binary"
-
-
 def _answer(questions: pd.DataFrame, state: pd.DataFrame, totals: dict) -> pd.DataFrame:
     """For each block's words and contexts the averaged probability and the training count."""
     part = _Part(state.iloc[0], totals) if len(state) else None
@@ -331,26 +282,6 @@ def _pair_key(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     return mix(words ^ (contexts.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
 
 
-_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-
-
-def _score(blocks: pd.DataFrame, answers: pd.DataFrame, totals: dict) -> pd.DataFrame:
-    """The documents of one block, from the answers of all parts in their order."""
-    block, answers = blocks.iloc[0], answers.sort_values("part")
-    lengths = np.frombuffer(block["lengths"], np.int32).astype(np.int64)
-    word = _unplaned(block["words"])[_unplaned(block["tokens"])]
-    classes = np.frombuffer(block["contexts"], np.uint8)[word]
-    _, token = np.unique(_pairs(word, _before(classes, lengths)), return_inverse=True)  # in the order of the questions
-    probability = np.concatenate([np.frombuffer(p, np.float32) for p in answers["probabilities"]]).astype(np.float64)
-    known = np.concatenate([_unplaned(k) for k in answers["known"]]).astype(np.float64)
-    n, v = totals["tokens"], totals["words"]
-    starts = np.cumsum(lengths) - lengths
-    score, base, seen = (np.add.reduceat(values[token], starts) for values in (
-        np.log10(probability), np.log10((known + 0.5) / (n + 0.5 * (v + 1))), (known > 0).astype(np.float64)))
-    return pd.DataFrame({"doc_id": pd.array(list(block["doc_ids"]), "Int64"), "held_out": list(block["held_out"]), "n_tokens": lengths,
-                         "n_known": seen.astype(np.int64), "train_tokens": int(n), "base_score": base, "score": score})
-
-
 #: The begin of a text as a context, and the end of a text as a word: values no word's hash takes
 #: but by chance (xxhash64 of a word never is the hash of a null, 42).
 BEGIN, END_WORD = -0x2545F4914F6CDD1D, 42
