@@ -40,6 +40,14 @@ def saved(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes the files of a frame that ``saved`` gave and nothing reads from now on."""
+    for file in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch cut so that each part holds about ``most`` bytes of the column."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

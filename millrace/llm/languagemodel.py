@@ -2,9 +2,10 @@
 
 Each previous word (or the begin of a text) is a restaurant whose customers are the words seen
 after it; a table serves one word, and every table is a customer of the unigram restaurant,
-whose parent is uniform over the known words and one unknown word. Restaurants are rows of
-Spark tables keyed by (previous word, word), so neither the corpus nor the vocabulary ever
-passes through one task or the driver.
+whose parent is uniform over the known words and one unknown word. Texts are blocks of
+word numbers, and the pairs (previous word, word) and the words are dealt over many buckets
+and parts by their hashes, so neither the corpus nor the vocabulary ever passes through one
+task or the driver.
 
 Seating is sampled by Gibbs: the customers of a word in a restaurant leave and sit down again
 one by one, each joining a table or opening one with the model's odds given all others, and
@@ -15,6 +16,7 @@ seating and prediction over numpy arrays of one part, with classes of words as c
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterator
 
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.frames import saved, table
+from millrace.llm.frames import dropped, saved, slices, table, texts_of
 from millrace.llm.langid import remainder
 from millrace.llm.words import mix, words_of
 
@@ -282,79 +284,405 @@ def _pair_key(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     return mix(words ^ (contexts.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
 
 
-#: The begin of a text as a context, and the end of a text as a word: values no word's hash takes
-#: but by chance (xxhash64 of a word never is the hash of a null, 42).
-BEGIN, END_WORD = -0x2545F4914F6CDD1D, 42
-_LOWER = "abcdefghijklmnopqrstuvwxyz"
+#: The begin of a text as a context; no word's hash but by chance, as END.
+BEGIN = ~END
+#: What a row carries: a block's texts, the state of a bucket of pairs or of a part of the words, a
+#: message about words or previous words, or the places in a bucket's state of the pairs of a block.
+TEXTS, PAIRS, OWNED, WORDS, PREVS, PLACES = range(6)
+_ROWS = "at int, kind int, src int, block binary, data binary, moving binary, sums array<double>"
+_ARROW = pa.schema([("at", pa.int32()), ("kind", pa.int32()), ("src", pa.int32()), ("block", pa.binary()), ("data", pa.binary()),
+                    ("moving", pa.binary()), ("sums", pa.list_(pa.float64()))])
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+_KINDS = ("u1", "u2", "u4", "u8", "f8")
+#: Drops an action's shuffle files when it has ended; else they stay until the driver collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers (integers from 0) as one value, byte plane after byte plane, compressed."""
+    heads, planes = [len(arrays)], []
+    for a in arrays:
+        most = 0 if a.dtype.kind == "f" or not len(a) else int(a.max())
+        kind = 4 if a.dtype.kind == "f" else next(k for k in range(4) if most < 1 << (8 << k))
+        a = np.ascontiguousarray(a, _KINDS[kind])
+        heads += [kind, len(a)]
+        planes.append(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
+    raw = np.array(heads, np.int64).tobytes() + b"".join(planes)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    heads = np.frombuffer(raw, np.int64, 1 + 2 * n)[1:].reshape(n, 2).tolist()
+    at, out = 8 * (1 + 2 * n), []
+    for kind, size in heads:
+        width = np.dtype(_KINDS[kind]).itemsize
+        planes = np.frombuffer(raw, np.uint8, size * width, at).reshape(width, size)
+        out.append(planes.T.copy().view(_KINDS[kind]).reshape(size))
+        at += size * width
+    return out
 
 
-def _tokens(documents: DataFrame) -> DataFrame:
-    """(row, held, toks): one row a document, its tokens as (prev, word) hashes.
+def _gaps(hashes: np.ndarray) -> np.ndarray:
+    """Sorted hashes as differences, which compress better; their running sum gives them back."""
+    return np.diff(hashes, prepend=np.uint64(0))
 
-    ``row`` tells rows with equal or null ids apart. A word's hash is xxhash64 of the word
-    (A-Z lower-cased), the end of the text is one more token, and the first one follows BEGIN.
-    """
-    words = F.filter(F.split(F.translate(F.coalesce("text", F.lit("")), _LOWER.upper(), _LOWER), "[\\x20\\x09-\\x0d]+"),
-                     lambda w: w != "")
-    hashes = F.concat(F.transform(words, lambda w: F.xxhash64(w)), F.array(F.lit(END_WORD).cast("long")))
-    before = F.concat(F.array(F.lit(BEGIN).cast("long")), F.slice(hashes, 1, F.size(hashes) - 1))
-    return documents.select("row", "held", F.arrays_zip(before.alias("prev"), hashes.alias("word")).alias("toks"))
+
+def _part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return np.minimum(np.searchsorted(_part_bounds(parts), hashes, "right") - 1, parts - 1)
+
+
+def _stretches(numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Each number of a sorted array with the start and the end of its stretch."""
+    starts = np.flatnonzero(np.diff(numbers, prepend=-1))
+    ends = np.append(starts, len(numbers))[1:]
+    return zip(numbers[starts].tolist(), starts.tolist(), ends.tolist(), strict=True)
+
+
+def _summed(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(at, values, size).astype(np.int64)
 
 
-def _appended(lists: pa.Array, values: np.ndarray) -> pa.Array:
-    """Lists of equal length, each with one more value at its end."""
-    k = len(lists[0]) if len(lists) else 0
-    old = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), k)
-    flat = np.concatenate([old, values.astype(np.int64)[:, None]], axis=1).ravel()
-    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, k + 1, dtype=np.int32)), pa.array(flat))
+def _row(at: int, kind: int, src: int = -1, block: bytes | None = None, data: bytes | None = None, moving: bytes | None = None,
+         sums: list[float] | None = None) -> dict:
+    return {"at": at, "kind": kind, "src": src, "block": block, "data": data, "moving": moving, "sums": sums}
 
 
-_PAIRS = "prev long, word long, c long, t long, held double, ts array<long>"
+class _Texts:
+    """Texts gathered into one block: their tokens, as numbers of the block's own sorted words."""
+
+    def __init__(self):
+        self.ids, self.held, self.lengths, self.hashes, self.size = [], [], [], [], 0
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        texts = texts_of(batch)
+        found = words_of(texts)
+        lengths = np.diff(found.first)
+        inner = np.ones(int(lengths.sum()) + len(texts), bool)
+        inner[np.cumsum(lengths + 1) - 1] = False
+        hashes = np.full(len(inner), END)
+        hashes[inner] = found.hashes
+        self.ids += batch.column("doc_id").to_pylist()
+        self.held += batch.column("held").to_pylist()
+        self.lengths.append(lengths + 1)
+        self.hashes.append(hashes)
+        self.size += len(found.data)
 
+    def row(self) -> dict:
+        words, token = np.unique(np.concatenate([*self.hashes, [BEGIN]]), return_inverse=True)
+        token = token[:-1]
+        # Frequent words get small numbers, which compress better.
+        order = np.argsort(-np.bincount(token, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        ids = np.array([i or 0 for i in self.ids], np.int64).view(np.uint64)
+        data = _packed(ids, np.array([i is None for i in self.ids]), np.array(self.held, bool), np.concatenate(self.lengths), rank[token],
+                       order, _gaps(words))
+        return _row(-1, TEXTS, block=os.urandom(12), data=data, sums=[float(self.size)])
 
-def _reseat(d1: float, run: int, keep: bool):
-    """Seats again the customers of each restaurant (a previous word) that one word has."""
 
-    def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+def _blocks(most: int):
+    """Gathers the texts of a task into blocks of about ``most`` bytes."""
 
-        pick = np.random.default_rng([run, TaskContext.get().partitionId()])
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = _Texts()
         for batch in batches:
-            c = batch.column("c").to_numpy(zero_copy_only=False).astype(np.int64)
-            t = batch.column("t").to_numpy(zero_copy_only=False).astype(np.float64)
-            strength = batch.column("strength").to_numpy(zero_copy_only=False)
-            held = batch.column("held").to_numpy(zero_copy_only=False)
-            new, weight = seated(c, strength, d1, pick)
+            for part in slices(batch, "text", SLICE):
+                texts.add(part)
+                if texts.size >= most:
+                    yield pa.RecordBatch.from_pylist([texts.row()], _ARROW)
+                    texts = _Texts()
+        if texts.ids:
+            yield pa.RecordBatch.from_pylist([texts.row()], _ARROW)
+
+    return gather
+
+
+class _Tokens:
+    """A block's tokens and their distinct pairs, dealt to a grid of groups of previous words by groups of words."""
+
+    def __init__(self, data: bytes, side: int):
+        ids, nulls, held, lengths, rank, order, gaps = _unpacked(data)
+        self.ids, self.nulls, self.held, self.lengths = ids.astype(np.uint64).view(np.int64), nulls.astype(bool), held.astype(bool), lengths.astype(np.int64)
+        self.words = np.cumsum(gaps, dtype=np.uint64)
+        self.token = order.astype(np.int64)[rank]
+        n = len(self.words)
+        before = np.empty(len(self.token), np.int64)
+        before[1:] = self.token[:-1]
+        before[np.cumsum(self.lengths) - self.lengths] = np.searchsorted(self.words, BEGIN)
+        pairs, self.pair = np.unique(before * n + self.token, return_inverse=True)
+        self.prev, self.word = pairs // n, pairs % n
+        group = _part_of(self.words, side * side) // side
+        bucket = group[self.prev] * side + group[self.word]
+        # The pairs in the order in which their buckets are asked.
+        self.order = np.argsort(bucket, kind="stable")
+        self.bucket = bucket[self.order]
+
+    def learned(self) -> np.ndarray:
+        return np.bincount(self.pair[np.repeat(~self.held, self.lengths)], minlength=len(self.prev))
+
+
+def _asked_pairs(side: int):
+    """From each block to each bucket: the block's distinct pairs there, and how often it learns from them."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            tokens = _Tokens(row["data"], side)
+            counts, out = tokens.learned(), []
+            for bucket, a, b in _stretches(tokens.bucket):
+                own = tokens.order[a:b]
+                prevs, runs = np.unique(tokens.prev[own], return_counts=True)
+                words, word = np.unique(tokens.word[own], return_inverse=True)
+                data = _packed(_gaps(tokens.words[prevs]), runs, _gaps(tokens.words[words]), word, counts[own])
+                out.append(_row(bucket, TEXTS, block=row["block"], data=data))
+            yield pa.RecordBatch.from_pylist(out, _ARROW)
+
+    return ask
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(len(batch)):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
+class _Bucket:
+    """The pairs that all blocks have in one bucket, sorted, and how often they were learned from."""
+
+    def __init__(self, asked: list[dict]):
+        got = [_unpacked(row["data"]) for row in asked]
+        prevs = [np.cumsum(x[0], dtype=np.uint64) for x in got]
+        words = [np.cumsum(x[2], dtype=np.uint64) for x in got]
+        self.prevs, self.words = np.unique(np.concatenate(prevs)), np.unique(np.concatenate(words))
+        n = len(self.words)
+        keys = [np.repeat(np.searchsorted(self.prevs, p), x[1].astype(np.int64)) * n + np.searchsorted(self.words, w)[x[3]]
+                for p, w, x in zip(prevs, words, got, strict=True)]
+        self.sizes = [len(k) for k in keys]
+        pairs, self.at = np.unique(np.concatenate(keys), return_inverse=True)
+        self.prev, self.word = pairs // n, pairs % n
+        self.counts = _summed(self.at, np.concatenate([x[4] for x in got]), len(pairs))
+
+
+def _counted(side: int):
+    """A bucket's counts: its pairs that were seen more than once as its state, sums of all to the owners of the words,
+    and for each block the counts of its pairs and the places in the state of those seen more than once."""
+    parts = side * side
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        rows, at = table.to_pylist(), key[0].as_py()
+        own = _Bucket(rows)
+        c, out = own.counts, []
+        one, more = c == 1, c > 1
+        place, ends = np.cumsum(more) - 1, np.cumsum(own.sizes)
+        for row, size, end in zip(rows, own.sizes, ends, strict=True):
+            asked = own.at[end - size:end]
+            out.append(_row(at, PLACES, block=row["block"], data=_packed(c[asked], place[asked[more[asked]]])))
+        for kind, hashes, of in ((WORDS, own.words, own.word), (PREVS, own.prevs, own.prev)):
+            n, ones, several = (_summed(of, x, len(hashes)) for x in (c, one, more))
+            seen = n > 0
+            hashes, n, ones, several = hashes[seen], n[seen], ones[seen], several[seen]
+            for part, a, b in _stretches(_part_of(hashes, parts)):
+                out.append(_row(part, kind, at, data=_packed(_gaps(hashes[a:b]), n[a:b], ones[a:b], several[a:b])))
+        prevs, prev = np.unique(own.prev[more], return_inverse=True)
+        words, word = np.unique(own.word[more], return_inverse=True)
+        m = int(more.sum())
+        data = _packed(_gaps(own.prevs[prevs]), np.bincount(prev, minlength=len(prevs)), _gaps(own.words[words]), word, c[more])
+        out.append(_row(at, PAIRS, data=data, moving=_packed(np.ones(m, np.int64), np.full(m, np.nan)),
+                        sums=[float((c > 0).sum()), float(one.sum()), float((c == 2).sum())]))
+        return pa.Table.from_pylist(out, _ARROW)
+
+    return count
+
+
+def _owned(key: tuple, table: pa.Table) -> pa.Table:
+    """The words of one part with their sums, and which of them each bucket asks for in each round."""
+    rows = table.to_pylist()
+    got = [_unpacked(row["data"]) for row in rows]
+    hashes = [np.cumsum(x[0], dtype=np.uint64) for x in got]
+    words = np.unique(np.concatenate(hashes))
+    sums, heads, asked = np.zeros((2, 3, len(words)), np.int64), [], []
+    for row, own, x in zip(rows, hashes, got, strict=True):
+        at = np.searchsorted(words, own)
+        for k in range(3):
+            sums[row["kind"] - WORDS, k, at] += x[1 + k].astype(np.int64)
+        if len(several := at[x[3] > 0]):
+            heads.append((row["kind"], row["src"], len(several)))
+            asked.append(several)
+    (n, ones, several), (customers, prev_ones, prev_several) = sums
+    data = _packed(_gaps(words), n, ones, customers, prev_ones, np.array(heads, np.int64).reshape(-1), np.concatenate([*asked, np.empty(0, np.int64)]))
+    # To start, one table for each restaurant's word, and one in the unigram restaurant.
+    moving = _packed(ones + several, (n > 0).astype(np.int64), prev_several)
+    known = [float((n > 0).sum()), float(n.sum()), float((n == 1).sum()), float((n == 2).sum())]
+    return pa.Table.from_pylist([_row(key[0].as_py(), OWNED, data=data, moving=moving, sums=known)], _ARROW)
+
+
+class _Owner:
+    """One part of the words: what was counted of each, the moving totals, and those of the samples kept."""
+
+    def __init__(self, row: dict):
+        gaps, *rest = _unpacked(row["data"])
+        self.words = np.cumsum(gaps, dtype=np.uint64)
+        self.n, self.ones, self.customers, self.prev_ones, heads, asked = (x.astype(np.int64) for x in rest)
+        self.cu, self.tu, self.tables, *self.kept = (x.astype(np.int64) for x in _unpacked(row["moving"]))
+        ends = np.cumsum(heads[2::3])
+        self.asked = {(k, s): asked[e - m:e] for k, s, m, e in zip(heads[0::3].tolist(), heads[1::3].tolist(), heads[2::3].tolist(), ends.tolist(), strict=True)}
+
+
+def _told(known: dict):
+    """From each part to each bucket: the unigram probabilities of the words, and the tables of the previous words, that it asks for."""
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            own = _Owner(row)
+            values = {WORDS: _prior(own.cu, own.tu, known, known["tu"], known["cu"]), PREVS: own.prev_ones + own.tables}
+            yield pa.RecordBatch.from_pylist([_row(src, kind, row["at"], data=_packed(values[kind][at])) for (kind, src), at in own.asked.items()], _ARROW)
+
+    return tell
+
+
+def _prior(customers: np.ndarray, tables: np.ndarray, known: dict, tu: float, cu: float) -> np.ndarray:
+    """The unigram restaurant's probability of words that have so many customers and tables there."""
+    return (customers - known["d0"] * tables + (STRENGTH + known["d0"] * tu) / (known["words"] + 1)) / (STRENGTH + cu)
+
+
+def _reseated(known: dict, run: int, keep: bool, side: int):
+    """Seats again the customers of each restaurant (a previous word) that one word has, for a bucket's pairs."""
+    parts = side * side
+
+    def seat(key: tuple, table: pa.Table) -> pa.Table:
+        rows, at = sorted(table.to_pylist(), key=lambda row: (row["kind"], row["src"])), key[0].as_py()
+        state = next(row for row in rows if row["kind"] == PAIRS)
+        prevs, runs, words, word, c = _unpacked(state["data"])
+        prevs, words = np.cumsum(prevs, dtype=np.uint64), np.cumsum(words, dtype=np.uint64)
+        prev, word, c = np.repeat(np.arange(len(prevs)), runs.astype(np.int64)), word.astype(np.int64), c.astype(np.int64)
+        t, held, *ts = _unpacked(state["moving"])
+        t = t.astype(np.int64)
+        if len(c):
+            # Parts are stretches of the sorted hashes, so their answers in order are those for all.
+            prior, tables = (np.concatenate([_unpacked(row["data"])[0] for row in rows if row["kind"] == kind]) for kind in (WORDS, PREVS))
+            pick = np.random.default_rng([run, at])
+            # A restaurant's tables, but for those of the word seated again.
+            new, weight = seated(c, (STRENGTH + known["d1"] * (tables.astype(np.int64)[prev] - t)) * prior[word], known["d1"], pick)
             # The weight of the seating that is held is the one it had when it was made.
             take = np.isnan(held) | (np.log(pick.random(len(c))) < weight - np.nan_to_num(held))
             t, held = np.where(take, new, t).astype(np.int64), np.where(take, weight, held)
-            ts = _appended(batch.column("ts"), t) if keep else batch.column("ts")
-            yield pa.RecordBatch.from_arrays([batch.column("prev"), batch.column("word"), batch.column("c"), pa.array(t), pa.array(held), ts],
-                                             ["prev", "word", "c", "t", "held", "ts"])
+        out = [_row(at, PAIRS, data=state["data"], moving=_packed(t, held, *ts, *[t] * keep))]
+        for kind, hashes, of in ((WORDS, words, word), (PREVS, prevs, prev)):
+            sums = _summed(of, t, len(hashes))
+            out += [_row(part, kind, at, data=_packed(sums[a:b])) for part, a, b in _stretches(_part_of(hashes, parts))]
+        return pa.Table.from_pylist(out, _ARROW)
 
     return seat
 
 
-_TOPS = "word long, cu long, tu long, cus array<long>, tus array<long>"
+def _updated(known: dict, run: int, keep: bool):
+    """Sums the tables of all buckets, and seats the unigram restaurant anew: its customers are the tables of a word below."""
 
+    def update(key: tuple, table: pa.Table) -> pa.Table:
+        rows, at = table.to_pylist(), key[0].as_py()
+        state = next(row for row in rows if row["kind"] == OWNED)
+        own = _Owner(state)
+        cu, tables = own.ones.copy(), np.zeros(len(own.words), np.int64)
+        for row in rows:
+            if row["kind"] != OWNED:
+                (cu if row["kind"] == WORDS else tables)[own.asked[row["kind"], row["src"]]] += _unpacked(row["data"])[0].astype(np.int64)
+        tu, _ = seated(cu, np.full(len(cu), (STRENGTH + known["d0"] * known["tu"]) / (known["words"] + 1)), known["d0"], np.random.default_rng([run, 1 << 20, at]))
+        tu = tu.astype(np.int64)
+        moving = _packed(cu, tu, tables, *own.kept, *[cu, tu, own.prev_ones + tables] * keep)
+        return pa.Table.from_pylist([_row(at, OWNED, data=state["data"], moving=moving, sums=[float(tu.sum()), float(cu.sum())])], _ARROW)
 
-def _tops(d0: float, strength: float, run: int, keep: bool):
-    """Seats the unigram restaurant anew: its customers are the tables of a word below."""
+    return update
 
-    def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        pick = np.random.default_rng([run, 1 << 20, TaskContext.get().partitionId()])
-        for batch in batches:
-            cu = batch.column("cu").to_numpy(zero_copy_only=False).astype(np.int64)
-            tu, _ = seated(cu, np.full(len(cu), strength), d0, pick) if len(cu) else (np.empty(0), None)
-            tu = tu.astype(np.int64)
-            cus, tus = batch.column("cus"), batch.column("tus")
-            if keep:
-                cus, tus = _appended(cus, cu), _appended(tus, tu)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(cu), pa.array(tu), cus, tus], ["word", "cu", "tu", "cus", "tus"])
+def _asked_words(side: int):
+    """From each block to each part of the words: the block's words there."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _each(batches):
+            words = np.cumsum(_unpacked(row["data"])[-1], dtype=np.uint64)
+            yield pa.RecordBatch.from_pylist([_row(part, TEXTS, block=row["block"], data=_packed(_gaps(words[a:b])))
+                                              for part, a, b in _stretches(_part_of(words, side * side))], _ARROW)
+
+    return ask
 
-    return seat
+
+def _word_answers(key: tuple, table: pa.Table) -> pa.Table:
+    """For each block's words their training counts, as words and as previous words, and the samples' totals."""
+    rows = table.to_pylist()
+    own = next((_Owner(row) for row in rows if row["kind"] == OWNED), None)
+    out = []
+    for row in rows:
+        if row["kind"] == TEXTS:
+            asked = np.cumsum(_unpacked(row["data"])[0], dtype=np.uint64)
+            if own is None:
+                answers = [np.zeros(len(asked), np.int64)] * (2 + 3 * SAMPLES)
+            else:
+                at = np.minimum(np.searchsorted(own.words, asked), len(own.words) - 1)
+                met = own.words[at] == asked
+                answers = [np.where(met, x[at], 0) for x in (own.n, own.customers, *own.kept)]
+            out.append(_row(key[0].as_py(), WORDS, key[0].as_py(), row["block"], _packed(*answers)))
+    return pa.Table.from_pylist(out, _ARROW)
+
+
+def _pair_answers(key: tuple, table: pa.Table) -> pa.Table:
+    """For each block's pairs their training counts, and the tables in each sample of those seen more than once."""
+    rows, at = table.to_pylist(), key[0].as_py()
+    ts = _unpacked(next(row["moving"] for row in rows if row["kind"] == PAIRS))[2:]
+    out = []
+    for row in rows:
+        if row["kind"] == PLACES:
+            c, place = _unpacked(row["data"])
+            out.append(_row(at, PAIRS, at, row["block"], _packed(c, *[t[place] for t in ts])))
+    return pa.Table.from_pylist(out, _ARROW)
+
+
+def _scored(known: dict, side: int):
+    """The scores of a block's texts from the answers to its words and pairs."""
+
+    def score(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda row: (row["kind"], row["src"]))
+        tokens = _Tokens(next(row["data"] for row in rows if row["kind"] == TEXTS), side)
+        n, customers, *totals = (np.concatenate(x).astype(np.int64) for x in zip(*[_unpacked(row["data"]) for row in rows if row["kind"] == WORDS], strict=True))
+        c, *ts = (np.concatenate(x).astype(np.int64) for x in zip(*[_unpacked(row["data"]) for row in rows if row["kind"] == PAIRS], strict=True))
+        prev, word = tokens.prev[tokens.order], tokens.word[tokens.order]
+        fresh, mean = customers[prev] == 0, np.zeros(len(c))
+        for s, (tu, cu) in enumerate(known["sums"]):
+            # A pair that is not seated again has as many tables as customers: none or one.
+            tables = c.copy()
+            tables[c > 1] = ts[s]
+            p1 = _prior(totals[3 * s], totals[3 * s + 1], known, tu, cu)[word]
+            below = (c - known["d1"] * tables + (STRENGTH + known["d1"] * totals[3 * s + 2][prev]) * p1) / (STRENGTH + customers[prev])
+            mean += np.where(fresh, p1, below)
+        of_pair = np.empty(len(c))
+        of_pair[tokens.order] = np.log10(mean / len(known["sums"]))
+        base = np.log10((n + 0.5) / (known["tokens"] + 0.5 * (known["words"] + 1)))
+        starts = np.cumsum(tokens.lengths) - tokens.lengths
+        sums = [np.add.reduceat(x, starts) for x in ((n > 0).astype(np.int64)[tokens.token], base[tokens.token], of_pair[tokens.pair])]
+        return pa.table([pa.array(tokens.ids, mask=tokens.nulls), pa.array(tokens.held), pa.array(tokens.lengths), *map(pa.array, sums)],
+                        ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    return score
+
+
+def _kept(df: DataFrame, label: str, *used: DataFrame) -> DataFrame:
+    """The frame saved, without its shuffle files; ``used`` are saved frames that nothing reads from now on."""
+    conf = df.sparkSession.conf
+    was = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        out = saved(df, label)
+    finally:
+        conf.unset(_CLEANUP) if was is None else conf.set(_CLEANUP, was)
+    for frame in used:
+        dropped(frame)
+    return out
+
+
+def _totals(df: DataFrame, kind: int, many: int) -> list[float]:
+    """The sums that the rows of one kind carry, added up."""
+    got = df.where(F.col("kind") == kind).agg(*[F.sum(F.col("sums")[i]) for i in range(many)]).first()
+    return [float(x or 0) for x in got]
 
 
 def score_texts(documents: DataFrame, held_out) -> DataFrame:
@@ -363,8 +691,10 @@ def score_texts(documents: DataFrame, held_out) -> DataFrame:
     A bigram hierarchical Pitman-Yor model: each previous word (or the begin of a text) is a
     restaurant whose customers are the words seen after it; its tables are customers of the
     unigram restaurant, whose parent is uniform over the known words and one unknown word.
-    Restaurants are rows of Spark tables, keyed by (previous word, word); each round of Gibbs
-    seating joins them with the unigram restaurant and their context's totals of that round.
+    Texts are read once, into blocks of word numbers. Pairs live in the buckets of a square grid,
+    by group of the previous word and group of the word, and words in as many parts, so a
+    bucket asks the parts of one group each; each round of Gibbs seating sends the buckets
+    the unigram probabilities and the tables that they ask for, and the parts their sums.
 
     Learns from the rows where the column ``held_out`` is false (a null counts as false) and
     scores all. Needs ``doc_id`` and ``text``; a null or empty text is the end token alone.
@@ -372,64 +702,31 @@ def score_texts(documents: DataFrame, held_out) -> DataFrame:
     to learn from, every token is the unknown word, of probability one. An empty table gives
     no rows. The perplexity of a text is 10 ** (-score / n_tokens).
     """
-    docs = saved(documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
-                                  F.coalesce(held_out, F.lit(False)).alias("held"), "text"), "lm-texts")
-    toks = _tokens(docs).select("row", "held", F.explode("toks").alias("tok")).select("row", "held", "tok.prev", "tok.word")
-    pairs = saved(toks.where(~F.col("held")).groupBy("prev", "word").agg(F.count(F.lit(1)).alias("c")), "lm-pairs")
-    one = F.when(F.col("c") == 1, 1).otherwise(0)
-    words = saved(pairs.groupBy("word").agg(F.sum("c").alias("n"), F.sum(one).alias("ones")), "lm-words")
-    contexts = saved(pairs.groupBy("prev").agg(F.sum("c").alias("cc"), F.sum(one).alias("ones")), "lm-contexts")
-    first = words.agg(F.count(F.lit(1)), F.sum("n"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)), F.sum(F.when(F.col("n") == 2, 1).otherwise(0))).first()
-    kinds = pairs.agg(F.count(F.lit(1)), F.sum(one), F.sum(F.when(F.col("c") == 2, 1).otherwise(0))).first()
-    v, n = float(first[0] or 0), float(first[1] or 0)
-    d1, d0 = _discount(float(kinds[1] or 0), float(kinds[2] or 0)), _discount(float(first[2] or 0), float(first[3] or 0))
+    docs = documents.select(F.col("doc_id").cast("long"), F.coalesce(held_out, F.lit(False)).alias("held"), "text")
+    blocks = _kept(docs.mapInArrow(_blocks(BLOCK_BYTES), _ROWS), "lm-texts")
+    side = max(1, math.ceil(math.sqrt(_totals(blocks, TEXTS, 1)[0] / PART_BYTES)))
+    counted = _kept(blocks.mapInArrow(_asked_pairs(side), _ROWS).groupBy("at").applyInArrow(_counted(side), _ROWS), "lm-counts")
+    words = _kept(counted.where(F.col("kind").isin(WORDS, PREVS)).groupBy("at").applyInArrow(_owned, _ROWS), "lm-words")
+    distinct, ones, twos = _totals(counted, PAIRS, 3)
+    v, n, word_ones, word_twos = _totals(words, OWNED, 4)
+    known = {"words": v, "tokens": n, "d1": _discount(ones, twos), "d0": _discount(word_ones, word_twos), "tu": v, "cu": distinct, "sums": []}
     # A word seen once after a previous word has one table there in every seating, so only the
     # others are seated again; the ones are counted into the totals of the word and the context.
-    # To start, one table for each restaurant's word, and one in the unigram restaurant.
-    state = pairs.where("c > 1").select("prev", "word", "c", F.lit(1).cast("long").alias("t"), F.lit(None).cast("double").alias("held"),
-                                        F.array().cast("array<long>").alias("ts"))
-    tops = words.select("word", (F.col("ones") + 0).alias("cu"), F.lit(1).cast("long").alias("tu"),
-                        F.array().cast("array<long>").alias("cus"), F.array().cast("array<long>").alias("tus"))
-    tu_sum, cu_sum, sums = v, float(kinds[0] or 0), []
+    pairs = counted
     for run in range(SETTLE + SAMPLES):
         keep = run >= SETTLE
-        if run == 0:
-            tops = tops.join(state.groupBy("word").agg(F.count(F.lit(1)).alias("more")), "word", "left").select(
-                "word", (F.col("cu") + F.coalesce("more", F.lit(0))).alias("cu"), "tu", "cus", "tus")
-        prior = tops.select("word", ((F.col("cu") - d0 * F.col("tu") + (STRENGTH + d0 * tu_sum) / (v + 1)) / (STRENGTH + cu_sum)).alias("p1"))
-        # A restaurant's tables, but for those of the word seated again.
-        others = state.groupBy("prev").agg(F.sum("t").alias("tables")).join(contexts.select("prev", "ones"), "prev")
-        asked = state.join(others, "prev").join(prior, "word").select(
-            "prev", "word", "c", "t", "held", "ts", ((STRENGTH + d1 * (F.col("ones") + F.col("tables") - F.col("t"))) * F.col("p1")).alias("strength"))
-        state = saved(asked.mapInArrow(_reseat(d1, run, keep), _PAIRS), "lm-tables")
-        customers = state.groupBy("word").agg(F.sum("t").alias("more"))
-        tops = saved(words.select("word", "ones").join(customers, "word", "left").join(tops.select("word", "cus", "tus"), "word").select(
-            "word", (F.col("ones") + F.coalesce("more", F.lit(0))).alias("cu"), "cus", "tus").mapInArrow(
-            _tops(d0, (STRENGTH + d0 * tu_sum) / (v + 1), run, keep), _TOPS), "lm-tops")
-        got = tops.agg(F.sum("tu"), F.sum("cu")).first()
-        tu_sum, cu_sum = float(got[0] or 0), float(got[1] or 0)
-        if keep:
-            sums.append((tu_sum, cu_sum))
-    more = state.groupBy("prev").agg(*[F.sum(F.col("ts")[s]).alias(f"more{s}") for s in range(len(sums))])
-    contexts = contexts.join(more, "prev", "left").select(
-        "prev", "cc", *[(F.col("ones") + F.coalesce(f"more{s}", F.lit(0))).alias(f"tt{s}") for s in range(len(sums))])
-    asked = toks.select("prev", "word").distinct()
-    joined = asked.join(pairs, ["prev", "word"], "left").join(state.select("prev", "word", "ts"), ["prev", "word"], "left").join(
-        tops.select("word", "cus", "tus"), "word", "left").join(words.select("word", "n"), "word", "left").join(contexts, "prev", "left")
-    mean = F.lit(0.0)
-    for s, (tu_s, cu_s) in enumerate(sums):
-        p1 = (F.coalesce(F.col("cus")[s], F.lit(0)) - d0 * F.coalesce(F.col("tus")[s], F.lit(0)) + (STRENGTH + d0 * tu_s) / (v + 1)) / (STRENGTH + cu_s)
-        # A pair that is not seated again has as many tables as customers: none or one.
-        tables = F.coalesce(F.col("ts")[s], F.col("c"), F.lit(0))
-        own = F.coalesce(F.col("c"), F.lit(0)) - d1 * tables
-        mean = mean + F.when(F.col("cc").isNull(), p1).otherwise((own + (STRENGTH + d1 * F.col(f"tt{s}")) * p1) / (STRENGTH + F.col("cc")))
-    known = F.coalesce(F.col("n"), F.lit(0))
-    probs = joined.select("prev", "word", (F.log10(mean / len(sums)) if sums else F.lit(0.0)).alias("lp"), (known > 0).cast("long").alias("k"),
-                          F.log10((known + 0.5) / (n + 0.5 * (v + 1))).alias("lb"))
-    per_row = toks.join(probs, ["prev", "word"]).groupBy("row").agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.sum("lp").alias("score"), F.sum("k").alias("n_known"), F.sum("lb").alias("base_score"))
-    return docs.join(per_row, "row").select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known",
-                                            F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
+        told = words.mapInArrow(_told(known), _ROWS).unionAll(pairs.where(F.col("kind") == PAIRS))
+        pairs = _kept(told.groupBy("at").applyInArrow(_reseated(known, run, keep, side), _ROWS), "lm-pairs", *[pairs] * (run > 0))
+        told = words.unionAll(pairs.where(F.col("kind") != PAIRS))
+        words = _kept(told.groupBy("at").applyInArrow(_updated(known, run, keep), _ROWS), "lm-words", words)
+        tu, cu = _totals(words, OWNED, 2)
+        known = known | {"tu": tu, "cu": cu, "sums": known["sums"] + [(tu, cu)] * keep}
+    told = counted.where(F.col("kind") == PLACES).unionAll(pairs.where(F.col("kind") == PAIRS))
+    of_pairs = _kept(told.groupBy("at").applyInArrow(_pair_answers, _ROWS), "lm-pair-answers", counted, pairs)
+    told = blocks.mapInArrow(_asked_words(side), _ROWS).unionAll(words)
+    of_words = _kept(told.groupBy("at").applyInArrow(_word_answers, _ROWS), "lm-word-answers", words)
+    scores = blocks.unionAll(of_words).unionAll(of_pairs).groupBy("block").applyInArrow(_scored(known, side), _SCORES)
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n)).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,3 +101,43 @@ def test_previous_words_with_one_ending_are_contexts_apart(spark):
     frame = spark.createDataFrame(learned + asked, "doc_id long, text string, held boolean")
     got = {r["doc_id"]: r["score"] for r in score_texts(frame, F.col("held")).collect()}
     assert got[100] - got[101] > 1 and got[103] - got[102] > 1
+
+
+def test_packed_numbers_come_back():
+    arrays = [np.array([], np.int64), np.array([0, 255], np.int64), np.array([1 << 40, 7], np.int64), np.array([(1 << 64) - 1, 0], np.uint64),
+              np.array([0.5, np.nan, -1e300]), np.array([True, False])]
+    got = lm._unpacked(lm._packed(*arrays))
+    assert len(got) == len(arrays) and all(np.array_equal(a, b, equal_nan=a.dtype.kind == "f") for a, b in zip(arrays, got, strict=True))
+
+
+def test_scores_are_exact_where_each_seating_is_certain(spark, monkeypatch):
+    # Each learned word and pair occurs once, so each has one table in every seating.
+    learned = " ".join(f"w{i}" for i in range(60))
+    asked = ["w0 w1", "w1 w0", "new w4", "w5", "", "w59 new new", learned]
+    pairs = lambda text: list(zip(["<", *text.split()], [*text.split(), ">"], strict=True))
+    known, d = set(pairs(learned)), 0.95
+    words, prevs = {w for _, w in known}, {p for p, _ in known}
+
+    def chance(prev, word):
+        p1 = ((word in words) * (1 - d) + (1 + d * 61) / 62) / (1 + 61)
+        return (((prev, word) in known) * (1 - d) + (1 + d) * p1) / 2 if prev in prevs else p1
+
+    monkeypatch.setattr(lm, "PART_BYTES", 50)
+    rows = [(0, learned, False)] + [(1 + i, t, True) for i, t in enumerate(asked)]
+    got = {r["doc_id"]: r["score"] for r in score_texts(spark.createDataFrame(rows, "doc_id long, text string, held boolean"), F.col("held")).collect()}
+    for i, text in enumerate(asked):
+        assert math.isclose(got[1 + i], sum(math.log10(chance(p, w)) for p, w in pairs(text)), rel_tol=1e-9)
+
+
+def test_disk_per_token(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("millrace.session.shared_folder", lambda spark: str(tmp_path))
+    pick = random.Random(7)
+    words = ["".join(pick.choices("abcdefghijklm", k=6)) for _ in range(4000)]
+    rows = [(i, " ".join(words[int(4000 * pick.random() ** 3)] for _ in range(100)), i % 5 == 1) for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+    tokens_ = sum(r["n_tokens"] for r in score_texts(frame, F.col("held")).collect())
+    files = list(tmp_path.rglob("*.parquet"))
+    # Tables that a later one replaces are gone; the texts as numbers and the answers to them stay.
+    assert tokens_ == 600 * 101
+    assert sum(f.stat().st_size for f in files) < 8 * tokens_, sum(f.stat().st_size for f in files) / tokens_
+    assert {f.parent.name.rpartition("-")[0] for f in files} == {"lm-texts", "lm-pair-answers", "lm-word-answers"}
