@@ -32,9 +32,9 @@ from millrace.llm.words import mix, words_of
 
 #: Context classes; the last is the begin of a text.
 CONTEXTS = 256
-#: Bytes of text that one block, and one part of the vocabulary, stands for. Each block asks each
-#: part once, so a large corpus takes larger ones (and executors with the memory for them).
-BLOCK_BYTES, PART_BYTES = 8 << 20, 8 << 20
+#: Bytes of text that one block, and one bucket of pairs or part of the words, stands for. Each block
+#: asks each of them once, so a large corpus takes larger ones (and executors with the memory for them).
+BLOCK_BYTES, PART_BYTES = 16 << 20, 16 << 20
 SLICE = 256 << 10
 #: Rounds of seating: first to settle with starting totals, then one for each sample.
 SETTLE, SAMPLES = 2, 3
@@ -340,6 +340,17 @@ def _stretches(numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
     return zip(numbers[starts].tolist(), starts.tolist(), ends.tolist(), strict=True)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct keys, and the place of each key among them; np.unique needs more memory."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    place = np.empty(len(keys), np.int32 if len(keys) < 1 << 31 else np.int64)
+    place[order] = np.cumsum(new, dtype=place.dtype) - place.dtype.type(1)
+    return keys[new], place
+
+
 def _summed(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(at, values, size).astype(np.int64)
 
@@ -370,12 +381,12 @@ class _Texts:
         self.size += len(found.data)
 
     def row(self) -> dict:
-        words, token = np.unique(np.concatenate([*self.hashes, [BEGIN]]), return_inverse=True)
+        words, token = _distinct(np.concatenate([*self.hashes, np.array([BEGIN])]))
         token = token[:-1]
         # Frequent words get small numbers, which compress better.
         order = np.argsort(-np.bincount(token, minlength=len(words)), kind="stable")
-        rank = np.empty(len(words), np.int64)
-        rank[order] = np.arange(len(words))
+        rank = np.empty(len(words), np.int32)
+        rank[order] = np.arange(len(words), dtype=np.int32)
         ids = np.array([i or 0 for i in self.ids], np.int64).view(np.uint64)
         data = _packed(ids, np.array([i is None for i in self.ids]), np.array(self.held, bool), np.concatenate(self.lengths), rank[token],
                        order, _gaps(words))
@@ -406,12 +417,14 @@ class _Tokens:
         ids, nulls, held, lengths, rank, order, gaps = _unpacked(data)
         self.ids, self.nulls, self.held, self.lengths = ids.astype(np.uint64).view(np.int64), nulls.astype(bool), held.astype(bool), lengths.astype(np.int64)
         self.words = np.cumsum(gaps, dtype=np.uint64)
-        self.token = order.astype(np.int64)[rank]
+        self.token = order.astype(np.int32)[rank]
         n = len(self.words)
-        before = np.empty(len(self.token), np.int64)
-        before[1:] = self.token[:-1]
-        before[np.cumsum(self.lengths) - self.lengths] = np.searchsorted(self.words, BEGIN)
-        pairs, self.pair = np.unique(before * n + self.token, return_inverse=True)
+        key = np.empty(len(self.token), np.int64)
+        key[1:] = self.token[:-1]
+        key[np.cumsum(self.lengths) - self.lengths] = np.searchsorted(self.words, BEGIN)
+        key *= n
+        key += self.token
+        pairs, self.pair = _distinct(key)
         self.prev, self.word = pairs // n, pairs % n
         group = _part_of(self.words, side * side) // side
         bucket = group[self.prev] * side + group[self.word]
@@ -459,7 +472,7 @@ class _Bucket:
         keys = [np.repeat(np.searchsorted(self.prevs, p), x[1].astype(np.int64)) * n + np.searchsorted(self.words, w)[x[3]]
                 for p, w, x in zip(prevs, words, got, strict=True)]
         self.sizes = [len(k) for k in keys]
-        pairs, self.at = np.unique(np.concatenate(keys), return_inverse=True)
+        pairs, self.at = _distinct(np.concatenate(keys))
         self.prev, self.word = pairs // n, pairs % n
         self.counts = _summed(self.at, np.concatenate([x[4] for x in got]), len(pairs))
 
